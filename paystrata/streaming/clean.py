@@ -12,9 +12,13 @@ Two queries, each with its own checkpoint:
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState
 
 from paystrata.functions.parse import default_url, first_truthy, parse_ts, to_amount
 from paystrata.operators.dedup import dedup_first
@@ -57,10 +61,8 @@ def _save(df: DataFrame, root: str, name: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch_id}")
 
 
-def clean_batch(batch: DataFrame, batch_id: int, root: str, order: list[str] | None = None,
-                lateness_seconds: int = LATENESS_SECONDS) -> None:
+def clean_batch(batch: DataFrame, batch_id: int, root: str, lateness_seconds: int = LATENESS_SECONDS) -> None:
     """One micro-batch of (topic, value, …) rows to the folders under ``root``."""
-    arrival = order or ARRIVAL
     spark = batch.sparkSession
     # One write, then every branch reads it: the source is read once, and a lost
     # executor finds the rows in the shared folder.
@@ -73,14 +75,14 @@ def clean_batch(batch: DataFrame, batch_id: int, root: str, order: list[str] | N
     valid, invalid = split_valid(validate_transactions(transactions), ORIGIN)
     before = read_version(spark, f"{root}/max_event_ts", batch_id - 1).first()[0] if batch_id > 0 else None
     carried = F.lit(before).cast("timestamp")
-    flagged = materialize(split_late(to_clean(valid), arrival, lateness_seconds, carried), "flagged")
+    flagged = materialize(split_late(to_clean(valid), ARRIVAL, lateness_seconds, carried), "flagged")
     newest = flagged.agg(F.greatest(F.max("max_event_ts"), carried).alias("max_event_ts"))
 
     on_time = flagged.filter(~F.col("late")).drop("error", "late", "max_event_ts")
     # A reference repeated within the batch is folded here, so one hot reference
     # reaches the state store as a single row.
-    first = dedup_first(on_time, ["ref_number"], [F.col(c) for c in arrival])
-    _save(first.select(*CLEAN_COLUMNS), root, "on_time", batch_id)
+    first = dedup_first(on_time, ["ref_number"], [F.col(c) for c in ARRIVAL])
+    _save(first.select(*CLEAN_COLUMNS, *ARRIVAL), root, "on_time", batch_id)
 
     _, late = split_valid(flagged.drop("late", "max_event_ts"), ORIGIN)
     _save(refused.unionByName(invalid).unionByName(late), root, "dlq", batch_id)
@@ -91,37 +93,80 @@ def clean_batch(batch: DataFrame, batch_id: int, root: str, order: list[str] | N
     write_version(newest, f"{root}/max_event_ts", batch_id)
 
 
-def start_cleaning(events: DataFrame, root: str, order: list[str] | None = None,
-                   lateness_seconds: int = LATENESS_SECONDS, trigger: dict | None = None) -> StreamingQuery:
+def start_cleaning(events: DataFrame, root: str, lateness_seconds: int = LATENESS_SECONDS,
+                   trigger: dict | None = None) -> StreamingQuery:
     return (events.writeStream.queryName("cleaning")
-            .foreachBatch(lambda df, i: clean_batch(df, i, root, order, lateness_seconds))
+            .foreachBatch(lambda df, i: clean_batch(df, i, root, lateness_seconds))
             .option("checkpointLocation", f"{root}/_checkpoints/cleaning")
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
 CLEAN_SCHEMA = ("ref_number string, amount double, platform_name string, method string, type string, "
-                "status string, event_ts timestamp")
+                "status string, event_ts timestamp, partition int, offset bigint, batch bigint")
 
 
 def read_on_time(spark: SparkSession, root: str) -> DataFrame:
     return spark.readStream.schema(CLEAN_SCHEMA).parquet(f"{root}/on_time")
 
 
-def stream_dedup(clean: DataFrame, keys: list[str] | None = None, ttl_seconds: int = DEDUP_SECONDS) -> DataFrame:
-    """First sight of each key, forgotten ``ttl_seconds`` of processing time later.
+def stream_dedup(clean: DataFrame, keys: list[str], order: list[str], ttl_seconds: int = DEDUP_SECONDS) -> DataFrame:
+    """First row of each key in arrival order, forgotten ``ttl_seconds`` of
+    processing time after its first sight; later sights do not prolong it.
+
+    A trigger may bundle several upstream batches, so the earliest row is chosen
+    here too. Upstream folds each batch to one row per key, so a group is as small
+    as the number of bundled batches.
+    """
+    columns = clean.columns
+    ttl_ms = int(ttl_seconds * 1000)
+
+    def first_sight(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        now = state.getCurrentProcessingTimeMs()
+        if state.exists and now - state.get[0] < ttl_ms:
+            # A call without a timeout would clear it: set what is left of it.
+            state.setTimeoutDuration(max(1, ttl_ms - (now - state.get[0])))
+            return
+        rows = pd.concat(list(frames), ignore_index=True)
+        state.update((now,))
+        state.setTimeoutDuration(ttl_ms)
+        yield rows.sort_values(order, kind="stable").head(1)[columns]
+
+    return clean.groupBy(*keys).applyInPandasWithState(
+        first_sight, clean.schema, "first_seen_ms bigint", "append", "ProcessingTimeTimeout")
+
+
+def stream_dedup_any(clean: DataFrame, keys: list[str], ttl_seconds: int = DEDUP_SECONDS) -> DataFrame:
+    """The same without Python, for sources whose triggers hold a key once: within
+    one trigger any of several rows of a key may be the one kept.
 
     The watermark runs on the processing time, at half the period: an entry ends a
-    delay after its first sight and is evicted a delay after that. Later sights do
-    not prolong it.
+    delay after its first sight and is evicted a delay after that.
     """
     return (clean.withColumn("seen_at", F.current_timestamp())
             .withWatermark("seen_at", f"{ttl_seconds / 2} seconds")
-            .dropDuplicatesWithinWatermark(keys or ["ref_number"]))
+            .dropDuplicatesWithinWatermark(keys))
 
 
 def start_dedup(clean: DataFrame, root: str, ttl_seconds: int = DEDUP_SECONDS,
                 trigger: dict | None = None) -> StreamingQuery:
-    return (stream_dedup(clean, None, ttl_seconds).writeStream.queryName("dedup").outputMode("append")
+    spark = clean.sparkSession
+    # Processing-time state asks for empty batches without end, which keeps an
+    # availableNow run from finishing; expired keys are evicted with the next data.
+    setting = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    first = stream_dedup(clean, ["ref_number"], ["batch", *ARRIVAL], ttl_seconds)
+    try:
+        return _start_dedup(first, root, trigger)
+    finally:
+        spark.conf.set(setting, before)
+
+
+def _start_dedup(first: DataFrame, root: str, trigger: dict | None) -> StreamingQuery:
+    return (first.writeStream.queryName("dedup").outputMode("append")
             .format("parquet").option("path", f"{root}/clean")
             .option("checkpointLocation", f"{root}/_checkpoints/dedup")
             .trigger(**(trigger or {"availableNow": True})).start())
