@@ -43,9 +43,9 @@ def audit_report(
         F.lit("risk_profile").alias("section"), F.lit("avg_trust_score").alias("field"),
         F.format_string("%.1f", "avg_trust_score").alias("value"))
     spark = silver.sparkSession
-    fixed = spark.range(1).select(F.explode(F.array(
-        F.struct(F.lit("rag_context").alias("section"), F.lit("text").alias("field"), F.lit(context).alias("value")),
-        F.struct(F.lit("system_health"), F.lit("status"), F.lit(status)))).alias("r")).select("r.*")
+    fixed = spark.createDataFrame(
+        [("rag_context", "text", context), ("system_health", "status", status)],
+        "section string, field string, value string")
     rows = fixed
     for part in (quality, money, risky, trust):
         rows = rows.unionByName(part)
