@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paystrata.operators.prefix import row_numbers
+from paystrata.session import materialize
 
 # Fallback names.
 UNKNOWN_PLATFORM = "Unknown Platform"
@@ -40,7 +41,8 @@ def resolve_dim(
     created = assign_ids(new, "name", start).withColumn("id", F.col("id").cast(dim.schema["id"].dataType))
     if extra:
         created = created.withColumns(extra)
-    full = dim.unionByName(created, allowMissingColumns=True)
+    # Written once: the stored size tells Spark whether the lookup may be broadcast.
+    full = materialize(dim.unionByName(created, allowMissingColumns=True), "dimension")
     lookup = full.select(F.col("id").alias(id_col), _key(F.col("name"), ci).alias("__key"))
     return (df.withColumn("__key", _key(F.col(name_col), ci)).join(lookup, "__key", "left").drop("__key")), full
 

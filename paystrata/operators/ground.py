@@ -31,6 +31,20 @@ CANNED_ANSWERS = [
      "The Gold layer aggregates transaction metrics like payment channel success rates and user profit-loss "
      "indicators."),
 ]
+# The rules of the chat panel, which answers without a context.
+PANEL_ANSWERS = [
+    (["anomaly", "contamination"],
+     "Based on local vector context, the Isolation Forest model uses a 3% contamination factor to evaluate "
+     "transactions."),
+    (["silver", "postgres"],
+     "The Silver layer database contains deduplicated, cleaned, and type-validated relational schemas inside "
+     "PostgreSQL."),
+    (["bronze"],
+     "The Bronze layer stores raw unvalidated JSON payloads directly emitted from scrapy/playwright producers."),
+    (["platforms"], "Registered platforms in the database include Melbet, 1xBet, 10Cric, and 22play."),
+]
+PANEL_DEFAULT = ("I checked the FAISS index but couldn't find matching records. Try asking about the 'medallion "
+                 "layers' or 'anomaly model configuration'.")
 NO_CONTEXT = "I do not know based on the Lakehouse metadata. No context snippets were found matching this query."
 SUMMARY_HEAD = "Lakehouse Context Summary (Sources: "
 INTENTS = [
@@ -127,6 +141,10 @@ def fallback_answer(query: Column | str, snippets: Column | str) -> Column:
                       F.lit(NO_CONTEXT))
 
 
+def panel_answer(query: Column | str) -> Column:
+    return _first_rule(F.lower(_col(query)), [(text, needles) for needles, text in PANEL_ANSWERS], PANEL_DEFAULT)
+
+
 def _strip_commas(token: Column) -> Column:
     return F.replace(token, F.lit(","), F.lit(""))
 

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from paystrata.functions.parse import _col
 from paystrata.operators.dedup import top_per_group
+from paystrata.operators.prefix import row_numbers
 from paystrata.session import materialize
 
 # Fixed values.
@@ -121,25 +122,30 @@ def index_stats(index: DataFrame) -> DataFrame:
     ).withColumn("healthy", F.col("total_vectors") > 0)
 
 
-def _nearest(block: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Per query: positions and squared distances of the candidates in this block.
+_TILE = 256
+
+
+def _nearest(block: np.ndarray, order: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per query: positions and squared distances of the best ``k`` rows of a block,
+    ties by ``order`` (so a block of equal copies still yields ``k`` rows).
 
     The matrix product ranks roughly; every row within rounding distance of the
-    k-th is measured again by subtraction, so the result is exact, ties included.
+    k-th is measured again by subtraction, so the result is exact. Queries go in
+    tiles, which bounds the product to a few megabytes.
     """
     norms = np.einsum("ij,ij->i", block, block)
-    rough = norms[None, :] - 2.0 * queries @ block.T + np.einsum("ij,ij->i", queries, queries)[:, None]
-    scale = 1e-9 * (1.0 + norms.max())
-    for i in range(len(queries)):
-        near = np.arange(len(block))
-        if len(block) > k:
-            near = np.flatnonzero(rough[i] <= np.partition(rough[i], k - 1)[k - 1] + scale)
-        gap = block[near] - queries[i]
-        exact = (gap * gap).sum(axis=1)
-        if len(near) > k:
-            kept = exact <= np.partition(exact, k - 1)[k - 1]
-            near, exact = near[kept], exact[kept]
-        yield i, near, exact
+    slack = 1e-9 * (1.0 + norms.max())
+    for start in range(0, len(queries), _TILE):
+        tile = queries[start:start + _TILE]
+        rough = norms[None, :] - 2.0 * tile @ block.T
+        for query, row in zip(tile, rough):
+            near = np.arange(len(block))
+            if len(block) > k:
+                near = np.flatnonzero(row <= np.partition(row, k - 1)[k - 1] + slack)
+            gap = block[near] - query
+            exact = (gap * gap).sum(axis=1)
+            best = np.lexsort((order[near], exact))[:k]
+            yield near[best], exact[best]
 
 
 def similarity_search(
@@ -164,7 +170,6 @@ def similarity_search(
     if count == 0:
         return spark.createDataFrame([], T.StructType(out_schema.fields + [T.StructField("rank", T.IntegerType())]))
     # Numbering in query order gives blocks of one known size.
-    from paystrata.operators.prefix import row_numbers
     numbered = queries if blocks == 1 else materialize(row_numbers(queries, ["query_id"], "__n"), "queries")
 
     def scan(part: DataFrame) -> DataFrame:
@@ -179,11 +184,12 @@ def similarity_search(
                     continue
                 vectors = np.array(batch["vector"].tolist(), dtype="float64")
                 keys = batch["id"].to_numpy()
-                found = list(_nearest(vectors, q, k))
+                order = np.argsort(np.argsort(keys, kind="stable"))
+                found = list(_nearest(vectors, order, q, k))
                 yield pd.DataFrame({
-                    "query_id": np.repeat(np.array(names), [len(n) for _, n, _ in found]),
-                    "id": keys[np.concatenate([n for _, n, _ in found])],
-                    "distance": np.concatenate([d for _, _, d in found])})
+                    "query_id": np.repeat(np.array(names), [len(n) for n, _ in found]),
+                    "id": keys[np.concatenate([n for n, _ in found])],
+                    "distance": np.concatenate([d for _, d in found])})
 
         return index.select("id", "vector").filter(F.col("vector").isNotNull()).mapInPandas(local_best, out_schema)
 

@@ -9,6 +9,7 @@ from paystrata.operators.gold import REQUIRED, enrich, gold_payment_channels, go
 from paystrata.operators.dedup import dedup_first
 from paystrata.operators.quality import quality_metrics
 from paystrata.operators.validate import split_valid
+from paystrata.session import materialize
 from paystrata.sources.tables import read_version, upsert, write_version
 
 
@@ -25,7 +26,9 @@ def run(bronze: DataFrame, root: str, version: int, order: list[Column], extende
     nothing. Gold is recomputed from the whole Silver version just written.
     """
     spark: SparkSession = bronze.sparkSession
-    valid, dead = split_valid(bronze.withColumn("error", missing_required()), "batch-load")
+    # The raw text is parsed once; every later branch reads columns.
+    checked = materialize(bronze.withColumn("error", missing_required()), "checked")
+    valid, dead = split_valid(checked, "batch-load")
     dead.write.mode("overwrite").json(f"{root}/dlq/v={version}")
     incoming = enrich(dedup_first(valid, ["ref_number"], order), extended_flags)
     incoming = select_silver(incoming).withColumn("scraped_at", F.current_timestamp())
@@ -34,7 +37,7 @@ def run(bronze: DataFrame, root: str, version: int, order: list[Column], extende
     silver = write_version(incoming, f"{root}/silver", version)
     write_version(gold_payment_channels(silver), f"{root}/gold_payment_channels", version)
     write_version(gold_platform_metrics(silver).drop("avg_amount"), f"{root}/gold_platform_metrics", version)
-    return write_version(quality_metrics(bronze), f"{root}/metrics", version)
+    return write_version(quality_metrics(checked), f"{root}/metrics", version)
 
 
 def rebuild(spark: SparkSession, silver: DataFrame, root: str, version: int) -> None:

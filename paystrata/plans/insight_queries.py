@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from paystrata.operators import gold, ground, ml, vector
@@ -61,7 +60,7 @@ def retrieve_context(spark, sf):
 
 # --------------------------------------------------------------------- grounding
 
-_TURNS = r"""turns AS (SELECT conv_id, turn, role, text AS answer, lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS context FROM conversations),
+_TURNS = r"""turns AS (SELECT c.conv_id, c.turn, c.role, c.text AS answer, p.text AS context FROM conversations c LEFT JOIN conversations p ON p.conv_id = c.conv_id AND p.turn = c.turn - 1),
 pairs AS (SELECT * FROM turns WHERE role = 'assistant'),
 words AS (SELECT *, list_distinct(list_filter(string_split_regex(lower(answer), '[^\p{L}\p{N}_]+'), lambda w: regexp_matches(w, '^[a-z]{3,}$'))) AS aw,
   list_filter(string_split_regex(lower(coalesce(context, '')), '[^\p{L}\p{N}_]+'), lambda w: regexp_matches(w, '^[a-z]{3,}$')) AS cw FROM pairs),
@@ -71,11 +70,18 @@ checked AS (SELECT *, answer <> '' AND coalesce(context, '') <> '' AND coalesce(
 
 
 def _pairs(spark, sf):
-    """Each assistant message with the message before it (a conversation is short)."""
+    """Each assistant message with the message of the turn before.
+
+    Joined on (conversation, turn), so one conversation of any length is spread
+    over all tasks, which a window per conversation is not.
+    """
     talk = views.table(spark, sf, "conversations")
-    before = F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn"))
-    return talk.withColumn("context", before).filter(F.col("role") == "assistant").select(
-        "conv_id", "turn", F.col("text").alias("answer"), "context")
+    return talk.filter(F.col("role") == "assistant").join(_shifted(talk, 1), ["conv_id", "turn"], "left").select(
+        "conv_id", "turn", F.col("text").alias("answer"), F.col("other").alias("context"))
+
+
+def _shifted(talk, by: int):
+    return talk.select("conv_id", (F.col("turn") + by).alias("turn"), F.col("text").alias("other"))
 
 
 @query("verify_overlap", with_ctes(_TURNS, """
@@ -101,20 +107,28 @@ _CANNED = " ".join(
 
 @query("fallback_answer", f"""
 WITH q AS (SELECT conv_id, turn, CASE turn % 5 WHEN 0 THEN text || ' gold' WHEN 1 THEN 'Silver ' || text WHEN 2 THEN text || ' Bronze' ELSE text END AS text,
-  lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS c, role FROM conversations)
+  c, role FROM (SELECT a.*, b.text AS c FROM conversations a LEFT JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1))
 SELECT conv_id, turn, md5(CASE {_CANNED} WHEN c IS NOT NULL THEN 'Lakehouse Context Summary (Sources: ' || role || ', ' || role || '):' || chr(10) || '* ' || c || chr(10) || '* ' || c
   ELSE 'I do not know based on the Lakehouse metadata. No context snippets were found matching this query.' END) AS answer FROM q""")
 def fallback_answer(spark, sf):
     kind = F.col("turn") % 5
     q = (F.when(kind == 0, F.concat("text", F.lit(" gold"))).when(kind == 1, F.concat(F.lit("Silver "), "text"))
          .when(kind == 2, F.concat("text", F.lit(" Bronze"))).otherwise(F.col("text")))
-    following = F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn"))
+    talk = views.table(spark, sf, "conversations")
     snippet = F.struct(F.col("role").alias("source"), F.col("c").alias("content"))
-    rows = views.table(spark, sf, "conversations").withColumn("c", following).withColumn(
+    rows = talk.join(_shifted(talk, -1).withColumnRenamed("other", "c"), ["conv_id", "turn"], "left").withColumn(
         "snippets", F.when(F.col("c").isNotNull(), F.array(snippet, snippet)))
     return rows.select("conv_id", "turn", F.md5(ground.fallback_answer(q, "snippets")).alias("answer"))
 
 
+@query("panel_answer", "WITH q AS (SELECT conv_id, turn, lower(CASE turn % 3 WHEN 0 THEN 'postgres ' || text ELSE text END) AS q FROM conversations) SELECT conv_id, turn, CASE "
+       + " ".join("WHEN " + " OR ".join(f"contains(q, '{w}')" for w in words) + f" THEN '{text}'" for words, text in ground.PANEL_ANSWERS)
+       + " ELSE '" + ground.PANEL_DEFAULT.replace("'", "''") + "' END AS answer FROM q")
+def panel_answer(spark, sf):
+    q = F.when(F.col("turn") % 3 == 0, F.concat(F.lit("postgres "), "text")).otherwise(F.col("text"))
+    return views.table(spark, sf, "conversations").select("conv_id", "turn", ground.panel_answer(q).alias("answer"))
+
+
 def _first_sql(rules, default) -> str:
     arms = " ".join("WHEN " + " OR ".join(f"contains(q, '{w}')" for w in words) + f" THEN '{name}'" for name, words in rules)
     return f"CASE {arms} ELSE '{default}' END"

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from paystrata.functions.parse import conform, default_url, slug, to_amount
 from paystrata.operators import dedup, dims, gold, prefix, quality, validate
-from paystrata.plans import views
+from paystrata.plans import batch_etl, views
 from paystrata.plans.oracle import CLEAN, EV, STREAM_ERROR, TX, TX_TEXT, raw_ev, with_ctes
 from paystrata.plans.registry import query
 from paystrata.session import materialize, scratch_path
@@ -97,6 +99,38 @@ def publish_events(spark, sf):
         F.count_distinct("b._kafka_topic").alias("topics"))
 
 
+@query("batch_load", with_ctes(TX_TEXT, f"""
+, b AS (SELECT * REPLACE (CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE amount END AS amount) FROM txt),
+v AS (SELECT * FROM b WHERE amount IS NOT NULL)
+SELECT 'silver' AS name, method AS key, count(*) AS n, round(sum(amount), 2) AS total FROM v GROUP BY method
+UNION ALL SELECT 'channels', method, count(*), round(sum(amount), 2) FROM v GROUP BY method
+UNION ALL SELECT 'platforms', platform_name, count(*), CASE WHEN avg(CASE WHEN status = 'SUCCESS' THEN 1.0 ELSE 0.0 END) < 0.5 THEN 80.0 ELSE 20.0 END FROM v GROUP BY platform_name
+UNION ALL SELECT 'dead', 'Missing required fields: amount', count(*), 0 FROM b WHERE amount IS NULL
+UNION ALL SELECT 'read', '', count(*) + count(*) FILTER (amount IS NOT NULL), 0 FROM b
+UNION ALL SELECT 'duplicate', '', count(*) FILTER (amount IS NOT NULL), 0 FROM b""".replace("\n, b AS", ", b AS", 1)))
+def batch_load(spark, sf):
+    """The batch load twice, with every row delivered twice in the first run."""
+    tx = views.transactions_with_text(spark, sf).withColumn(
+        "amount", F.when(F.col("o_orderkey") % 11 != 0, F.col("amount")))
+    root, order = scratch_path(spark, "load"), [F.col("event_ts"), F.col("o_orderkey")]
+    twice = tx.unionByName(tx.filter(F.col("amount").isNotNull()))
+    first = batch_etl.run(twice, root, 0, order)
+    batch_etl.run(tx, root, 1, order)
+    silver, channels, platforms = (tables.read_version(spark, f"{root}/{n}", 1) for n in (
+        "silver", "gold_payment_channels", "gold_platform_metrics"))
+    zero = F.lit(0.0)
+    parts = [
+        silver.groupBy("method").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("t")).select(
+            F.lit("silver").alias("name"), F.col("method").alias("key"), "n", F.round("t", 2).alias("total")),
+        channels.select(F.lit("channels"), "method", "total_transactions", F.round("volume", 2)),
+        platforms.select(F.lit("platforms"), "platform_name", "transaction_count", "risk_score"),
+        spark.read.schema("error string").json(f"{root}/dlq/v=1").groupBy("error").agg(
+            F.count(F.lit(1)).alias("n")).select(F.lit("dead"), "error", "n", zero),
+        first.select(F.lit("read"), F.lit(""), "rows_read", zero),
+        first.select(F.lit("duplicate"), F.lit(""), "duplicate_rows", zero)]
+    return reduce(lambda a, b: a.union(b), parts)
+
+
 # ----------------------------------------------------------------- validation
 
 @query("stream_validation_reasons", with_ctes(raw_ev(), f"""
@@ -195,14 +229,15 @@ def latest_per_key(spark, sf):
 @query("running_volume", with_ctes(EV, """
 SELECT event_id, round(sum(amount) OVER (ORDER BY arr, event_id), 2) AS cumulative FROM ev"""))
 def running_volume(spark, sf):
-    return _round(prefix.running_volume(views.events(spark, sf), ["arr", "event_id"]).select("event_id", "cumulative"),
-                  cumulative=2)
+    events = views.events(spark, sf).select("arr", "event_id", "amount")
+    return _round(prefix.running_volume(events, ["arr", "event_id"]).select("event_id", "cumulative"), cumulative=2)
 
 
 @query("late_flags", with_ctes(EV, """SELECT event_id,
 event_ts < max(event_ts) OVER (ORDER BY arr, event_id) - INTERVAL 10 SECONDS AS late FROM ev"""))
 def late_flags(spark, sf):
-    return prefix.late_flags(views.events(spark, sf), ["arr", "event_id"]).select("event_id", "late")
+    events = views.events(spark, sf).select("arr", "event_id", "event_ts")
+    return prefix.late_flags(events, ["arr", "event_id"]).select("event_id", "late")
 
 
 @query("assign_ids", with_ctes(EV, """

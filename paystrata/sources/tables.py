@@ -6,6 +6,8 @@ beside the version it was built from.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +49,27 @@ def insert_if_absent(target: DataFrame, new: DataFrame, keys: list[str], order:
                               allowMissingColumns=True)
 
 
+def merge_into(updates: DataFrame, table: str, keys: list[str], mode: str = "replace",
+               order: list[str] | None = None) -> None:
+    """The same upserts in place, for catalogs with row-level operations (such as
+    Iceberg or Delta): only the files that hold a matched key are rewritten."""
+    incoming = _latest(updates, keys, order).alias("u")
+    on = reduce(lambda a, b: a & b, [F.col(f"{table}.{k}") == F.col(f"u.{k}") for k in keys])
+    merge = incoming.mergeInto(table, on)
+    if mode == "insert":
+        merge.whenNotMatched().insertAll().merge()
+    elif mode == "update":
+        supplied = {c: F.col(f"u.{c}") for c in updates.columns}
+        merge.whenMatched().update({c: v for c, v in supplied.items() if c not in keys}) \
+            .whenNotMatched().insert(supplied).merge()
+    else:
+        merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()
+
+
+def table_count(spark: SparkSession, name: str) -> DataFrame:
+    return spark.table(name).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def append_facts(facts: DataFrame, rows: DataFrame, kind: str) -> DataFrame:
     """Append review, complaint or news rows (platform id resolved) with defaults."""
     return facts.unionByName(with_fact_defaults(rows, kind), allowMissingColumns=True)

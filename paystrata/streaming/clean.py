@@ -86,9 +86,9 @@ def clean_batch(batch: DataFrame, batch_id: int, root: str, lateness_seconds: in
 
     _, late = split_valid(flagged.drop("late", "max_event_ts"), ORIGIN)
     _save(refused.unionByName(invalid).unionByName(late), root, "dlq", batch_id)
-    counts = parsed.agg(F.count(F.lit(1)).alias("read")).join(
-        flagged.agg(F.count(F.lit(1)).alias("valid"), F.count_if("late").alias("late"),
-                    F.count_distinct(F.when(~F.col("late"), F.col("ref_number"))).alias("first_in_batch")))
+    kept_rows = spark.read.parquet(f"{root}/on_time/batch={batch_id}").count()
+    counts = flagged.agg(F.count(F.lit(1)).alias("valid"), F.count_if("late").alias("late")).withColumns(
+        {"read": F.lit(parsed.count()), "first_in_batch": F.lit(kept_rows)})
     _save(counts, root, "metrics", batch_id)
     write_version(newest, f"{root}/max_event_ts", batch_id)
 
