@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,7 +60,8 @@ def classify_method(c: Column | str, variant: str = "listing") -> Column:
     name = F.lower(_col(c))
     chain = None
     for kind, words in METHOD_KEYWORDS[variant].items():
-        test = name.rlike("|".join(words))
+        # Plain substring tests: a byte scan each, much cheaper than a pattern.
+        test = reduce(or_, [name.contains(w) for w in words])
         chain = F.when(test, kind) if chain is None else chain.when(test, kind)
     return chain.otherwise(METHOD_DEFAULT[variant])
 

@@ -32,6 +32,7 @@ HOLDER_LABEL = re.compile(r"Beneficiary|Holder|Account Name", re.IGNORECASE)
 BANK_LABEL = re.compile(r"Bank Name", re.IGNORECASE)
 CRYPTO_LABEL = re.compile(r"Address|Network|Crypto Address", re.IGNORECASE)
 FIRST_HOLDER_LABEL = re.compile(r"(holder|beneficiary|payee|name)\b", re.IGNORECASE)
+ANY_LABEL = re.compile(r"UPI ID|VPA|Name|Beneficiary|Holder|Address|Network|Payee", re.IGNORECASE)
 FIELD_TAGS = {"span", "div", "td", "label"}
 FORM_WORDS = ["BANK", "ACCOUNT", "PAYEE", "HOLDER", "AMOUNT", "DEPOSIT", "SUBMIT"]
 COIN_WORDS = ["BTC", "ETH", "LTC", "USDT"]
@@ -60,6 +61,7 @@ class _Document(HTMLParser):
         while self._open:
             self._end()
         self._positions = [t[0] for t in self.texts]
+        self._starts = [t["start"] for t in self.tags]
 
     def _end(self) -> None:
         tag = self.tags[self._open.pop()]
@@ -109,22 +111,27 @@ class _Document(HTMLParser):
         return None
 
     def next_tag(self, position: int) -> dict | None:
-        at = bisect_left([t["start"] for t in self.tags], position)
+        at = bisect_left(self._starts, position)
         return self.tags[at] if at < len(self.tags) else None
 
 
-def _matches(tag: dict, selector: str) -> bool:
-    """One compound selector: tag, .class, [attr], [attr*='text']."""
+def _compile(selector: str) -> tuple[str | None, list[str], list[tuple[str, str]]]:
+    """One compound selector as (tag, classes, attributes with contained text)."""
     name = re.match(r"[a-z][a-z0-9]*", selector)
-    if name and tag["tag"] != name.group(0):
-        return False
-    classes = tag["attrs"].get("class", "").split()
-    if any(c not in classes for c in re.findall(r"\.([\w-]+)", selector)):
+    attributes = [(a, part) for a, _, part in re.findall(r"\[([\w-]+)(\*='([^']*)')?\]", selector)]
+    return (name.group(0) if name else None, re.findall(r"\.([\w-]+)", re.sub(r"\[.*?\]", "", selector)), attributes)
+
+
+def _matches(tag: dict, rule: tuple) -> bool:
+    name, classes, attributes = rule
+    if name and tag["tag"] != name:
         return False
-    for attr, _, part in re.findall(r"\[([\w-]+)(\*='([^']*)')?\]", selector):
-        if attr not in tag["attrs"] or part not in tag["attrs"][attr]:
+    attrs = tag["attrs"]
+    if classes:
+        own = attrs.get("class", "").split()
+        if any(c not in own for c in classes):
             return False
-    return True
+    return all(a in attrs and part in attrs[a] for a, part in attributes)
 
 
 def _spaced(text: str) -> str:
@@ -134,6 +141,9 @@ def _spaced(text: str) -> str:
 def _labels(doc: _Document) -> dict[str, str]:
     out = dict.fromkeys(
         ["upi_label", "upi_name", "bank_holder_name", "bank_name", "crypto_value", "first_holder"], "")
+    # One look at the whole text spares most pages the walk.
+    if not ANY_LABEL.search("\n".join(t[2] for t in doc.texts)):
+        return out
     for position, parent, label in doc.texts:
         if UPI_LABEL.search(label):
             around = doc.text(doc.tags[parent]) if parent >= 0 else ""
@@ -171,7 +181,7 @@ def _has_form(doc: _Document) -> bool:
     return False
 
 
-def _facts(html: str | None, selectors: list[str]) -> dict:
+def _facts(html: str | None, rules: list[tuple]) -> dict:
     doc = _Document(html or "")
     visible = [t for t in doc.tags if not t["hidden"]]
     values = [v for t in visible for a, v in t["attrs"].items()
@@ -185,8 +195,8 @@ def _facts(html: str | None, selectors: list[str]) -> dict:
          "name": t["attrs"].get("data-name") or t["attrs"].get("title") or "",
          "named": next((t["attrs"][a].strip() for a in NAME_ATTRIBUTES if t["attrs"].get(a)),
                        (doc.text(t).strip().splitlines() or [""])[0].strip())}
-        for rank, s in enumerate(selectors)
-        for pos, t in enumerate(t for t in visible if _matches(t, s))]
+        for rank, rule in enumerate(rules)
+        for pos, t in enumerate(t for t in visible if _matches(t, rule))]
     return {
         "title": _spaced("".join(doc.title_parts)),
         "description": next((t["attrs"].get("content", "") for t in doc.tags
@@ -198,16 +208,21 @@ def _facts(html: str | None, selectors: list[str]) -> dict:
 
 def page_facts(pages: DataFrame, html: str = "html", selectors: list[str] | None = None) -> DataFrame:
     """Adds the struct ``page`` and drops the markup from what follows."""
-    chosen = LISTING_SELECTORS if selectors is None else selectors
+    rules = [_compile(s) for s in (LISTING_SELECTORS if selectors is None else selectors)]
 
     def read(batch: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_facts(h, chosen) for h in batch])
+        return pd.DataFrame([_facts(h, rules) for h in batch])
 
     # Non-deterministic marks the function as costly: it runs once per row even
     # when several fields of the struct are used.
     return pages.withColumn("page", F.pandas_udf(read, PAGE_SCHEMA).asNondeterministic()(html))
 
 
+def text_facts(pages: DataFrame, html: str = "html") -> DataFrame:
+    """``page_facts`` without the listing, for callers that need no method names."""
+    return page_facts(pages, html, [])
+
+
 def plain_text() -> Column:
     return F.array_join("page.lines", "\n")
 

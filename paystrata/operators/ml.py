@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from paystrata.functions.classify import category
 from paystrata.functions.parse import _col, flag_if
 from paystrata.operators.dedup import top_per_group
+from paystrata.session import materialize
 
 # Model parameters.
 SEED = 42
@@ -146,11 +147,17 @@ class IsolationForest:
     def _sample(self, df: DataFrame, key: str) -> DataFrame:
         """``subsample`` rows per tree: a pool of rows by key hash (a sampling
         operator, so the limit is the feature), then an own draw per tree."""
-        pool = (df.select(F.col(key).cast("string").alias("__key"), *[F.col(f).cast("double") for f in self.features])
-                .orderBy(F.xxhash64("__key", F.lit(self.seed)), "__key").limit(self.subsample * 40))
-        trees = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(self.trees - 1))))
-        return top_per_group(trees, ["tree"], [F.xxhash64("__key", "tree", F.lit(self.seed)), F.col("__key")],
-                             self.subsample)
+        columns = [F.col(key).cast("string").alias("__key"), *[F.col(f).cast("double") for f in self.features]]
+        pool = materialize(df.select(*columns).orderBy(F.xxhash64("__key", F.lit(self.seed)), "__key")
+                           .limit(self.subsample * 40), "pool")
+        size = pool.count()
+        self.sample_size = min(self.subsample, size)
+        draw = F.xxhash64("__key", "tree", F.lit(self.seed))
+        # About four times the rows a tree needs stay in the draw.
+        bins = max(1, size // (self.subsample * 4))
+        trees = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(self.trees - 1)))).filter(
+            F.pmod(draw, F.lit(bins)) == 0)
+        return top_per_group(trees, ["tree"], [draw, F.col("__key")], self.subsample)
 
     def fit(self, df: DataFrame, key: str = "ref_number") -> "IsolationForest":
         features, seed = self.features, self.seed
@@ -161,9 +168,11 @@ class IsolationForest:
             tree = _grow(points, np.random.RandomState(seed + number))
             return pd.DataFrame({"tree": [number], **{name: [values] for name, values in tree.items()}})
 
-        rows = self._sample(df, key).groupBy("tree").applyInPandas(grow, _TREE_SCHEMA).orderBy("tree").collect()
+        # Few rows but much work each: a stated partition count keeps adaptive
+        # execution from folding the trees into one task.
+        sample = self._sample(df, key).repartition(self.trees, "tree")
+        rows = sample.groupBy("tree").applyInPandas(grow, _TREE_SCHEMA).orderBy("tree").collect()
         self.forest = [{c: np.array(r[c]) for c in ("feature", "cut", "left", "right", "path")} for r in rows]
-        self.sample_size = min(self.subsample, df.limit(self.subsample).count())
         # The cut is the (1 - contamination) point of the training scores. The
         # quantile sketch is bounded; its rank error is below one in 100,000.
         self.threshold = self.score(df).agg(
@@ -174,23 +183,26 @@ class IsolationForest:
         """Adds ``anomaly_score`` in (0, 1]; higher is more anomalous."""
         forest = df.sparkSession.sparkContext.broadcast(self.forest)
         bound = float(_path_bound(np.array([max(self.sample_size, 2)]))[0])
+        sample_size = self.sample_size
 
         def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-            trees = forest.value
+            # A leaf points to itself, so every row takes the same number of steps.
+            trees = []
+            for t in forest.value:
+                leaf, own = t["feature"] < 0, np.arange(len(t["feature"]))
+                trees.append((np.where(leaf, 0, t["feature"]), t["cut"], np.where(leaf, own, t["left"]),
+                              np.where(leaf, own, t["right"]), t["path"]))
+            steps = int(np.ceil(np.log2(max(sample_size, 2))))
             for columns in batches:
                 points = np.column_stack([c.to_numpy("float64") for c in columns])
-                rows = np.arange(len(points))
+                flat, start = points.ravel(), np.arange(len(points)) * points.shape[1]
                 total = np.zeros(len(points))
-                for t in trees:
+                for feature, cut, left, right, path in trees:
                     at = np.zeros(len(points), dtype="int64")
-                    while True:
-                        feature = t["feature"][at]
-                        inner = feature >= 0
-                        if not inner.any():
-                            break
-                        below = points[rows, np.maximum(feature, 0)] <= t["cut"][at]
-                        at = np.where(inner, np.where(below, t["left"][at], t["right"][at]), at)
-                    total += t["path"][at]
+                    for _ in range(steps):
+                        below = flat.take(start + feature.take(at)) <= cut.take(at)
+                        at = np.where(below, left.take(at), right.take(at))
+                    total += path.take(at)
                 yield pd.Series(2.0 ** (-(total / len(trees)) / bound))
 
         scorer = F.pandas_udf(score, "double")

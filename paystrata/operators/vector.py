@@ -34,15 +34,16 @@ LAYER_FAQ = [
 BLOCK_BYTES = 32 * 1024 * 1024
 
 
-def text_seed(c: Column | str) -> Column:
-    """Sum of the code points modulo the seed space, over the whole text.
+def _seeds(texts: pd.Series) -> pd.Series:
+    def total(text: str | None) -> int:
+        points = np.frombuffer(("None" if text is None else text).encode("utf-32-le"), dtype="<u4")
+        return int(points.sum(dtype="int64")) % SEED_MODULUS
+    return texts.map(total).astype("int64")
 
-    Computed from the UTF-32 bytes in Spark, so only the number reaches Python.
-    """
-    hexed = F.hex(F.encode(F.coalesce(_col(c), F.lit("None")), "UTF-32"))
-    points = F.transform(F.regexp_extract_all(hexed, F.lit("(.{8})"), F.lit(1)),
-                         lambda h: F.conv(h, 16, 10).cast("bigint"))
-    return F.pmod(F.aggregate(points, F.lit(0).cast("bigint"), lambda a, x: a + x), F.lit(SEED_MODULUS))
+
+def text_seed(c: Column | str) -> Column:
+    """Sum of the code points modulo the seed space, over the whole text."""
+    return F.pandas_udf(_seeds, "bigint")(_col(c))
 
 
 def unit_normals(seed: int, dim: int = DIMENSION) -> np.ndarray:
@@ -58,11 +59,12 @@ def encode(c: Column | str, dim: int = DIMENSION,
     if model is not None:
         return F.pandas_udf(model, T.ArrayType(T.FloatType()))(_col(c))
 
-    def from_seed(seeds: pd.Series) -> pd.Series:
-        drawn = {s: unit_normals(int(s), dim).tolist() for s in seeds.unique()}
+    def from_text(texts: pd.Series) -> pd.Series:
+        seeds = _seeds(texts)
+        drawn = {s: unit_normals(int(s), dim) for s in seeds.unique()}
         return seeds.map(drawn)
 
-    return F.pandas_udf(from_seed, T.ArrayType(T.FloatType()))(text_seed(c))
+    return F.pandas_udf(from_text, T.ArrayType(T.FloatType()))(_col(c))
 
 
 def encode_records(records: DataFrame, text: str = "content", dim: int = DIMENSION) -> DataFrame:

@@ -202,7 +202,7 @@ def names_and_slugs(spark, sf):
 # ------------------------------------------------------------------------- pages
 
 def _facts(spark, sf):
-    return pages.page_facts(views.table(spark, sf, "pages"))
+    return pages.text_facts(views.table(spark, sf, "pages"))
 
 
 @query("plain_text", with_ctes(PAGE_TEXT, "SELECT page_id, array_to_string(lines, chr(10)) AS plain_text FROM plain"))
@@ -240,7 +240,7 @@ def label_values(spark, sf):
 
 @query("listing_methods")
 def listing_methods(spark, sf):
-    return pages.listing_methods(_facts(spark, sf))
+    return pages.listing_methods(pages.page_facts(views.table(spark, sf, "pages")))
 
 
 # The site's link list read as a listing: the selector is a parameter.
