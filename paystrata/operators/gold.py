@@ -25,9 +25,10 @@ def enrich(df: DataFrame, extended_flags: bool = False) -> DataFrame:
 def to_silver(raw: DataFrame, order: list[Column], extended_flags: bool = False) -> DataFrame:
     """Bronze rows to Silver: required fields, first row per reference, enrichment.
 
-    Deduplication precedes enrichment, so the text work runs on surviving rows.
+    Enrichment comes first: it reduces the text to four numbers, so the shuffle of
+    the deduplication need not carry the text unless the caller keeps it.
     """
-    return enrich(dedup_first(require_not_null(raw, REQUIRED), ["ref_number"], order), extended_flags)
+    return dedup_first(enrich(require_not_null(raw, REQUIRED), extended_flags), ["ref_number"], order)
 
 
 def select_silver(df: DataFrame) -> DataFrame:

@@ -25,16 +25,16 @@ def running(
 
     The current row is included, as in ``rowsBetween(unboundedPreceding, 0)``.
     """
-    spark = df.sparkSession
-    count = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     values = {f"__v_{name}": _col(value) for name, (_, value) in folds.items()}
-    ranged = materialize(
-        df.withColumns(values).repartitionByRange(count, *order).withColumn("__range", F.spark_partition_id()),
-        "ranges")
+    valued = df.withColumns(values)
+    # Without a stated number, adaptive execution joins neighbouring small ranges, so
+    # the number of ranges follows the size of the data.
+    split = valued.repartitionByRange(ranges, *order) if ranges else valued.repartitionByRange(*order)
+    ranged = materialize(split.withColumn("__range", F.spark_partition_id()), "ranges")
 
     totals = ranged.groupBy("__range").agg(
         *[_FOLDS[how](f"__v_{name}").alias(f"__t_{name}") for name, (how, _) in folds.items()])
-    # One row per range: bounded by ``count``, never by the data.
+    # One row per range, so at most as many as there are shuffle partitions.
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("__range", *[
         _FOLDS[how](f"__t_{name}").over(before).alias(f"__o_{name}") for name, (how, _) in folds.items()])

@@ -30,7 +30,8 @@ def run(bronze: DataFrame, root: str, version: int, order: list[Column], extende
     checked = materialize(bronze.withColumn("error", missing_required()), "checked")
     valid, dead = split_valid(checked, "batch-load")
     dead.write.mode("overwrite").json(f"{root}/dlq/v={version}")
-    incoming = enrich(dedup_first(valid, ["ref_number"], order), extended_flags)
+    # Enriched before the shuffle, which then carries numbers instead of the text.
+    incoming = dedup_first(enrich(valid, extended_flags), ["ref_number"], order)
     incoming = select_silver(incoming).withColumn("scraped_at", F.current_timestamp())
     if version > 0:
         incoming = upsert(read_version(spark, f"{root}/silver", version - 1), incoming, ["ref_number"])

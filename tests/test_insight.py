@@ -179,3 +179,10 @@ def test_audit_report(spark, silver, tmp_path):
     assert text[0] == "## 1. Executive Summary" and "* **Popular Methods**: UPI" in text
     stored = [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "r/json")).collect()]
     assert {"section": "payment_metrics", "field": "popular_methods", "value": "UPI"} in stored
+
+
+def test_worker_functions_travel_by_value():
+    """Workers must not need the package on their path."""
+    from pyspark import cloudpickle
+    assert "paystrata" in cloudpickle.list_registry_pickle_by_value()
+    assert b"paystrata.operators.vector" not in cloudpickle.dumps(vector._seeds).split(b"__module__")[0]
