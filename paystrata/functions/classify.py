@@ -131,5 +131,4 @@ def match_terms(c: Column | str, terms: list[str], ci: bool = False) -> Column:
     each text is read once: no pairing of the two tables takes place.
     """
     text = F.lower(_col(c)) if ci else _col(c)
-    known = F.array(*[F.lit(t) for t in terms])
-    return F.filter(known, lambda t: F.contains(text, F.lower(t) if ci else t))
+    return F.array_compact(F.array(*[F.when(text.contains(t.lower() if ci else t), F.lit(t)) for t in terms]))

@@ -119,6 +119,13 @@ def page_content_report(pages: DataFrame) -> DataFrame:
     return zip_pad(named, ["heading", "category", "content"], ["page"])
 
 
+def write_sheets(summary: DataFrame, details: DataFrame, path: str) -> None:
+    """The two sheets of a page workbook as CSV folders with titled columns."""
+    for name, sheet in (("summary", summary), ("details", details)):
+        titled = sheet.toDF(*[c.replace("_", " ").title() for c in sheet.columns])
+        titled.write.mode("overwrite").option("header", True).csv(f"{path}/{name}")
+
+
 def with_provenance(df: DataFrame, agent: str, quality: str = "REAL", at: Column | None = None) -> DataFrame:
     """Sentinel text for uncollected terms, and where the row came from."""
     fill = {c: F.coalesce(F.col(c), F.lit(NOT_COLLECTED)) if c in df.columns else F.lit(NOT_COLLECTED)

@@ -73,8 +73,10 @@ def clean_batch(batch: DataFrame, batch_id: int, root: str, lateness_seconds: in
     _save(kept.select("topic", F.col("payload").alias("value")), root, "metadata", batch_id)
 
     valid, invalid = split_valid(validate_transactions(transactions), ORIGIN)
-    before = read_version(spark, f"{root}/max_event_ts", batch_id - 1).first()[0] if batch_id > 0 else None
-    carried = F.lit(before).cast("timestamp")
+    # As a number: a Python datetime would pass through the driver's time zone.
+    before = (read_version(spark, f"{root}/max_event_ts", batch_id - 1)
+              .select(F.unix_micros("max_event_ts")).first()[0] if batch_id > 0 else None)
+    carried = F.timestamp_micros(F.lit(before).cast("bigint"))
     flagged = materialize(split_late(to_clean(valid), ARRIVAL, lateness_seconds, carried), "flagged")
     newest = flagged.agg(F.greatest(F.max("max_event_ts"), carried).alias("max_event_ts"))
 

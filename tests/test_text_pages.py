@@ -184,6 +184,13 @@ def test_zip_pad_golden(spark):
     assert out == [(1, 0, "a", "x", "q"), (1, 1, "b", "y", ""), (1, 2, "", "z", "")]
 
 
+def test_sheets(spark, tmp_path):
+    report.write_sheets(spark.createDataFrame([("a", 2)], "scraper string, headings_count int"),
+                        spark.createDataFrame([("P", 0)], "page string, pos int"), str(tmp_path))
+    back = spark.read.option("header", True).csv(str(tmp_path / "summary"))
+    assert back.columns == ["Scraper", "Headings Count"] and back.first()[1] == "2"
+
+
 def test_provenance_keeps_given_values(spark):
     out = report.with_provenance(spark.createDataFrame([("1%", None)], "fee string, data_quality string"), "bot").first()
     assert (out["fee"], out["min_deposit"], out["data_quality"], out["collection_agent"]) == (
