@@ -231,16 +231,79 @@ def reference_urls(spark, sf):
         "page_id", F.explode(pages.reference_urls("html", relative=True)).alias("target"))
 
 
-@query("label_values")
+# Payment blocks put into the given pages, by page number.
+_BLOCKS = [
+    ["<table><tr><td>Account Holder</td><td>Holder ", "{id}", "</td></tr><tr><td>Bank Name</td><td>Bank ", "{id}",
+     "</td></tr></table><p>IFSC ABCD0", "{pad}", " acc 10000", "{pad}", "</p>"],
+    ["<p>Payee Name: <b>Payee ", "{id}", "</b></p><p>pay user", "{id}", "@okbank today</p>"],
+    ["<span>Network</span><b>TRC20 ", "{id}", "</b><p>TAbcdefghijkmnopqrstuvwxyzA", "{pad}", "</p>"],
+    ["<div class=\"payment-method\">PhonePe</div><div class=\"payment-method\" data-name=\"Skrill ", "{id}",
+     "\"></div><div class=\"payment-method\">Deposit</div><div class=\"payment-method\">PhonePe</div>"],
+]
+
+
+def _block_sql(parts: list[str]) -> str:
+    named = {"{id}": "page_id", "{pad}": "translate(lpad(CAST(page_id AS VARCHAR), 6, '1'), '0', '2')"}
+    return " || ".join(named.get(p, f"'{p}'") for p in parts)
+
+
+def _block(parts: list[str]):
+    number = F.col("page_id").cast("string")
+    named = {"{id}": number, "{pad}": F.translate(F.lpad(number, 6, "1"), "0", "2")}
+    return F.concat(*[named[p] if p in named else F.lit(p) for p in parts])
+
+
+_PAID = "paid AS (SELECT page_id, url, replace(html, '</article>', CASE page_id % 5 " + " ".join(
+    f"WHEN {i} THEN {_block_sql(b)}" for i, b in enumerate(_BLOCKS)) + " ELSE '' END || '</article>') AS html FROM pages),\n" + \
+    PAGE_TEXT.replace("FROM pages", "FROM paid")
+
+
+def _paid(spark, sf):
+    chain = F.when(F.col("page_id") % 5 == 0, _block(_BLOCKS[0]))
+    for i, parts in enumerate(_BLOCKS[1:], 1):
+        chain = chain.when(F.col("page_id") % 5 == i, _block(parts))
+    html = F.replace(F.col("html"), F.lit("</article>"), F.concat(chain.otherwise(""), F.lit("</article>")))
+    return views.table(spark, sf, "pages").withColumn("html", html)
+
+
+_DETAILS = r"""details AS (SELECT page_id, regexp_extract(x, '[a-zA-Z0-9.\-_]+@[a-zA-Z0-9]+') AS upi_id,
+  CASE page_id % 5 WHEN 1 THEN 'Payee ' || page_id ELSE '' END AS upi_name,
+  CASE page_id % 5 WHEN 0 THEN 'Holder ' || page_id ELSE '' END AS bank_holder_name,
+  regexp_extract(x, '\b\d{9,18}\b') AS bank_account_number, regexp_extract(x, '[A-Z]{4}0[A-Z0-9]{6}') AS bank_ifsc_code,
+  CASE page_id % 5 WHEN 0 THEN 'Bank ' || page_id ELSE '' END AS bank_name,
+  regexp_extract(x, '\b(0x[a-fA-F0-9]{40}|[13][a-km-zA-HJ-NP-Z1-9]{26,33}|T[A-Za-z1-9]{33})\b') AS crypto_id,
+  CASE page_id % 5 WHEN 2 THEN 'TRC20 ' || page_id ELSE '' END AS crypto_value
+  FROM (SELECT page_id, array_to_string(lines, chr(10)) AS x FROM plain))"""
+
+
+def _details(spark, sf):
+    facts = pages.text_facts(_paid(spark, sf)).withColumn("plain_text", pages.plain_text())
+    return facts.select("page_id", pages.transaction_details(F.col("plain_text")).alias("d"))
+
+
+@query("label_values", with_ctes(f"{_PAID}, {_DETAILS}", "SELECT * FROM details"))
 def label_values(spark, sf):
-    facts = _facts(spark, sf).withColumn("plain_text", pages.plain_text())
-    return facts.select("page_id", pages.transaction_details(F.col("plain_text")).alias("d"),
-                        F.col("page.first_holder").alias("first_holder")).select("page_id", "d.*", "first_holder")
+    return _details(spark, sf).select("page_id", "d.*")
+
+
+@query("payment_identifiers", with_ctes(f"{_PAID}, {_DETAILS}", """
+SELECT page_id, upi_id <> '' OR bank_holder_name <> '' OR bank_ifsc_code <> '' OR (crypto_id <> '' AND crypto_value <> '') AS keep FROM details"""))
+def payment_identifiers(spark, sf):
+    return _details(spark, sf).select("page_id", pages.has_payment_identifiers("d").alias("keep"))
+
+
+@query("processed_vs_valid", with_ctes(f"{_PAID}, {_DETAILS}", """
+SELECT count(*) AS processed, count(*) FILTER (upi_id <> '' OR bank_holder_name <> '' OR bank_ifsc_code <> '' OR (crypto_id <> '' AND crypto_value <> '')) AS valid FROM details"""))
+def processed_vs_valid(spark, sf):
+    return quality.processed_vs_valid(_details(spark, sf), pages.has_payment_identifiers("d"))
 
 
-@query("listing_methods")
+@query("listing_methods", """
+SELECT page_id, 0 AS pos, 'PhonePe' AS method_name, 'UPI' AS method_type, true AS deposit_supported, 'REAL' AS data_quality FROM pages WHERE page_id % 5 = 3
+UNION ALL SELECT page_id, 1, 'Skrill ' || page_id, 'WALLET', true, 'REAL' FROM pages WHERE page_id % 5 = 3
+UNION ALL SELECT page_id, 0, 'Not Yet Collected', 'UNKNOWN', NULL, 'NOT_SCRAPED' FROM pages WHERE page_id % 5 <> 3""")
 def listing_methods(spark, sf):
-    return pages.listing_methods(pages.page_facts(views.table(spark, sf, "pages")))
+    return pages.listing_methods(pages.page_facts(_paid(spark, sf)))
 
 
 # The site's link list read as a listing: the selector is a parameter.
@@ -266,13 +329,6 @@ def page_filters(spark, sf):
     return facts.select("page_id", pages.has_payment_form(F.col("plain_text")).alias("has_form"))
 
 
-@query("processed_vs_valid")
-def processed_vs_valid(spark, sf):
-    facts = _facts(spark, sf).withColumn("plain_text", pages.plain_text())
-    details = facts.withColumn("details", pages.transaction_details(F.col("plain_text")))
-    return quality.processed_vs_valid(details, pages.has_payment_identifiers("details"))
-
-
 @query("clean_method_names", r"""
 WITH n AS (SELECT doc_id, unnest(string_split(text, ' ')) AS name FROM documents)
 SELECT doc_id, count(*) AS kept FROM n WHERE length(trim(name)) >= 2 AND lower(trim(name)) NOT IN
