@@ -69,8 +69,8 @@ clean AS (SELECT * FROM flagged WHERE NOT late
   QUALIFY row_number() OVER (PARTITION BY ref_number ORDER BY arr, event_id) = 1)"""
 
 SAMPLES = EV + """, per_minute AS (SELECT platform_name AS series,
-  CAST(floor(epoch(event_ts) / 60) * 60 AS BIGINT) AS t, count(*) AS n,
-  count(*) FILTER (event_id % 3 = 0) AS bad, count(*) FILTER (event_id % 5 = 0) AS dup FROM ev GROUP BY 1, 2),
+  CAST(floor(epoch(event_ts) / 60) * 60 AS BIGINT) AS t, 1000 * count(*) AS n,
+  1000 * count(*) FILTER (event_id % 3 = 0) AS bad, 1000 * count(*) FILTER (event_id % 5 = 0) AS dup FROM ev GROUP BY 1, 2),
 samples AS (SELECT series, t, sum(n) OVER w AS read, sum(n - bad) OVER w AS processed, sum(bad) OVER w AS rejected,
   sum(dup) OVER w AS duplicates FROM per_minute WINDOW w AS (PARTITION BY series ORDER BY t))"""
 

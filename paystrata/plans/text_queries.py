@@ -35,29 +35,8 @@ def classify_method(spark, sf):
     return names.select("kind", "id", *[classify.classify_method("name", v).alias(v) for v in classify.METHOD_KEYWORDS])
 
 
-@query("category", """
-SELECT doc_id, CASE WHEN contains(text, '0x') THEN 2 WHEN contains(text, 'IFSC') OR contains(text, 'Account') THEN 1 ELSE 0 END AS category
-FROM documents""")
-def category(spark, sf):
-    flags = parse.payment_flags("text", extended=True)
-    crypto = parse.payment_flags("text")["has_crypto"]
-    return _documents(spark, sf).select("doc_id", classify.category(crypto, flags["has_bank"]).alias("category"))
-
-
 # ------------------------------------------------------------------- extraction
 
-@query("payment_flags", r"""
-SELECT doc_id, CAST(contains(text, '@') AS INTEGER) AS has_upi, CAST(contains(text, 'IFSC') AS INTEGER) AS has_bank,
-  CAST(contains(text, '0x') AS INTEGER) AS has_crypto,
-  CAST(contains(text, 'IFSC') OR contains(text, 'Account') AS INTEGER) AS has_bank_ext,
-  CAST(contains(text, '0x') OR regexp_matches(text, '\b(bc1|[13])[a-zA-Z0-9]{25,50}\b') AS INTEGER) AS has_crypto_ext FROM documents""")
-def payment_flags(spark, sf):
-    plain, ext = parse.payment_flags("text"), parse.payment_flags("text", extended=True)
-    return _documents(spark, sf).select(
-        "doc_id", *[c.alias(n) for n, c in plain.items()], ext["has_bank"].alias("has_bank_ext"),
-        ext["has_crypto"].alias("has_crypto_ext"))
-
-
 _ALL_TEXT = """texts AS (SELECT 'd' AS kind, doc_id AS id, text FROM documents
   UNION ALL SELECT 'm', conv_id * 1000 + turn, text FROM conversations UNION ALL SELECT 'p', page_id, url || ' ' || html FROM pages)"""
 
@@ -97,7 +76,7 @@ _MADE = """made AS (SELECT event_id, CASE event_id % 5
     WHEN 1 THEN 'btc 1' || translate(substr(md5(CAST(event_id AS VARCHAR)), 1, 30), '0', '2') || ' please'
     WHEN 2 THEN 'tron T' || translate(substr(md5(CAST(event_id AS VARCHAR)) || 'ab', 1, 33), '0', '3') || '.'
     WHEN 3 THEN 'bc1q' || substr(md5(CAST(event_id AS VARCHAR)) || md5(event_type), 1, 40) || ' ok'
-    ELSE 'no address ' || props END AS text FROM events)"""
+    ELSE 'IFSC of the Account ' || props END AS text FROM events)"""
 
 
 def _addresses(spark, sf):
@@ -109,10 +88,39 @@ def _addresses(spark, sf):
         .when(kind == 1, F.concat(F.lit("btc 1"), F.translate(F.substring(h, 1, 30), "0", "2"), F.lit(" please")))
         .when(kind == 2, F.concat(F.lit("tron T"), F.translate(F.substring(F.concat(h, F.lit("ab")), 1, 33), "0", "3"), F.lit(".")))
         .when(kind == 3, F.concat(F.lit("bc1q"), F.substring(F.concat(h, F.md5("event_type")), 1, 40), F.lit(" ok")))
-        .otherwise(F.concat(F.lit("no address "), "props")))
+        .otherwise(F.concat(F.lit("IFSC of the Account "), "props")))
     return views.table(spark, sf, "events").select("event_id", text.alias("text"))
 
 
+_FLAGGED = _MADE + """, flagged AS (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'e', event_id, text FROM made)"""
+
+
+def _flagged(spark, sf):
+    docs = _documents(spark, sf).select(F.lit("d").alias("kind"), F.col("doc_id").alias("id"), "text")
+    return docs.unionByName(_addresses(spark, sf).select(F.lit("e").alias("kind"), F.col("event_id").alias("id"), "text"))
+
+
+@query("payment_flags", with_ctes(_FLAGGED, r"""
+SELECT kind, id, CAST(contains(text, '@') AS INTEGER) AS has_upi, CAST(contains(text, 'IFSC') AS INTEGER) AS has_bank,
+  CAST(contains(text, '0x') AS INTEGER) AS has_crypto,
+  CAST(contains(text, 'IFSC') OR contains(text, 'Account') AS INTEGER) AS has_bank_ext,
+  CAST(contains(text, '0x') OR regexp_matches(text, '\b(bc1|[13])[a-zA-Z0-9]{25,50}\b') AS INTEGER) AS has_crypto_ext FROM flagged"""))
+def payment_flags(spark, sf):
+    plain, ext = parse.payment_flags("text"), parse.payment_flags("text", extended=True)
+    return _flagged(spark, sf).select(
+        "kind", "id", *[c.alias(n) for n, c in plain.items()], ext["has_bank"].alias("has_bank_ext"),
+        ext["has_crypto"].alias("has_crypto_ext"))
+
+
+@query("category", with_ctes(_FLAGGED, """
+SELECT kind, id, CASE WHEN contains(text, '0x') THEN 2 WHEN contains(text, 'IFSC') OR contains(text, 'Account') THEN 1 ELSE 0 END AS category
+FROM flagged"""))
+def category(spark, sf):
+    flags = parse.payment_flags("text", extended=True)
+    crypto = parse.payment_flags("text")["has_crypto"]
+    return _flagged(spark, sf).select("kind", "id", classify.category(crypto, flags["has_bank"]).alias("category"))
+
+
 @query("extract_crypto", with_ctes(_MADE, r"""
 , found AS (SELECT event_id,
   regexp_extract(text, '\b(0x[a-fA-F0-9]{40}|[13][a-km-zA-HJ-NP-Z1-9]{26,33}|T[A-Za-z1-9]{33})\b') AS tron,
@@ -319,13 +327,13 @@ def listing_links(spark, sf):
     return pages.listing_methods(facts)
 
 
-@query("page_filters", with_ctes(PAGE_TEXT, r"""
+@query("page_filters", with_ctes(_PAID, r"""
 , t AS (SELECT page_id, array_to_string(lines, chr(10)) AS x FROM plain)
 SELECT page_id, regexp_matches(upper(x), 'BANK|ACCOUNT|PAYEE|HOLDER|AMOUNT|DEPOSIT|SUBMIT') OR regexp_matches(x, 'BTC|ETH|LTC|USDT')
   OR coalesce(len(list_filter(regexp_extract_all(x, '[A-Za-z0-9._-]+@[A-Za-z0-9._-]+'), lambda u: NOT ends_with(lower(u), '.com'))), 0) > 0 AS has_form FROM t"""
                                 .replace("\n, t AS", ", t AS", 1)))
 def page_filters(spark, sf):
-    facts = _facts(spark, sf).withColumn("plain_text", pages.plain_text())
+    facts = pages.text_facts(_paid(spark, sf)).withColumn("plain_text", pages.plain_text())
     return facts.select("page_id", pages.has_payment_form(F.col("plain_text")).alias("has_form"))
 
 

@@ -133,16 +133,18 @@ def wire(events: DataFrame) -> DataFrame:
 
 
 def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counters per event type, sampled each minute that has an event.
+    """Counters per event type, sampled each minute that has an event; an event
+    stands for a thousand messages.
 
-    Rows are folded to (series, minute) first; the counters then run over those.
+    Rows are folded to (series, minute) first, so what the counters run over is
+    bounded by the minutes covered, not by the events.
     """
     from pyspark.sql import Window
     e = events(spark, sf_dir)
     minute = (F.floor(F.unix_seconds(F.col("event_ts").cast("timestamp")) / 60) * 60).cast("bigint")
     per_minute = e.groupBy(F.col("platform_name").alias("series"), minute.alias("t")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("event_id") % 3 == 0).alias("bad"),
-        F.count_if(F.col("event_id") % 5 == 0).alias("dup"))
+        (F.count(F.lit(1)) * 1000).alias("n"), (F.count_if(F.col("event_id") % 3 == 0) * 1000).alias("bad"),
+        (F.count_if(F.col("event_id") % 5 == 0) * 1000).alias("dup"))
     w = Window.partitionBy("series").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
     return per_minute.select("series", "t", F.sum("n").over(w).alias("read"),
                              F.sum(F.col("n") - F.col("bad")).over(w).alias("processed"),
