@@ -28,13 +28,13 @@ def _ts(c: str):
 
 @query("gold_platform_metrics", with_ctes(TX, """
 SELECT platform_name, count(ref_number) AS transaction_count,
-  round(avg(CASE WHEN status = 'SUCCESS' THEN 1.0 ELSE 0.0 END), 6) AS success_rate, round(avg(amount), 4) AS avg_amount,
+  round(avg(CASE WHEN status = 'SUCCESS' THEN 1.0 ELSE 0.0 END), 6) AS success_rate, round(avg(amount), 6) AS avg_amount,
   CASE WHEN avg(CASE WHEN status = 'SUCCESS' THEN 1.0 ELSE 0.0 END) < 0.5 THEN 80.0::DOUBLE ELSE 20.0::DOUBLE END AS risk_score
 FROM tx GROUP BY platform_name"""))
 def gold_platform_metrics(spark, sf):
     silver = gold.to_silver(views.transactions(spark, sf).withColumn("raw_text", F.lit(None).cast("string")),
                             [F.col("event_ts"), F.col("o_orderkey")])
-    return _round(gold.gold_platform_metrics(silver), success_rate=6, avg_amount=4).orderBy("platform_name")
+    return _round(gold.gold_platform_metrics(silver), success_rate=6, avg_amount=6).orderBy("platform_name")
 
 
 @query("gold_payment_channels", with_ctes(TX, """
