@@ -130,5 +130,11 @@ def match_terms(c: Column | str, terms: list[str], ci: bool = False) -> Column:
     The dictionary is a short constant, so it travels inside the expression and
     each text is read once: no pairing of the two tables takes place.
     """
-    text = F.lower(_col(c)) if ci else _col(c)
-    return F.array_compact(F.array(*[F.when(text.contains(t.lower() if ci else t), F.lit(t)) for t in terms]))
+    def found(text: Column) -> Column:
+        return F.array_compact(F.array(*[F.when(text.contains(t.lower() if ci else t), F.lit(t)) for t in terms]))
+
+    if not ci:
+        return found(_col(c))
+    # Bound once through a one-element array: lowering the text per term would cost
+    # more than all the scans.
+    return F.transform(F.array(F.lower(_col(c))), found)[0]
