@@ -99,3 +99,87 @@ def crc_of_id(doc_id: Column | str) -> Column:
     """crc32 of the id as text; a null id counts as empty text."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary"))
+
+
+class ByteHash:
+    """Polynomial prefix hashes modulo 2**64 of a byte buffer, all in array operations.
+
+    ``P[i]`` is the sum of ``(byte + 1) * B**j`` below ``i``; the hash of ``[s, e)`` is
+    ``(P[e] - P[s]) * B**-s``, the same wherever the bytes stand.
+    """
+
+    BASE = 0x9E3779B97F4A7C15
+
+    def __init__(self, data: np.ndarray, base: int = BASE):
+        powers, inverses = self._tables(len(data) + 1, base)
+        self.inverses = inverses
+        self.prefix = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=self.prefix[1:])
+
+    @staticmethod
+    def _tables(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+        store = worker_store("powers")
+        if base not in store or len(store[base][0]) < n:
+            size = max(n, STEP_BYTES + (1 << 18))
+            store[base] = tuple(np.concatenate(([np.uint64(1)], np.cumprod(np.full(size - 1, b, dtype=np.uint64), dtype=np.uint64)))
+                                for b in (base, pow(base, -1, 1 << 64)))
+        return store[base]
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return (self.prefix[end] - self.prefix[start]) * self.inverses[start]
+
+
+def join_texts(texts: list[bytes], fold: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """All texts, translated by ``fold`` and each closed by a line break, as one buffer, and where each starts."""
+    data = np.frombuffer(b"\n".join([*texts, b""]).translate(fold), dtype=np.uint8)
+    starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    return data, starts.astype(np.int64)
+
+
+def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each run of bytes other than ASCII white space (0x20, 0x09 to 0x0D)."""
+    inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
+def shingles(texts: list[bytes], width: int, fold: bytes, short: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of all runs of ``width`` words, the text of each, and the first word's start.
+
+    ``short``: a text of fewer words, but at least one, gives its whole sequence as one.
+    """
+    data, starts = join_texts(texts, fold)
+    s, e = word_spans(data)
+    empty = np.zeros(0, dtype=np.int64)
+    if not len(s):
+        return empty.astype(np.uint64), empty, empty
+    words = mix(ByteHash(data).of(s, e))
+    of = np.searchsorted(starts, s, "right") - 1
+    counts = np.bincount(of, minlength=len(texts))
+    n = len(words) - width + 1
+    out, at = np.zeros(0, dtype=np.uint64), empty
+    if n > 0:
+        total = words[:n].copy()
+        for j in range(1, width):
+            total = mix(total) + words[j:j + n]
+        at = np.flatnonzero(of[:n] == of[width - 1:])
+        out = mix(total[at])
+    if short:
+        few = np.flatnonzero((counts > 0) & (counts < width))
+        first = np.cumsum(counts) - counts
+        extra = []
+        for d in few.tolist():
+            total = words[first[d]]
+            with np.errstate(over="ignore"):
+                for j in range(1, counts[d]):
+                    total = mix(np.array([total]))[0] + words[first[d] + j]
+            extra.append(total)
+        out = np.concatenate((out, mix(np.array(extra, dtype=np.uint64) + np.uint64(1)))) if extra else out
+        at = np.concatenate((at, first[few]))
+    return out, of[at], s[at]
+
+
+#: ASCII letters to lower case, everything else as it is.
+LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+#: The same, and ASCII characters other than letters and digits to spaces.
+LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
