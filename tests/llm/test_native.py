@@ -1,0 +1,140 @@
+"""Quality counts and verdicts, secret spans: against plain Python, on real and edge rows; no Python in the plans."""
+
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+from paystrata.llm import quality, secrets
+from paystrata.llm.common import Scratch
+from paystrata.llm.queries import QUERIES
+
+EMPTY_SHA = hashlib.sha256(b"").hexdigest()
+
+
+def counts(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = [tuple(words[i:i + 5]) for i in range(len(words) - 4)]
+    seen, covered = Counter(windows), set()
+    for i, w in enumerate(windows):
+        if seen[w] > 1:
+            covered.update(range(i, i + 5))
+    failed = len(words) < 10 or 100 * len(covered) > 20 * len(words)
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered), failed
+
+
+def check_quality(rows, docs):
+    expected = Counter((d, *counts(t)) for d, t in docs)
+    assert Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in rows) == expected
+    assert not any(r.kept and r.base_failed for r in rows)
+
+
+def test_quality_query(spark, small, texts):
+    rows = QUERIES["op8_quality"](spark, small).collect()
+    check_quality(rows, texts.items())
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{small}/labels.parquet").collect()}
+    good = [r for r in rows if labels.get(r.doc_id) == 1 and not r.base_failed]
+    assert sum(r.kept for r in good) >= 0.98 * len(good)
+
+
+def test_quality_edge_rows(spark, edge_dir, edge, empty_dir):
+    check_quality(QUERIES["op8_quality"](spark, edge_dir).collect(), [(r.doc_id, r.text) for r in edge.collect()])
+    assert QUERIES["op8_quality"](spark, empty_dir).collect() == []
+
+
+def test_repeats_brute_force(spark, tmp_path):
+    rng = random.Random(1)
+    docs = [(i, " ".join(rng.choice("abc" if i % 3 else "abcdefgh") for _ in range(rng.randrange(60))) + "\n" * (i % 2) + "x y\nx y\n x y\n\n \n") for i in range(300)]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    check_quality(QUERIES["op8_quality"](spark, str(tmp_path)).collect(), docs)
+
+
+def test_estimate_recovers_accuracies(spark):
+    rng, names = random.Random(2), list(quality.rules())
+    truth = {n: a for n, a in zip(names, (0.95, 0.9, 0.85, 0.8, 0.75, 0.7, 0.9, 0.8, 0.85))}
+    rows = []
+    for _ in range(6000):
+        good = rng.random() < 0.8
+        rows.append([0 if rng.random() < 0.2 else (1 if good else -1) * (1 if rng.random() < truth[n] else -1) for n in names])
+    model = quality.estimate(spark.createDataFrame(rows, ", ".join(f"{n} int" for n in names)), Scratch(spark))
+    assert all(abs(model[n] - truth[n]) < 0.05 for n in names) and abs(model["good"] - 0.8) < 0.05
+
+
+PATTERNS = [("assign", r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 8),
+            ("access", r"AKIA[A-Z0-9]+", 0, 16), ("hex", r"[0-9a-f]+", 0, 32)]
+
+
+def base_spans(text):
+    out = []
+    for k, (name, pattern, group, least) in enumerate(PATTERNS):
+        out += [(m.start(), k, m.end(), name) for m in re.finditer(pattern, text or "", re.ASCII) if len(m.group(group)) >= least]
+    return sorted(out)
+
+
+def joined(spans):
+    return ",".join(f"{n}:{s}:{e}" for s, _, e, n in spans)
+
+
+def check_secrets(rows, docs):
+    expected = Counter()
+    for d, t in docs:
+        spans = base_spans(t)
+        expected[(d, *(sum(x[3] == k for x in spans) for k in ("assign", "access", "hex")), hashlib.sha256(joined(spans).encode()).hexdigest())] += 1
+    assert Counter((r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in rows) == expected
+    for r in rows:
+        base = ",".join(x for x in r.spans.split(",") if not x.startswith("random:"))
+        assert hashlib.sha256(base.encode()).hexdigest() == r.base_sha256
+
+
+def test_secrets_query(spark, small, texts):
+    check_secrets(QUERIES["op9_secrets"](spark, small).collect(), texts.items())
+
+
+def test_secrets_edge_rows(spark, edge_dir, edge, empty_dir):
+    rows = QUERIES["op9_secrets"](spark, edge_dir).collect()
+    check_secrets(rows, [(r.doc_id, r.text) for r in edge.collect()])
+    assert all(r.spans == "" and r.base_sha256 == EMPTY_SHA for r in rows)
+    assert QUERIES["op9_secrets"](spark, empty_dir).collect() == []
+
+
+def test_secrets_against_python(spark, tmp_path):
+    rng = random.Random(3)
+    made = lambda n, a="0123456789abcdef": "".join(rng.choice(a) for _ in range(n))
+    base64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    parts = [lambda: f"ToKeN = '{made(20)}'", lambda: f"api_key:{made(6)}", lambda: f"apikey\" : \"{made(12, base64)}\"", lambda: f"AKIA{made(12, 'ABCDEF0123')}",
+             lambda: "AKIAAKIA" + made(3, "ABC"), lambda: made(rng.randrange(25, 70)), lambda: f"secret=token=password:{made(9)}", lambda: "paſſword=abcdefgh1234",
+             lambda: "😀é", lambda: "password= ", lambda: "the_ordinary_identifier_of_a_module", lambda: made(40, base64), lambda: "passwd:" + made(3) + " ; token:" + made(33)]
+    docs = [(i, " ".join(rng.choice(parts)() if rng.random() < 0.5 else rng.choice(["word", "another", "configuration_value", "\n"]) for _ in range(rng.randrange(40)))) for i in range(400)]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    rows = QUERIES["op9_secrets"](spark, str(tmp_path)).collect()
+    check_secrets(rows, docs)
+    of, found = dict(docs), Counter()
+    for r in rows:
+        taken = [(s, e) for s, _, e, _ in base_spans(of[r.doc_id])]
+        for kind, start, end in (x.split(":") for x in r.spans.split(",") if x):
+            if kind == "random":
+                value = of[r.doc_id][int(start):int(end)]
+                assert re.fullmatch(secrets.RUNS, value) and not any(s < int(end) and int(start) < e for s, e in taken)
+                found[value == "the_ordinary_identifier_of_a_module"] += 1
+    assert found[False] > 50 and found[True] == 0
+
+
+def test_likelihood_ratio(spark):
+    size = len(secrets.ALPHABET)
+    ratios = [math.sin(i) for i in range(size * size)]
+    from pyspark.sql import functions as F
+    table = F.split(F.lit(" ".join(map(repr, ratios))), " ").cast("array<double>")
+    for value in ("abcZ09+/_=-", "AKIA0", "a"):
+        got = spark.createDataFrame([(value,)], "value string").select(secrets.likelihood_ratio(F.col("value"), table).alias("x")).first().x
+        ix = [secrets.ALPHABET.index(c) for c in value]
+        assert got == pytest.approx(sum(ratios[a * size + b] for a, b in zip(ix, ix[1:])))
+
+
+@pytest.mark.parametrize("name", ["op8_quality", "op9_secrets"])
+def test_no_python_in_the_plan(spark, small, name):
+    plan = QUERIES[name](spark, small)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow|RDD", plan.replace("ExternalRDD", ""))
