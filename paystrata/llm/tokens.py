@@ -26,7 +26,7 @@ from paystrata.llm.common import column, steps, worker_store
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 #: Words a worker remembers; beyond it the cache starts anew.
-CACHE_WORDS = 1_200_000
+CACHE_WORDS = 400_000
 
 #: White space of the library's pattern (Unicode White_Space), as fixed values.
 SPACES = "\t-\r \x85\xa0  -     　"
@@ -151,7 +151,7 @@ def slices(ids: np.ndarray, lengths: np.ndarray) -> Iterator[np.ndarray]:
 
 TOKEN_TABLE = "doc_id bigint, n_ids bigint, ids binary"
 #: Bytes of text encoded at a time: large enough that most words of a step repeat.
-ENCODE_BYTES = 24 << 20
+ENCODE_BYTES = 12 << 20
 
 
 def pack_ids(ids: np.ndarray) -> bytes:
