@@ -94,6 +94,10 @@ class Scratch:
         path, _ = self.paths.pop(id(df))
         drop_table(self.spark, path)
 
+    def drop_all(self) -> None:
+        for path, df in list(self.paths.values()):
+            self.drop(df)
+
 
 def crc_of_id(doc_id: Column | str) -> Column:
     """crc32 of the id as text; a null id counts as empty text."""

@@ -121,6 +121,20 @@ def leaks(docs: DataFrame, items: DataFrame, width: int = WIDTH, threshold: floa
     return reduce(DataFrame.unionAll, found) if found else docs.sparkSession.createDataFrame([], FOUND)
 
 
+def without_leaks(docs: DataFrame, items: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that contain no item; each block of items is one pass, and no row moves."""
+    schema = docs.schema
+    for block in blocks(items.select(F.col("item_id").cast("bigint"), F.col("text").cast("string"))):
+        def run(batches, block=block):
+            sketches = Sketches(block, width, threshold)
+            for batch in steps(batches):
+                keep = np.ones(batch.num_rows, dtype=bool)
+                keep[[row for row, *_ in sketches.verify(text_bytes(batch))]] = False
+                yield batch.filter(pa.array(keep))
+        docs = docs.mapInArrow(run, schema)
+    return docs
+
+
 SQL = rf"""WITH w AS (SELECT {{key}}, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM {{table}})
   SELECT DISTINCT {{key}}, unnest(list_transform(range(1, len(words) - {WIDTH - 2}), lambda i: array_to_string(words[i:i+{WIDTH - 1}], ' '))) AS s FROM w"""

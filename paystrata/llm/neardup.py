@@ -213,9 +213,9 @@ class Linker:
         return self.labels
 
 
-def near_duplicates(docs: DataFrame, width: int, percent: int = PERCENT) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int, percent: int = PERCENT, scratch: Scratch | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row; ``docs`` has doc_id and text."""
-    scratch = Scratch(docs.sparkSession)
+    scratch = scratch or Scratch(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     rows = scratch.keep(sketches(docs, width), "sketches")
     named = rows.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
@@ -228,6 +228,20 @@ def near_duplicates(docs: DataFrame, width: int, percent: int = PERCENT) -> Data
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def one_of_each(docs: DataFrame, width: int, scratch: Scratch, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` but one of each group of near copies: the one that gave the group its name.
+
+    Of repeated rows one stays; rows with a null doc_id all stay.
+    """
+    judged = scratch.keep(near_duplicates(docs, width, percent, scratch).select("doc_id", "kept"), "judged")
+    gone = judged.filter(~F.col("kept")).select("doc_id").distinct()
+    rest = docs.join(gone, "doc_id", "left_anti")
+    again = judged.filter("kept").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 AND doc_id IS NOT NULL").select("doc_id")
+    if again.isEmpty():
+        return rest
+    return rest.join(again, "doc_id", "left_anti").unionByName(rest.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
 SQL = """WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
 s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]

@@ -120,17 +120,41 @@ def listed(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))))
 
 
+def added(ratios: list[float] | None) -> Column:
+    """Spans of the runs that the models call random."""
+    if ratios is None:
+        return F.array().cast(SPAN)
+    table = F.split(F.lit(" ".join(map(repr, ratios))), " ").cast("array<double>")  # one folded literal
+    return F.filter("runs", lambda r: likelihood_ratio(r["value"], table) >= F.greatest(F.lit(LEAST_SUM), LEAST_MEAN * F.length(r["value"])))
+
+
 def scan(docs: DataFrame, keep: list[str]) -> DataFrame:
     """The columns ``keep`` with ``base`` and ``all_spans``, arrays of (start, kind, end, value)."""
     found = Scratch(docs.sparkSession).keep(scanned(docs, keep), "secrets")
-    ratios = train(found, docs)
-    if ratios is None:
-        added = F.array().cast(SPAN)
-    else:
-        table = F.split(F.lit(" ".join(map(repr, ratios))), " ").cast("array<double>")  # one folded literal
-        total = lambda r: likelihood_ratio(r["value"], table)
-        added = F.filter("runs", lambda r: total(r) >= F.greatest(F.lit(LEAST_SUM), LEAST_MEAN * F.length(r["value"])))
-    return found.withColumn("all_spans", F.array_sort(F.concat("base", added))).drop("runs")
+    return found.withColumn("all_spans", F.array_sort(F.concat("base", added(train(found, docs))))).drop("runs")
+
+
+MASK = "[secret]"
+
+
+def redacted(text: Column, spans: Column) -> Column:
+    """The text with each stretch of spans replaced by ``MASK``."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(acc: Column, s: Column) -> Column:
+        gap = F.when(s["start"] >= acc["at"], F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(MASK))).otherwise(F.lit(""))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], gap).alias("out"))
+
+    end = lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
+    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, start, step, end))
+
+
+def redact(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``docs`` with their secrets masked; the models come from a first pass, the texts are never moved."""
+    found = scratch.keep(scanned(docs, ["doc_id"]).select("base"), "secrets")
+    spans = F.array_sort(F.concat("base", added(train(found, docs))))
+    rows = scanned(docs, docs.columns).withColumn("__spans", spans)
+    return rows.select(*(redacted(F.col("text"), F.col("__spans")).alias("text") if c == "text" else c for c in docs.columns))
 
 
 @query("op9_secrets")
