@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,14 +19,14 @@ def _key(name: Column, ci: bool) -> Column:
     return F.lower(F.trim(name)) if ci else name
 
 
-def assign_ids(names: DataFrame, name_col: str, start: int) -> DataFrame:
+def assign_ids(names: DataFrame, name_col: str, start: int, keep: Callable[[DataFrame, str], DataFrame] = materialize) -> DataFrame:
     """Surrogate ids after ``start`` in name order."""
-    return row_numbers(names, [name_col], "id", start)
+    return row_numbers(names, [name_col], "id", start, keep)
 
 
 def resolve_dim(
     df: DataFrame, dim: DataFrame, name_col: str, id_col: str, ci: bool = False,
-    extra: dict[str, Column] | None = None,
+    extra: dict[str, Column] | None = None, keep: Callable[[DataFrame, str], DataFrame] = materialize,
 ) -> tuple[DataFrame, DataFrame]:
     """(rows with ``id_col``, dimension including the new names).
 
@@ -38,11 +40,11 @@ def resolve_dim(
              .agg(F.min(F.trim(name_col) if ci else F.col(name_col)).alias("name")))
     new = found.join(keyed_dim, "__key", "left_anti").select("name")
     start = dim.agg(F.max("id")).first()[0] or 0
-    created = assign_ids(new, "name", start).withColumn("id", F.col("id").cast(dim.schema["id"].dataType))
+    created = assign_ids(keep(new, "names"), "name", start, keep).withColumn("id", F.col("id").cast(dim.schema["id"].dataType))
     if extra:
         created = created.withColumns(extra)
     # Written once: the stored size tells Spark whether the lookup may be broadcast.
-    full = materialize(dim.unionByName(created, allowMissingColumns=True), "dimension")
+    full = keep(dim.unionByName(created, allowMissingColumns=True), "dimension")
     lookup = full.select(F.col("id").alias(id_col), _key(F.col("name"), ci).alias("__key"))
     return (df.withColumn("__key", _key(F.col(name_col), ci)).join(lookup, "__key", "left").drop("__key")), full
 

@@ -378,9 +378,11 @@ def tumbling_volume(spark, sf):
 
 
 def _feed(spark, sf, root: str, kind: str = "raw"):
-    """The wire messages as three sets of files in arrival order, one after the other."""
+    """The wire messages of three log partitions as three sets of files, one after the other."""
     numbered = prefix.row_numbers(views.wire(views.raw_events(spark, sf, kind)), ["arr", "event_id"], "offset")
-    raw = materialize(numbered.select("topic", "value", F.lit(0).alias("partition"), "offset", "arr"), "feed")
+    appended = F.date_format("arr", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    raw = materialize(numbered.select("topic", "value", (F.col("event_id") % 3).cast("int").alias("partition"), "offset",
+                                      appended.alias("appended"), "arr"), "feed")
     low, high = raw.agg(F.min("arr"), F.max("arr")).first()
     step = (high - low) / 3
     for i in range(3):
@@ -436,9 +438,7 @@ def stream_flush(spark, sf):
     clean = spark.readStream.schema(stream.CLEAN_SCHEMA).parquet(f"{root}/clean")
     done = stream.start_flush(clean, root, {"availableNow": True})
     done.awaitTermination()
-    last = done.lastProgress.batchId
-    tx, platforms, methods = (tables.read_version(spark, f"{root}/{n}", last)
-                              for n in ("transactions", "platforms", "payment_methods"))
+    tx, platforms, methods = (stream.read_flushed(spark, root, n) for n in ("transactions", "platforms", "payment_methods"))
     p = platforms.select(F.col("id").alias("platform_id"), F.col("name").alias("platform_name"), "url")
     m = methods.select(F.col("id").alias("method_id"), F.col("name").alias("method"))
     return tx.join(p, "platform_id").join(m, "method_id").groupBy("platform_name", "url", "method", "user_id").agg(

@@ -64,9 +64,9 @@ STREAM_ERROR = """CASE WHEN coalesce(ref_number, '') = '' OR coalesce(platform_n
 # sight of each reference.
 CLEAN = raw_ev() + f""", valid AS (SELECT *, CAST(amount AS DOUBLE) AS amt FROM raw_ev
   WHERE topic = 'payments.raw.transactions' AND {STREAM_ERROR} IS NULL),
-flagged AS (SELECT *, event_ts < max(event_ts) OVER (ORDER BY arr, event_id) - INTERVAL 10 SECONDS AS late FROM valid),
+flagged AS (SELECT *, event_ts < max(event_ts) OVER (ORDER BY arr, event_id % 3, event_id) - INTERVAL 10 SECONDS AS late FROM valid),
 clean AS (SELECT * FROM flagged WHERE NOT late
-  QUALIFY row_number() OVER (PARTITION BY ref_number ORDER BY arr, event_id) = 1)"""
+  QUALIFY row_number() OVER (PARTITION BY ref_number ORDER BY arr, event_id % 3, event_id) = 1)"""
 
 SAMPLES = EV + """, per_minute AS (SELECT platform_name AS series,
   CAST(floor(epoch(event_ts) / 60) * 60 AS BIGINT) AS t, 1000 * count(*) AS n,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,3 +63,38 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, target = _file_system(spark, path)
+    return store.exists(target)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    store, target = _file_system(spark, path)
+    store.delete(target, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """``materialize`` for the length of a block: what was kept is removed at its end.
+
+    For work that is written before the block ends, such as one micro-batch.
+    """
+    paths: list[str] = []
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        paths.append(scratch_path(spark, label))
+        df.write.parquet(paths[-1])
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
+    try:
+        yield keep
+    finally:
+        for path in paths:
+            remove(spark, path)

@@ -19,16 +19,18 @@ ITEM_TOPICS = {
 
 
 def read_events(spark: SparkSession, fmt: str, options: dict[str, str], topics: list[str]) -> DataFrame:
-    """Stream of (topic, value, partition, offset) from a log or from a folder.
+    """Stream of (topic, value, partition, offset, appended) from a log or from a folder.
 
-    A log starts at its earliest offset. A folder holds the same four columns, so
-    the path after this function is the same for both.
+    ``appended`` is when the log took the record: offsets order one partition alone, the
+    append time orders all of them. A log starts at its earliest offset. A folder holds
+    the same columns, so the path after this function is the same for both.
     """
     if fmt == "kafka":
         raw = (spark.readStream.format("kafka").option("subscribe", ",".join(topics))
                .option("startingOffsets", "earliest").options(**options).load())
-        return raw.select("topic", F.col("value").cast("string").alias("value"), "partition", "offset")
-    raw = (spark.readStream.format(fmt).schema("topic string, value string, partition int, offset bigint")
+        return raw.select("topic", F.col("value").cast("string").alias("value"), "partition", "offset",
+                          F.col("timestamp").alias("appended"))
+    raw = (spark.readStream.format(fmt).schema("topic string, value string, partition int, offset bigint, appended timestamp")
            .options(**options).load())
     return raw.filter(F.col("topic").isin(topics))
 

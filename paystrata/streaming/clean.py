@@ -27,8 +27,8 @@ from paystrata.operators.prefix import late_flags
 from paystrata.operators.validate import (
     LATE, event_text, route, split_valid, validate_landing, validate_metadata, validate_transactions)
 from paystrata.sources.bronze import PARTITIONS, parse_payload, publish, with_partitions
-from paystrata.sources.tables import insert_if_absent, read_version, write_version
-from paystrata.session import materialize
+from paystrata.sources.tables import read_version, write_version
+from paystrata.session import exists, materialize, scratch
 
 # Fixed values.
 ORIGIN = "stream-cleaning-stage"
@@ -36,7 +36,8 @@ LATENESS_SECONDS = 10
 WINDOW = "5 seconds"
 DEDUP_SECONDS = 3600
 STREAM_USER = "STREAM_USER"
-ARRIVAL = ["partition", "offset"]
+# Arrival order over all topics and partitions; offsets order one partition alone.
+ARRIVAL = ["appended", "topic", "partition", "offset"]
 
 
 def to_clean(df: DataFrame) -> DataFrame:
@@ -51,9 +52,9 @@ CLEAN_COLUMNS = ["ref_number", "amount", "platform_name", "method", "type", "sta
 
 
 def split_late(valid: DataFrame, order: list[str], lateness_seconds: int = LATENESS_SECONDS,
-               carried_max: Column | None = None) -> DataFrame:
+               carried_max: Column | None = None, keep=materialize) -> DataFrame:
     """Adds ``late`` and, for late rows, ``error``. Late rows never reach dedup state."""
-    flagged = late_flags(valid, order, "event_ts", lateness_seconds, carried_max)
+    flagged = late_flags(valid, order, "event_ts", lateness_seconds, carried_max, keep)
     return flagged.withColumn("error", F.when(F.col("late"), F.concat(F.lit(LATE), event_text())))
 
 
@@ -61,38 +62,48 @@ def _save(df: DataFrame, root: str, name: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch_id}")
 
 
+def _publish(df: DataFrame, root: str, name: str, batch_id: int) -> None:
+    """As ``_save``, for a folder that another query reads: a batch that was written whole
+    stays as it is, so a replay never takes a listed file away from its reader."""
+    if not exists(df.sparkSession, f"{root}/{name}/batch={batch_id}/_SUCCESS"):
+        _save(df, root, name, batch_id)
+
+
 def clean_batch(batch: DataFrame, batch_id: int, root: str, lateness_seconds: int = LATENESS_SECONDS) -> None:
     """One micro-batch of (topic, value, …) rows to the folders under ``root``."""
     spark = batch.sparkSession
     # One write, then every branch reads it: the source is read once, and a lost
-    # executor finds the rows in the shared folder.
-    parsed = materialize(parse_payload(batch), "batch")
-    transactions, metadata = route(parsed)
-
-    kept, refused = split_valid(validate_metadata(metadata), ORIGIN)
-    _save(kept.select("topic", F.col("payload").alias("value")), root, "metadata", batch_id)
-
-    valid, invalid = split_valid(validate_transactions(transactions), ORIGIN)
-    # As a number: a Python datetime would pass through the driver's time zone.
-    before = (read_version(spark, f"{root}/max_event_ts", batch_id - 1)
-              .select(F.unix_micros("max_event_ts")).first()[0] if batch_id > 0 else None)
-    carried = F.timestamp_micros(F.lit(before).cast("bigint"))
-    flagged = materialize(split_late(to_clean(valid), ARRIVAL, lateness_seconds, carried), "flagged")
-    newest = flagged.agg(F.greatest(F.max("max_event_ts"), carried).alias("max_event_ts"))
-
-    on_time = flagged.filter(~F.col("late")).drop("error", "late", "max_event_ts")
-    # A reference repeated within the batch is folded here, so one hot reference
-    # reaches the state store as a single row.
-    first = dedup_first(on_time, ["ref_number"], [F.col(c) for c in ARRIVAL])
-    _save(first.select(*CLEAN_COLUMNS, *ARRIVAL), root, "on_time", batch_id)
-
-    _, late = split_valid(flagged.drop("late", "max_event_ts"), ORIGIN)
-    _save(refused.unionByName(invalid).unionByName(late), root, "dlq", batch_id)
-    kept_rows = spark.read.parquet(f"{root}/on_time/batch={batch_id}").count()
-    counts = flagged.agg(F.count(F.lit(1)).alias("valid"), F.count_if("late").alias("late")).withColumns(
-        {"read": F.lit(parsed.count()), "first_in_batch": F.lit(kept_rows)})
-    _save(counts, root, "metrics", batch_id)
-    write_version(newest, f"{root}/max_event_ts", batch_id)
+    # executor finds the rows in the shared folder. They go when the batch is done.
+    with scratch(spark) as keep:
+        if "appended" not in batch.columns:  # a source of one partition needs no append time
+            batch = batch.withColumn("appended", F.lit(None).cast("timestamp"))
+        parsed = keep(parse_payload(batch), "batch")
+        transactions, metadata = route(parsed)
+
+        kept, refused = split_valid(validate_metadata(metadata), ORIGIN)
+        _save(kept.select("topic", F.col("payload").alias("value")), root, "metadata", batch_id)
+
+        valid, invalid = split_valid(validate_transactions(transactions), ORIGIN)
+        # As a number: a Python datetime would pass through the driver's time zone.
+        before = (read_version(spark, f"{root}/max_event_ts", batch_id - 1)
+                  .select(F.unix_micros("max_event_ts")).first()[0] if batch_id > 0 else None)
+        carried = F.timestamp_micros(F.lit(before).cast("bigint"))
+        flagged = keep(split_late(to_clean(valid), ARRIVAL, lateness_seconds, carried, keep), "flagged")
+        newest = flagged.agg(F.greatest(F.max("max_event_ts"), carried).alias("max_event_ts"))
+
+        on_time = flagged.filter(~F.col("late")).drop("error", "late", "max_event_ts")
+        # A reference repeated within the batch is folded here, so one hot reference
+        # reaches the state store as a single row.
+        first = dedup_first(on_time, ["ref_number"], [F.col(c) for c in ARRIVAL])
+        _publish(first.select(*CLEAN_COLUMNS, *ARRIVAL), root, "on_time", batch_id)
+
+        _, late = split_valid(flagged.drop("late", "max_event_ts"), ORIGIN)
+        _save(refused.unionByName(invalid).unionByName(late), root, "dlq", batch_id)
+        kept_rows = spark.read.parquet(f"{root}/on_time/batch={batch_id}").count()
+        counts = flagged.agg(F.count(F.lit(1)).alias("valid"), F.count_if("late").alias("late")).withColumns(
+            {"read": F.lit(parsed.count()), "first_in_batch": F.lit(kept_rows)})
+        _save(counts, root, "metrics", batch_id)
+        write_version(newest, f"{root}/max_event_ts", batch_id)
 
 
 def start_cleaning(events: DataFrame, root: str, lateness_seconds: int = LATENESS_SECONDS,
@@ -104,7 +115,8 @@ def start_cleaning(events: DataFrame, root: str, lateness_seconds: int = LATENES
 
 
 CLEAN_SCHEMA = ("ref_number string, amount double, platform_name string, method string, type string, "
-                "status string, event_ts timestamp, partition int, offset bigint, batch bigint")
+                "status string, event_ts timestamp, appended timestamp, topic string, partition int, offset bigint, "
+                "batch bigint")
 
 
 def read_on_time(spark: SparkSession, root: str) -> DataFrame:
@@ -192,37 +204,53 @@ def passthrough(events: DataFrame) -> DataFrame:
         "topic", F.col("payload").alias("value"))
 
 
+def _appended(spark: SparkSession, root: str, name: str, before: int, schema: str) -> DataFrame:
+    """Rows of a table that grows by one folder a batch, as it stood before a batch."""
+    if not exists(spark, f"{root}/{name}"):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(f"{schema}, batch bigint").parquet(f"{root}/{name}")
+    return rows.filter(F.col("batch") < before).drop("batch")
+
+
+FLUSHED = {
+    "platforms": "id bigint, name string, url string", "payment_methods": "id bigint, name string, type string",
+    "transactions": "ref_number string, user_id string, platform_id bigint, method_id bigint, amount double, "
+                    "type string, status string, event_ts timestamp"}
+
+
+def read_flushed(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A star table of the flush, all batches."""
+    return _appended(spark, root, name, 2 ** 62, FLUSHED[name])
+
+
 def flush_batch(batch: DataFrame, batch_id: int, root: str, clean_topic: str = "payments.clean.transactions",
                 kafka: dict[str, str] | None = None) -> None:
     """Window flush: publish, resolve both dimensions, insert absent transactions.
 
-    Set-wise: a constant number of jobs per batch, whatever its size. Tables are
-    versioned by batch id, so a replay rewrites its own version.
+    Set-wise: a constant number of jobs per batch, whatever its size. A batch appends its
+    new rows under ``batch=N`` and rewrites nothing older; a replay overwrites its own
+    folders, as it reads only the batches before it.
     """
     spark = batch.sparkSession
-    rows = materialize(batch, "flush")
-    if kafka:
-        publish(rows, F.lit(clean_topic), kafka=kafka)
-    else:
-        rows.withColumn("topic", F.lit(clean_topic)).write.mode("overwrite").json(f"{root}/published/batch={batch_id}")
-
-    def current(name: str, schema: str) -> DataFrame:
-        if batch_id == 0:
-            return spark.createDataFrame([], schema)
-        return read_version(spark, f"{root}/{name}", batch_id - 1)
-
-    platforms = current("platforms", "id bigint, name string, url string")
-    methods = current("payment_methods", "id bigint, name string, type string")
-    tx = current("transactions", "ref_number string, user_id string, platform_id bigint, method_id bigint, "
-                                 "amount double, type string, status string, event_ts timestamp")
-    with_platform, platforms = resolve_dim(rows, platforms, "platform_name", "platform_id",
-                                           extra={"url": default_url("name")})
-    resolved, methods = resolve_dim(with_platform, methods, "method", "method_id", extra={"type": F.lit("UPI")})
-    new = resolved.withColumn("user_id", F.lit(STREAM_USER)).select(*tx.columns)
-    write_version(platforms, f"{root}/platforms", batch_id)
-    write_version(methods, f"{root}/payment_methods", batch_id)
-    write_version(insert_if_absent(tx, new, ["ref_number"], [F.col("event_ts"), F.col("amount")]),
-                  f"{root}/transactions", batch_id)
+    with scratch(spark) as keep:
+        rows = keep(batch, "flush")
+        if kafka:
+            publish(rows, F.lit(clean_topic), kafka=kafka)
+        else:
+            rows.withColumn("topic", F.lit(clean_topic)).write.mode("overwrite").json(f"{root}/published/batch={batch_id}")
+        before = {name: _appended(spark, root, name, batch_id, schema) for name, schema in FLUSHED.items()}
+        with_platform, platforms = resolve_dim(rows, before["platforms"], "platform_name", "platform_id",
+                                               extra={"url": default_url("name")}, keep=keep)
+        resolved, methods = resolve_dim(with_platform, before["payment_methods"], "method", "method_id",
+                                        extra={"type": F.lit("UPI")}, keep=keep)
+        columns = before["transactions"].columns
+        new = dedup_first(resolved.withColumn("user_id", F.lit(STREAM_USER)).select(*columns), ["ref_number"],
+                          [F.col("event_ts"), F.col("amount")])
+        # The old side is filtered to the batch's keys by the join; only keys are read of it.
+        added = keep(new.join(before["transactions"].select("ref_number"), ["ref_number"], "left_anti").select(*columns), "added")
+        for name, table in (("platforms", platforms), ("payment_methods", methods)):
+            _save(table.join(before[name].select("id"), "id", "left_anti").select(*before[name].columns), root, name, batch_id)
+        _save(added, root, "transactions", batch_id)
 
 
 def start_flush(clean: DataFrame, root: str, trigger: dict | None = None, **options) -> StreamingQuery:
@@ -238,15 +266,20 @@ def landing_rows(events: DataFrame) -> DataFrame:
     return with_partitions(ok)
 
 
-def start_bronze(events: DataFrame, root: str, trigger: dict | None = None) -> tuple[StreamingQuery, StreamingQuery]:
-    """(accepted rows to partitioned JSON, rejected rows to the dead letters)."""
-    drop = [c for c in ("topic", "partition", "offset") if c in events.columns]
-    accepted = (landing_rows(events).drop(*drop).writeStream.queryName("bronze").format("json")
-                .partitionBy(*PARTITIONS).option("path", f"{root}/bronze")
-                .option("checkpointLocation", f"{root}/_checkpoints/bronze")
-                .trigger(**(trigger or {"availableNow": True})).start())
-    rejected = (split_valid(validate_landing(parse_payload(events)))[1].writeStream.queryName("bronze_dlq")
-                .format("json").option("path", f"{root}/bronze_dlq")
-                .option("checkpointLocation", f"{root}/_checkpoints/bronze_dlq")
-                .trigger(**(trigger or {"availableNow": True})).start())
-    return accepted, rejected
+def land_batch(batch: DataFrame, batch_id: int, root: str) -> None:
+    """One micro-batch of clean-topic events: accepted rows to partitioned JSON, the others
+    to the dead letters; read and parsed once. A replay overwrites its own folders."""
+    with scratch(batch.sparkSession) as keep:
+        checked = keep(validate_landing(parse_payload(batch)), "landing")
+        ok, dead = split_valid(checked)
+        drop = [c for c in ("topic", "partition", "offset", "appended", "reason", "payload") if c in ok.columns]
+        (with_partitions(ok.drop(*drop)).hint("rebalance", *PARTITIONS).write.mode("overwrite")
+         .partitionBy(*PARTITIONS).json(f"{root}/bronze/batch={batch_id}"))
+        dead.write.mode("overwrite").json(f"{root}/bronze_dlq/batch={batch_id}")
+
+
+def start_bronze(events: DataFrame, root: str, trigger: dict | None = None) -> tuple[StreamingQuery, ...]:
+    """The landing query: accepted rows to partitioned JSON, rejected rows to the dead letters."""
+    return ((events.writeStream.queryName("bronze").foreachBatch(lambda df, i: land_batch(df, i, root))
+             .option("checkpointLocation", f"{root}/_checkpoints/bronze")
+             .trigger(**(trigger or {"availableNow": True})).start()),)

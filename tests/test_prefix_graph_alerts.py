@@ -119,3 +119,19 @@ def test_duplicate_share_hold(spark):
     df = spark.createDataFrame(rows, "series string, t bigint, read bigint, duplicates bigint")
     fired = sorted(r["t"] // 60 for r in quality.alert_duplicates(df).filter("firing").collect())
     assert fired == [8, 9, 10, 11]
+
+
+def test_ranges_follow_the_rows(spark, monkeypatch):
+    """A third of the rows share one order value; the unique second key still cuts them."""
+    monkeypatch.setattr(prefix, "ROWS_PER_RANGE", 100)
+    df = spark.range(3000).select((F.col("id") * (F.col("id") % 3)).alias("a"), "id")
+    assert prefix.ranges_of(df, 100) == 30
+    kept = []
+
+    def keep(rows, label):
+        kept.append(prefix.materialize(rows, label))
+        return kept[-1]
+
+    out = prefix.running(df, ["a", "id"], {"n": ("sum", F.lit(1))}, 30, keep)
+    assert out.agg(F.max("n"), F.count_distinct("n")).first() == (3000, 3000)
+    assert kept[0].groupBy("__range").count().agg(F.max("count")).first()[0] <= 300

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paystrata.plans import views  # noqa: F401
-from paystrata.sources import bronze, tables
+from paystrata.sources import bronze
 from paystrata.streaming import clean, metrics
 
 RAW = "payments.raw.transactions"
@@ -152,8 +152,8 @@ def test_flush_is_first_write_wins_and_replayable(feed):
     clean.flush_batch(rows(("A", 1.0, "My Site", "UPI"), ("B", 2.0, "Other", "Visa")), 0, feed.root)
     for _ in range(2):
         clean.flush_batch(rows(("A", 9.0, "My Site", "UPI"), ("C", 3.0, "Third", "UPI")), 1, feed.root)
-    tx = {r["ref_number"]: r for r in tables.read_version(feed.spark, f"{feed.root}/transactions", 1).collect()}
-    platforms = {r["name"]: r for r in tables.read_version(feed.spark, f"{feed.root}/platforms", 1).collect()}
+    tx = {r["ref_number"]: r for r in clean.read_flushed(feed.spark, feed.root, "transactions").collect()}
+    platforms = {r["name"]: r for r in clean.read_flushed(feed.spark, feed.root, "platforms").collect()}
     assert sorted(tx) == ["A", "B", "C"] and tx["A"]["amount"] == 1.0 and tx["A"]["user_id"] == "STREAM_USER"
     assert {n: r["id"] for n, r in platforms.items()} == {"My Site": 1, "Other": 2, "Third": 3}
     assert platforms["My Site"]["url"] == "https://mysite.com" and tx["C"]["platform_id"] == 3
@@ -167,3 +167,42 @@ def test_landing_stream(feed):
     assert bronze.read_bronze(feed.spark, f"{feed.root}/bronze").filter("platform = 'melbet'").count() == 1
     dead = feed.spark.read.json(f"{feed.root}/bronze_dlq").first()
     assert json.loads(dead["failed_payload"]) == {"ref_number": "TX_123"} and "missing required" in dead["error"]
+
+
+def files_under(path):
+    return [f for _, _, names in os.walk(path) for f in names if f.startswith("part-")]
+
+
+def test_scratch_goes_and_flush_appends(feed):
+    """After N batches no scratch table is left, and a batch leaves only what is new in it."""
+    from paystrata.session import shared_root
+    shared = f"{shared_root(feed.spark)}/paystrata"
+    left = set(os.listdir(shared)) if os.path.isdir(shared) else set()
+    sizes = []
+    for n in range(3):
+        feed.send(*[ev(f"R{n}-{i}", f"22:00:{10 * n + i:02d}") for i in range(5)])
+        feed.clean()
+        batch = feed.spark.read.schema(clean.CLEAN_SCHEMA).parquet(f"{feed.root}/on_time").filter(F.col("batch") == n)
+        clean.flush_batch(batch.unionByName(batch), n, feed.root)
+        stored = feed.spark.read.parquet(f"{feed.root}/transactions/batch={n}")
+        sizes.append((stored.count(), feed.spark.read.parquet(f"{feed.root}/platforms/batch={n}").count()))
+    assert sizes == [(5, 1), (5, 0), (5, 0)]
+    assert set(os.listdir(shared)) == left
+
+
+def test_equal_clocks_in_two_partitions_are_not_late(spark):
+    """Arrival order is the append time, so a second partition is not read after the first."""
+    rows = [(f"R{p}-{i}", p, i, f"2024-01-01 10:{i:02d}:00", f"2024-01-01 10:{i:02d}:01") for p in range(2) for i in range(30)]
+    df = spark.createDataFrame(rows, "ref_number string, partition int, offset bigint, e string, a string").select(
+        "ref_number", "partition", "offset", F.lit(RAW).alias("topic"), F.col("e").cast("timestamp").alias("event_ts"),
+        F.col("a").cast("timestamp").alias("appended"), F.col("e").alias("timestamp"), F.lit(None).cast("string").alias("scrape_timestamp"))
+    assert clean.split_late(df, clean.ARRIVAL).filter("late").count() == 0
+
+
+def test_replay_leaves_a_published_batch_alone(feed):
+    feed.send(ev("A", "22:00:00"))
+    feed.clean()
+    path = f"{feed.root}/on_time/batch=0"
+    before = {f: os.stat(f"{path}/{f}").st_mtime_ns for f in os.listdir(path)}
+    clean.clean_batch(feed.spark.read.schema("topic string, value string, partition int, offset bigint").json(f"{feed.root}/in"), 0, feed.root)
+    assert {f: os.stat(f"{path}/{f}").st_mtime_ns for f in os.listdir(path)} == before
