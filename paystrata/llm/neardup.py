@@ -1,7 +1,7 @@
 """MinHash near-duplicates by a multi-index Hamming join.
 
 A document's set of word shingles is signed with ``SYMBOLS`` minima, of which ``b`` = 16
-bits are kept. Signatures are cut into ``CHUNKS`` chunks; if two signatures differ in at
+bits are kept. The first ``INDEXED`` are cut into ``CHUNKS`` chunks; if two of these differ in at
 most ``2 * CHUNKS - 1`` symbols, some chunk holds at most one error (pigeonhole), so each
 chunk is indexed once for each symbol left out, and every pair under that distance meets
 in a bucket. At a similarity of 0.8 two documents miss all buckets with a probability of
@@ -10,10 +10,13 @@ shingle sets.
 
 Equal sets are one node from the start. Buckets are never expanded into all pairs while
 they hold one component: each member first meets its best bucket centre, links become
-components, and only pairs across different components are looked at again - all of them
-in buckets of up to ``SMALL`` members; larger ones meet further centres for ``ROUNDS``
-rounds, and what is then still apart meets every other member of its bucket, the exact
-way for the rest. So every link counts, whether or not it is listed.
+components, and only pairs across different components are looked at again. Before that,
+members of such buckets are weighed by their shingles that no other of them has: a set
+of which more than a fifth is its own can have no link, and leaves. Of the rest all pairs
+across components meet in buckets of up to ``SMALL`` members; larger ones meet further
+centres for ``ROUNDS`` rounds, those with the fewest shingles of their own first, and what
+is then still apart is joined on the shingles that a link could not do without, rarest
+first - the exact way for the rest. So every link counts, whether or not it is listed.
 
 Null or empty texts and texts without words have an empty set and no links. A row with a
 null doc_id has no name a component could carry: it is returned alone. Repeated rows are
@@ -26,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from paystrata.llm.common import LOWER, Scratch, column, documents, mix, shingles, steps, text_bytes
@@ -33,10 +37,11 @@ from paystrata.llm.components import components
 from paystrata.llm.registry import query
 
 CHUNKS, PER_CHUNK = 12, 5
-SYMBOLS = CHUNKS * PER_CHUNK
+#: Symbols in the index, and in the whole signature, by which candidates are checked.
+INDEXED, SYMBOLS = CHUNKS * PER_CHUNK, 128
 #: Symbols two signatures must share to be confirmed; five standard deviations below 0.8.
-AGREE = 30
-SMALL, ROUNDS = 48, 5
+AGREE = 80
+SMALL, ROUNDS = 48, 4
 PERCENT = 80
 _U = np.uint64
 MULTIPLY = mix(np.arange(1, SYMBOLS + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
@@ -81,7 +86,8 @@ def bucket_keys(nodes: DataFrame) -> DataFrame:
     """(key, node): each chunk with each of its symbols left out."""
     def run(batches):
         for batch in batches:
-            signs = np.frombuffer(b"".join(column(batch, "sign").to_pylist()), dtype="<u2").reshape(-1, CHUNKS, PER_CHUNK).astype(_U)
+            signs = np.frombuffer(b"".join(column(batch, "sign").to_pylist()), dtype="<u2").reshape(-1, SYMBOLS)[:, :INDEXED]
+            signs = signs.reshape(-1, CHUNKS, PER_CHUNK).astype(_U)
             node = column(batch, "node").to_numpy(zero_copy_only=False)
             for out in range(PER_CHUNK):
                 rest = [p for p in range(PER_CHUNK) if p != out]
@@ -177,39 +183,85 @@ class Linker:
             self.scratch.drop(self.labels)
         self.labels = components(self.links, self.scratch)
 
-    def split(self) -> DataFrame:
-        """Members of buckets that hold more than one component."""
-        rows = (self.members.join(self.labels, "node", "left")
-                .select("key", "node", "n", F.coalesce("comp", "node").alias("comp")))
-        mixed = rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("key")
-        return self.scratch.keep(rows.join(mixed, "key", "left_semi"), "split")
+    def split(self, members: DataFrame) -> DataFrame:
+        """Members of buckets that hold more than one component, with the bucket's size."""
+        rows = members.select("key", "node").join(self.labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
+        mixed = (rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n"))
+                 .filter("low <> high").select("key", "n"))
+        return self.scratch.keep(rows.join(mixed, "key"), "split")
+
+    def shingles_of(self, some: DataFrame) -> DataFrame:
+        """(h, node, size): the distinct shingles of the nodes."""
+        width = self.width
+
+        def run(batches):
+            unpack = zstandard.ZstdDecompressor().decompress
+            for batch in batches:
+                for at in range(0, batch.num_rows, 500):
+                    part = batch.slice(at, 500)
+                    hashes, bounds = distinct_sets([unpack(x) for x in column(part, "packed").to_pylist()], width)
+                    size = np.diff(bounds)
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(np.repeat(column(part, "node").to_numpy(), size)),
+                                                      pa.array(np.repeat(size, size))], names=["h", "node", "size"])
+        return self.texts.join(some, "node", "left_semi").mapInArrow(run, "h bigint, node bigint, size bigint")
+
+    def linkable(self, rows: DataFrame) -> DataFrame:
+        """(node, own): nodes whose shingles in common with others can make up the similarity, and how many are their own."""
+        sets = self.scratch.keep(self.shingles_of(rows.select("node").distinct()), "shingles")
+        alone = sets.groupBy("h").agg(F.count("*").alias("n"), F.min("node").alias("node")).filter("n = 1")
+        sizes = sets.groupBy("node").agg(F.first("size").alias("size"))
+        own = F.coalesce("own", F.lit(0))
+        out = (sizes.join(alone.groupBy("node").agg(F.count("*").alias("own")), "node", "left").filter(100 * (F.col("size") - own) >= self.percent * F.col("size"))
+               .select("node", own.alias("own")))
+        out = self.scratch.keep(out, "linkable")
+        self.scratch.drop(sets)
+        return out
+
+    def rest(self, large: DataFrame) -> DataFrame:
+        """Pairs (a, b) across components that could be links: sharing one of the shingles a link cannot do without.
+
+        In one order of all shingles, rarest first, two sets that share at least m shingles meet within the first
+        ``size - m + 1`` of each.
+        """
+        sets = self.shingles_of(large.select("node").distinct())
+        rare = sets.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
+        place = F.row_number().over(W.partitionBy("node").orderBy(F.coalesce("n", F.lit(1)), "h"))
+        ranked = sets.join(rare, "h", "left").withColumn("k", place).filter("n > 1 AND k <= size - ceil(size * {0} / 100) + 1".format(self.percent))
+        ranked = self.scratch.keep(ranked.join(self.labels, "node", "left").select("h", "node", "size", "k", F.coalesce("comp", "node").alias("comp")), "ranked")
+        sizes = large.groupBy("key", "comp").agg(F.count("*").alias("m"))
+        most = sizes.groupBy("key").agg(F.max_by("comp", F.struct("m", "comp")).alias("most"))
+        apart = large.join(most, "key").filter("comp <> most").select("node").distinct()
+        x, y = ranked.join(apart, "node", "left_semi").alias("x"), ranked.alias("y")
+        need = F.ceil(F.lit(self.percent) * (F.col("x.size") + F.col("y.size")) / (100 + self.percent))
+        meet = ((F.col("x.h") == F.col("y.h")) & (F.col("x.comp") != F.col("y.comp")) & (F.col("x.k") <= F.col("x.size") - need + 1)
+                & (F.col("y.k") <= F.col("y.size") - need + 1))
+        return x.join(y, meet).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
     def run(self) -> DataFrame:
         self.test(self.members.select(F.col("centre").alias("a"), F.col("node").alias("b")), best=True)
-        rows = self.split()
+        rows = self.split(self.members)
+        if rows.isEmpty():
+            return self.labels
+        weighed = self.linkable(rows)
+        members = self.scratch.keep(rows.select("key", "node").join(weighed, "node"), "members")
+        self.scratch.drop(rows)
+        rows = self.split(members)
         small = rows.filter(F.col("n") <= SMALL)
-        pairs = (small.alias("x").join(small.alias("y"), "key").filter("x.node < y.node and x.comp <> y.comp")
-                 .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
-        centres = self.members.filter(F.col("n") > SMALL).select(F.col("centre").alias("a"), F.col("node").alias("b"))
-        self.test(pairs.unionAll(centres))
-        for k in range(ROUNDS):
+        self.test(small.alias("x").join(small.alias("y"), "key").filter("x.node < y.node and x.comp <> y.comp")
+                  .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
+        for k in range(ROUNDS + 1):
             self.scratch.drop(rows)
-            rows = self.split()
+            rows = self.split(members)
             large = rows.filter(F.col("n") > SMALL)
             if large.isEmpty():
                 break
-            centre = large.groupBy("key").agg(F.min_by("node", F.xxhash64("node", F.lit(k))).alias("a"))
-            self.test(large.join(centre, "key").select("a", F.col("node").alias("b")))
-        else:
-            self.scratch.drop(rows)
-            rows = self.split()
-            large = rows.filter(F.col("n") > SMALL)
-            if not large.isEmpty():
-                # The exact way for the rest: all but a bucket's largest component meet all its members.
-                sizes = large.groupBy("key", "comp").agg(F.count("*").alias("m"))
-                most = sizes.groupBy("key").agg(F.max_by("comp", F.struct("m", "comp")).alias("most"))
-                rest = large.join(most, "key").filter("comp <> most").select("key", F.col("node").alias("a"), F.col("comp").alias("ca"))
-                self.test(rest.join(large.select("key", F.col("node").alias("b"), "comp"), "key").filter("ca <> comp").select("a", "b"))
+            if k == ROUNDS:
+                self.test(self.rest(large))
+                break
+            first = F.struct("own", F.xxhash64("node")) if k == 0 else F.struct(F.xxhash64("node", F.lit(k)), "own")
+            centre = large.join(weighed, "node").groupBy("key").agg(F.min_by(F.struct("node", "comp"), first).alias("c"))
+            centre = centre.select("key", F.col("c.node").alias("a"), F.col("c.comp").alias("ca"))
+            self.test(large.join(centre, "key").filter("comp <> ca").select("a", F.col("node").alias("b")))
         return self.labels
 
 

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from paystrata.functions.classify import category
 from paystrata.functions.parse import _col, flag_if
 from paystrata.operators.dedup import top_per_group
-from paystrata.session import materialize
 
 # Model parameters.
 SEED = 42
@@ -29,6 +28,7 @@ CLASSIFIER_FEATURES = ["amount", "text_length", "has_upi", "has_bank", "has_cryp
 ANOMALY_FEATURES = ["amount", "type_num", "status_num"]
 CLUSTER_FEATURES = ["amount", "text_length"]
 EULER_GAMMA = 0.5772156649015329
+TEST_DIGITS = ["0", "1", "2"]
 
 
 def classifier_features(silver: DataFrame) -> DataFrame:
@@ -43,9 +43,9 @@ def anomaly_features(silver: DataFrame) -> DataFrame:
 
 
 def split(df: DataFrame, key: str = "ref_number") -> tuple[DataFrame, DataFrame]:
-    """Four fifths to train, one fifth to test, by key hash: the same rows on every
-    run and partitioning."""
-    test = F.pmod(F.xxhash64(key, F.lit(SEED)), F.lit(5)) == 0
+    """About four fifths to train, one fifth to test, by the key's md5: the same rows on
+    every run, partitioning and engine."""
+    test = F.substring(F.md5(F.col(key).cast("binary")), 1, 1).isin(*TEST_DIGITS)
     return df.filter(~test), df.filter(test)
 
 
@@ -72,6 +72,14 @@ def class_report(pred: DataFrame, label: str = "category", prediction: str = "pr
                   ).select("class", "precision", "recall", "f1", "support")
 
 
+def report_averages(report: DataFrame) -> DataFrame:
+    """Accuracy, macro and support-weighted averages of a class report, one row."""
+    n = F.sum("support")
+    macro = [F.avg(c).alias(f"macro_{c}") for c in ("precision", "recall", "f1")]
+    weighted = [(F.sum(F.col(c) * F.col("support")) / n).alias(f"weighted_{c}") for c in ("precision", "recall", "f1")]
+    return report.agg((F.sum(F.col("recall") * F.col("support")) / n).alias("accuracy"), *macro, *weighted, n.alias("support"))
+
+
 def train_kmeans(df: DataFrame, k: int = CLUSTERS, restarts: int = RESTARTS, seed: int = SEED,
                  columns: list[str] | None = None) -> tuple[KMeansModel, float]:
     """Best of ``restarts`` seeds by inertia. The feature column is kept across the
@@ -102,6 +110,12 @@ _TREE_SCHEMA = ("tree int, feature array<int>, cut array<double>, left array<int
                 "path array<double>")
 
 
+_SETTINGS_SCHEMA = ("features array<string>, trees int, subsample int, contamination double, seed int, "
+                    "sample_size int, threshold double")
+#: Rows drawn for a tree, as a multiple of what it keeps.
+SURPLUS = 2
+
+
 def _grow(points: np.ndarray, rng: np.random.RandomState) -> dict[str, list]:
     """One random tree as parallel arrays; ``path`` is the depth credited to a leaf."""
     limit = int(np.ceil(np.log2(max(len(points), 2))))
@@ -144,19 +158,33 @@ class IsolationForest:
         self.sample_size = 0
         self.threshold: float | None = None
 
+    def _known(self) -> Column:
+        """All features are numbers: a row that lacks one cannot be placed in a tree."""
+        known = F.lit(True)
+        for f in self.features:
+            value = F.col(f).cast("double")
+            known = known & value.isNotNull() & ~F.isnan(value)
+        return known
+
     def _sample(self, df: DataFrame, key: str) -> DataFrame:
-        """``subsample`` rows per tree: a pool of rows by key hash (a sampling
-        operator, so the limit is the feature), then an own draw per tree."""
-        columns = [F.col(key).cast("string").alias("__key"), *[F.col(f).cast("double") for f in self.features]]
-        pool = materialize(df.select(*columns).orderBy(F.xxhash64("__key", F.lit(self.seed)), "__key")
-                           .limit(self.subsample * 40), "pool")
-        size = pool.count()
+        """``subsample`` rows per tree, drawn from all rows in one pass.
+
+        With n rows a row goes into about ``SURPLUS * subsample * trees / n`` trees, the
+        first picked by its hash and the others next to it; each tree then keeps the
+        ``subsample`` rows with the lowest hash, which are cut on the map side.
+        """
+        rows = df.filter(self._known()).select(
+            F.col(key).cast("string").alias("__key"), *[F.col(f).cast("double").alias(f) for f in self.features])
+        size = rows.count()
         self.sample_size = min(self.subsample, size)
+        wanted = SURPLUS * self.subsample * self.trees / max(size, 1)
+        copies = max(1, min(self.trees, int(np.ceil(wanted))))
+        pick = F.xxhash64("__key", F.lit(self.seed))
+        chance = F.pmod(F.xxhash64("__key", "copy", F.lit(self.seed)), F.lit(1 << 30)) / float(1 << 30)
+        trees = (rows.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+                 .filter(chance < min(1.0, wanted / copies))
+                 .withColumn("tree", F.pmod(F.shiftright(pick, 2) + F.col("copy"), F.lit(self.trees)).cast("int")).drop("copy"))
         draw = F.xxhash64("__key", "tree", F.lit(self.seed))
-        # About four times the rows a tree needs stay in the draw.
-        bins = max(1, size // (self.subsample * 4))
-        trees = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(self.trees - 1)))).filter(
-            F.pmod(draw, F.lit(bins)) == 0)
         return top_per_group(trees, ["tree"], [draw, F.col("__key")], self.subsample)
 
     def fit(self, df: DataFrame, key: str = "ref_number") -> "IsolationForest":
@@ -203,17 +231,38 @@ class IsolationForest:
                         below = flat.take(start + feature.take(at)) <= cut.take(at)
                         at = np.where(below, left.take(at), right.take(at))
                     total += path.take(at)
-                yield pd.Series(2.0 ** (-(total / len(trees)) / bound))
+                result = 2.0 ** (-(total / max(len(trees), 1)) / bound)
+                yield pd.Series(np.where(np.isnan(points).any(axis=1), np.nan, result))
 
         scorer = F.pandas_udf(score, "double")
-        return df.withColumn("anomaly_score", scorer(*[F.col(f).cast("double") for f in self.features]))
+        return df.withColumn("anomaly_score", F.when(
+            self._known(), scorer(*[F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in self.features])))
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Adds the score and ``prediction``: -1 anomalous, 1 normal."""
+        """Adds the score and ``prediction``: -1 anomalous, 1 normal. A row that lacks a
+        feature has no score and is predicted normal."""
         return self.score(df).withColumn(
             "prediction", F.when(F.col("anomaly_score") > F.lit(self.threshold), -1).otherwise(1))
 
 
+    def save(self, spark, path: str) -> None:
+        """The forest as two small tables: ``trees`` and ``settings``."""
+        rows = [(i, *(t[c].tolist() for c in ("feature", "cut", "left", "right", "path"))) for i, t in enumerate(self.forest)]
+        spark.createDataFrame(rows, _TREE_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/trees")
+        settings = (self.features, self.trees, self.subsample, self.contamination, self.seed, self.sample_size, self.threshold)
+        spark.createDataFrame([settings], _SETTINGS_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/settings")
+
+    @classmethod
+    def load(cls, spark, path: str) -> "IsolationForest":
+        """A forest that scores new rows as the saved one does."""
+        s = spark.read.parquet(f"{path}/settings").first()
+        out = cls(list(s.features), s.trees, s.subsample, s.contamination, s.seed)
+        out.sample_size, out.threshold = s.sample_size, s.threshold
+        out.forest = [{c: np.array(r[c]) for c in ("feature", "cut", "left", "right", "path")}
+                      for r in spark.read.parquet(f"{path}/trees").orderBy("tree").collect()]
+        return out
+
+
 def anomaly_rate(pred: DataFrame) -> DataFrame:
     flagged = F.count_if(F.col("prediction") == -1)
     return pred.agg(flagged.alias("flagged"), F.count(F.lit(1)).alias("records"),

@@ -45,10 +45,11 @@ def rejections_by_reason(dead: DataFrame, topic: str = "topic", reason: str = "e
 
 
 def consumer_lag(read: DataFrame, end_offsets: DataFrame) -> DataFrame:
-    """End offset minus last offset read per partition; a caught-up partition shows 1."""
+    """End offset minus last offset read per partition; a caught-up partition shows 1.
+    A partition that nobody has read has no last offset and lags by its whole length."""
     last = read.groupBy("topic", "partition").agg(F.max("offset").alias("last_offset"))
-    return end_offsets.join(last, ["topic", "partition"]).withColumn(
-        "lag", F.col("end_offset") - F.col("last_offset"))
+    return end_offsets.join(last, ["topic", "partition"], "left").withColumn(
+        "lag", F.col("end_offset") - F.coalesce("last_offset", F.lit(0)))
 
 
 def run_summary(runs: DataFrame) -> DataFrame:
@@ -91,10 +92,22 @@ def _look_back(seconds: int) -> Window:
 
 
 def rates(samples: DataFrame, counters: list[str], seconds: int, block: int = 86400) -> DataFrame:
-    """Per-second increase of each counter over the last ``seconds``."""
-    w = _look_back(seconds)
-    out = {f"rate_{c}": (F.max(c).over(w) - F.min(c).over(w)) / F.lit(float(seconds)) for c in counters}
-    return _own(_blocked(samples, seconds, block).withColumns(out), block)
+    """Per-second increase of each counter over the last ``seconds``.
+
+    Counters start again from zero with their process, so the positive steps between
+    samples are added up; after a reset the step is the new value itself.
+    """
+    w, before = _look_back(seconds), Window.partitionBy("series", "__block").orderBy("t")
+    blocked = _blocked(samples, seconds, block)
+    for c in counters:
+        last = F.lag(c).over(before)
+        step = F.when(F.col(c) >= last, F.col(c) - last).otherwise(F.col(c))
+        blocked = blocked.withColumn(f"__s_{c}", F.when(last.isNotNull(), step))
+    # A step belongs to the sample that ends it; the first sample inside the look-back
+    # closes a step that began before it.
+    first = {c: F.first(F.coalesce(f"__s_{c}", F.lit(0))).over(w) for c in counters}
+    out = {f"rate_{c}": (F.sum(F.coalesce(f"__s_{c}", F.lit(0))).over(w) - first[c]) / F.lit(float(seconds)) for c in counters}
+    return _own(blocked.withColumns(out).drop(*[f"__s_{c}" for c in counters]), block)
 
 
 def held(samples: DataFrame, condition: Column, seconds: int, block: int = 86400) -> DataFrame:

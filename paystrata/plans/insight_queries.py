@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from paystrata.operators import gold, ground, ml, vector
+from paystrata.operators.validate import require_not_null
 from paystrata.plans import views
-from paystrata.plans.oracle import TX, with_ctes
+from paystrata.plans.oracle import TX, TX_TEXT, with_ctes
 from paystrata.plans.registry import query
+from paystrata.session import materialize, scratch_path
 
 # ----------------------------------------------------------------------- vectors
 
@@ -157,14 +159,44 @@ def route_intent(spark, sf):
 # ------------------------------------------------------------------------ models
 
 def _silver(spark, sf):
-    return gold.enrich(views.transactions_with_text(spark, sf), extended_flags=True)
+    """Required fields present, and only what the models read: written once, for the fits and the scores."""
+    rows = gold.enrich(require_not_null(views.transactions_with_text(spark, sf), gold.REQUIRED), extended_flags=True)
+    return materialize(rows.select("ref_number", "amount", "text_length", "has_upi", "has_bank", "has_crypto"), "features")
+
+
+def _report(spark, sf):
+    train, test = ml.split(ml.classifier_features(_silver(spark, sf)))
+    return ml.class_report(ml.train_classifier(train).transform(test))
 
 
 @query("train_classifier")
 def train_classifier(spark, sf):
     """Per-class report of the held-out fifth."""
-    train, test = ml.split(ml.classifier_features(_silver(spark, sf)))
-    return ml.class_report(ml.train_classifier(train).transform(test))
+    return _report(spark, sf)
+
+
+@query("classifier_support", with_ctes(TX_TEXT, r"""
+SELECT CASE WHEN contains(raw_text, '0x') OR regexp_matches(raw_text, '\b(bc1|[13])[a-zA-Z0-9]{25,50}\b') THEN 2
+  WHEN contains(raw_text, 'IFSC') OR contains(raw_text, 'Account') THEN 1 ELSE 0 END::INTEGER AS class, count(*) AS support, true AS bounded
+FROM txt WHERE substr(md5(ref_number), 1, 1) IN ('0', '1', '2') GROUP BY ALL"""))
+def classifier_support(spark, sf):
+    """Held-out rows of each class, which SQL can count, and that its scores are shares."""
+    scores = F.col("precision").between(0, 1) & F.col("recall").between(0, 1) & F.col("f1").between(0, 1)
+    return _report(spark, sf).filter("support > 0").select("class", "support", scores.alias("bounded"))
+
+
+@query("report_averages", """
+WITH p AS (SELECT quality AS a, toxic AS b FROM labels),
+c AS (SELECT DISTINCT a AS class FROM p UNION SELECT DISTINCT b FROM p),
+s AS (SELECT class, count(*) FILTER (a = class AND b = class) AS tp, count(*) FILTER (a = class) AS n, count(*) FILTER (b = class) AS k FROM c, p GROUP BY class),
+m AS (SELECT n, CASE WHEN k > 0 THEN tp / k ELSE 0 END AS p, CASE WHEN n > 0 THEN tp / n ELSE 0 END AS r FROM s),
+f AS (SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f FROM m)
+SELECT round(sum(r * n) / sum(n), 6)::DOUBLE AS accuracy, round(avg(p), 6)::DOUBLE AS macro_precision, round(avg(r), 6)::DOUBLE AS macro_recall, round(avg(f), 6)::DOUBLE AS macro_f1,
+  round(sum(p * n) / sum(n), 6)::DOUBLE AS weighted_precision, round(sum(r * n) / sum(n), 6)::DOUBLE AS weighted_recall, round(sum(f * n) / sum(n), 6)::DOUBLE AS weighted_f1,
+  CAST(sum(n) AS BIGINT) AS support FROM f""")
+def report_averages(spark, sf):
+    out = ml.report_averages(ml.class_report(views.table(spark, sf, "labels"), "quality", "toxic"))
+    return out.withColumns({c: F.round(c, 6) for c in out.columns if c != "support"})
 
 
 @query("class_report", """
@@ -179,16 +211,39 @@ def class_report(spark, sf):
     return report.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
 
 
+def _scored(spark, sf):
+    """One fit; every seventh row lacks its amount."""
+    rows = ml.anomaly_features(views.transactions(spark, sf)).withColumn(
+        "amount", F.when(F.col("o_orderkey") % 7 != 0, F.col("amount")))
+    rows = materialize(rows.select("ref_number", "status", *ml.ANOMALY_FEATURES), "features")
+    forest = ml.IsolationForest().fit(rows)
+    return forest, rows, materialize(forest.transform(rows), "scored")
+
+
 @query("isolation_forest")
 def isolation_forest(spark, sf):
-    silver = ml.anomaly_features(views.transactions(spark, sf))
-    return ml.IsolationForest().fit(silver).transform(silver).select("ref_number", "anomaly_score", "prediction")
+    return _scored(spark, sf)[2].select("ref_number", "anomaly_score", "prediction")
 
 
-@query("anomaly_rate")
+@query("anomaly_rate", with_ctes(TX, """
+SELECT count(*) AS records, count(*) FILTER (o_orderkey % 7 = 0) AS unscored, true AS share_in_bounds FROM tx"""))
 def anomaly_rate(spark, sf):
-    silver = ml.anomaly_features(views.transactions(spark, sf))
-    return ml.anomaly_rate(ml.IsolationForest().fit(silver).transform(silver))
+    """Records, those that cannot be scored, and whether about three in a hundred of the others are flagged."""
+    pred = _scored(spark, sf)[2]
+    unscored = F.count_if(F.col("anomaly_score").isNull()).alias("unscored")
+    share = ml.anomaly_rate(pred.filter("anomaly_score IS NOT NULL")).select((F.abs(F.col("flagged_pct") - 3) <= 3).alias("share_in_bounds"))
+    return pred.agg(F.count(F.lit(1)).alias("records"), unscored).join(share)
+
+
+@query("forest_reload", with_ctes(TX, """
+SELECT status, count(*) AS records, count(*) FILTER (o_orderkey % 7 <> 0) AS equal_scores FROM tx GROUP BY status"""))
+def forest_reload(spark, sf):
+    """A forest that was saved and loaded gives every row the score it had."""
+    forest, rows, scored = _scored(spark, sf)
+    path = scratch_path(spark, "forest")
+    forest.save(spark, path)
+    again = ml.IsolationForest.load(spark, path).transform(scored.withColumnRenamed("anomaly_score", "before"))
+    return again.groupBy("status").agg(F.count(F.lit(1)).alias("records"), F.count_if(F.col("anomaly_score") == F.col("before")).alias("equal_scores"))
 
 
 @query("anomaly_features", with_ctes(TX, """
@@ -197,12 +252,54 @@ def anomaly_features(spark, sf):
     return ml.anomaly_features(views.transactions(spark, sf)).select("ref_number", *ml.ANOMALY_FEATURES)
 
 
-@query("kmeans")
-def kmeans(spark, sf):
-    """Cluster sizes and inertia of the best restart."""
+def _clusters(spark, sf):
     silver = _silver(spark, sf)
     model, inertia = ml.train_kmeans(silver)
     assigned = model.transform(ml.VectorAssembler(inputCols=ml.CLUSTER_FEATURES, outputCol="features").transform(silver))
     return assigned.groupBy("prediction").agg(
         F.count(F.lit(1)).alias("members"), F.round(F.avg("amount"), 2).alias("mean_amount")).withColumn(
         "inertia", F.lit(inertia))
+
+
+@query("kmeans")
+def kmeans(spark, sf):
+    """Cluster sizes and inertia of the best restart."""
+    return _clusters(spark, sf)
+
+
+@query("cluster_members", with_ctes(TX, "SELECT count(*) AS members, 3::BIGINT AS clusters, true AS positive FROM tx"))
+def cluster_members(spark, sf):
+    """Every row is in one of three clusters."""
+    return _clusters(spark, sf).agg(F.sum("members").alias("members"), F.count(F.lit(1)).alias("clusters"), (F.min("inertia") > 0).alias("positive"))
+
+
+@query("encoder_facts", """
+WITH s AS (SELECT list_sum(list_transform(string_split(text, ''), lambda c: ord(c)::BIGINT)) % 65535 AS seed FROM documents)
+SELECT count(*) AS records, 384 AS dimension, count(DISTINCT seed) AS vectors, true AS unit FROM s""")
+def encoder_facts(spark, sf):
+    """Equal seeds give equal vectors, others different ones, all of length one."""
+    v = vector.encode_records(views.table(spark, sf, "documents").select("doc_id", F.col("text").alias("content")))
+    norm = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
+    return v.agg(F.count(F.lit(1)).alias("records"), F.max(F.size("vector")).alias("dimension"),
+                 F.count_distinct(F.hash("vector"), F.xxhash64("vector")).alias("vectors"), (F.max(F.abs(norm - 1)) < 1e-5).alias("unit"))
+
+
+@query("index_roundtrip", """
+SELECT count(*) AS total_vectors, CAST(max(len(embedding)) AS INTEGER) AS dimension, true AS healthy FROM embeddings""")
+def index_roundtrip(spark, sf):
+    """The index written in two parts, the second without what the first holds, and read back."""
+    e = views.table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("id"), F.lit("given").alias("source"), F.lit("").alias("content"), F.col("embedding").alias("vector"))
+    path = scratch_path(spark, "index")
+    vector.write_index(e.filter("id % 3 = 0"), path)
+    fresh = vector.new_records(e.drop("vector"), vector.read_index(spark, path)).select("id").join(e, "id")
+    vector.write_index(fresh.select(*e.columns), path)
+    return vector.index_stats(vector.read_index(spark, path))
+
+
+@query("run_registry", """
+SELECT 'payments' AS experiment_name, count(*)::DOUBLE AS records, ['anomaly_forest', 'payment_classifier'] AS models FROM orders""")
+def run_registry(spark, sf):
+    n = views.table(spark, sf, "orders").count()
+    meta = ml.run_metadata(spark, "payments", {"records": n}, ["anomaly_forest", "payment_classifier"])
+    return meta.select("experiment_name", F.col("metrics")["records"].alias("records"), F.transform("registered_models", lambda m: m["name"]).alias("models"))

@@ -14,6 +14,7 @@ from paystrata.plans.registry import query
 from paystrata.session import materialize, scratch_path
 from paystrata.sources import bronze, tables
 from paystrata.streaming import clean as stream
+from paystrata.streaming import metrics
 
 
 def _round(df, **digits):
@@ -469,3 +470,54 @@ def stream_passthrough(spark, sf):
     out = spark.read.schema("topic string, value string").json(f"{root}/out")
     parsed = bronze.parse_payload(out)
     return parsed.groupBy("topic", "platform_name").agg(F.count(F.lit(1)).alias("events"))
+
+
+@query("stream_windows", with_ctes(CLEAN, """
+SELECT strftime(time_bucket(INTERVAL '5 seconds', event_ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS count, round(sum(amt), 2) AS volume
+FROM clean GROUP BY 1"""))
+def stream_windows(spark, sf):
+    """The tumbling windows as a stream over the cleaned one."""
+    root = scratch_path(spark, "windows")
+    for _ in _feed(spark, sf, root):
+        stream.start_cleaning(_events(spark, root), root).awaitTermination()
+        stream.start_dedup(stream.read_on_time(spark, root), root).awaitTermination()
+    rows = spark.readStream.schema(stream.CLEAN_SCHEMA).parquet(f"{root}/clean")
+    (stream.tumbling_volume(stream.with_lateness(rows)).writeStream.outputMode("complete")
+     .foreachBatch(lambda df, i: df.write.mode("overwrite").parquet(f"{root}/by_window/batch={i}"))
+     .option("checkpointLocation", f"{root}/_checkpoints/windows").trigger(availableNow=True).start().awaitTermination())
+    out = spark.read.parquet(f"{root}/by_window")
+    last = out.agg(F.max("batch")).first()[0]
+    return _round(out.filter(F.col("batch") == last), volume=2).select(_ts("window_start").alias("window_start"), "count", "volume")
+
+
+@query("stream_metrics", with_ctes(CLEAN, """
+SELECT (SELECT count(*) FROM valid) AS validated, (SELECT count(*) FROM flagged WHERE late) AS late_events, true AS consistent"""))
+def stream_metrics(spark, sf):
+    """The counters that the cleaning batches left."""
+    root = scratch_path(spark, "stream")
+    for _ in _feed(spark, sf, root):
+        stream.start_cleaning(_events(spark, root), root).awaitTermination()
+    m = metrics.batch_metrics(spark, root)
+    return m.agg(F.sum("validated").alias("validated"), F.sum("late_events").alias("late_events"),
+                 (F.min("duplicates") >= 0).alias("consistent"))
+
+
+@query("table_count", "SELECT count(*) AS rows FROM orders")
+def table_count(spark, sf):
+    views.table(spark, sf, "orders").createOrReplaceTempView("paystrata_orders")
+    return tables.table_count(spark, "paystrata_orders")
+
+
+@query("rebuild_layers", with_ctes(TX, """
+SELECT 'channels' AS name, method AS key, count(*) AS n FROM tx GROUP BY method
+UNION ALL SELECT 'platforms', platform_name, count(*) FROM tx GROUP BY platform_name
+UNION ALL SELECT 'silver', '', count(*) FROM tx"""))
+def rebuild_layers(spark, sf):
+    """Silver replaced and both Gold tables recomputed from it."""
+    root = scratch_path(spark, "rebuild")
+    silver = gold.to_silver(views.transactions(spark, sf).withColumn("raw_text", F.lit(None).cast("string")), [F.col("event_ts"), F.col("o_orderkey")])
+    batch_etl.rebuild(spark, silver, root, 0)
+    read = lambda name: tables.read_version(spark, f"{root}/{name}", 0)
+    return (read("gold_payment_channels").select(F.lit("channels").alias("name"), F.col("method").alias("key"), F.col("total_transactions").alias("n"))
+            .unionAll(read("gold_platform_metrics").select(F.lit("platforms"), "platform_name", "transaction_count"))
+            .unionAll(read("silver").agg(F.count(F.lit(1)).alias("n")).select(F.lit("silver"), F.lit(""), "n")))

@@ -121,17 +121,17 @@ def category(spark, sf):
     return _flagged(spark, sf).select("kind", "id", classify.category(crypto, flags["has_bank"]).alias("category"))
 
 
-@query("extract_crypto", with_ctes(_MADE, r"""
-, found AS (SELECT event_id,
+@query("extract_crypto", with_ctes(_FLAGGED, r"""
+, found AS (SELECT kind, id,
   regexp_extract(text, '\b(0x[a-fA-F0-9]{40}|[13][a-km-zA-HJ-NP-Z1-9]{26,33}|T[A-Za-z1-9]{33})\b') AS tron,
   regexp_extract(text, '\b(0x[a-fA-F0-9]{40}|[13][a-km-zA-HJ-NP-Z1-9]{26,33}|bc1[a-z0-9]{39,59})\b') AS bech32,
   CASE WHEN regexp_extract(text, '(?:bc1|[13])[a-zA-HJ-NP-Z0-9]{25,90}') <> '' THEN regexp_extract(text, '(?:bc1|[13])[a-zA-HJ-NP-Z0-9]{25,90}')
-    ELSE regexp_extract(text, '0x[a-fA-F0-9]{40}') END AS btc_first FROM made)
+    ELSE regexp_extract(text, '0x[a-fA-F0-9]{40}') END AS btc_first FROM flagged)
 SELECT *, CASE WHEN tron LIKE '0x%' THEN 'ERC20/USDT' WHEN tron LIKE 'T%' THEN 'TRC20/USDT' WHEN tron LIKE '1%' OR tron LIKE '3%' THEN 'BTC' ELSE '' END AS network,
   CASE WHEN btc_first LIKE 'bc1%' OR btc_first LIKE '1%' OR btc_first LIKE '3%' THEN 'BTC' WHEN btc_first LIKE '0x%' THEN 'ERC20' ELSE '' END AS network_btc_first
 FROM found""".replace("\n, found", ", found", 1)))
 def extract_crypto(spark, sf):
-    found = _addresses(spark, sf).select("event_id", *[
+    found = _flagged(spark, sf).select("kind", "id", *[
         classify.extract_crypto("text", v).alias(v) for v in ("tron", "bech32", "btc_first")])
     return found.withColumns({"network": classify.crypto_network("tron"),
                               "network_btc_first": classify.crypto_network("btc_first", "btc_first")})
@@ -223,12 +223,16 @@ _COLLAPSE = r"trim(regexp_replace({}, '\s+', ' ', 'g'))"
 
 
 @query("page_metadata", f"""
-WITH m AS (SELECT page_id, url, regexp_extract(html, '<title>(.*?)</title>', 1, 's') AS title, regexp_extract_all(html, '<h1>(.*?)</h1>', 1, 's') AS h FROM pages)
+WITH m AS (SELECT page_id, url, regexp_extract(html, '<title>(.*?)</title>', 1, 's') AS title,
+  CASE WHEN page_id % 4 = 1 THEN [NULL] ELSE regexp_extract_all(html, '<h1>(.*?)</h1>', 1, 's') END AS h FROM pages)
 SELECT page_id, {_COLLAPSE.format(_DECODE.format('title'))} AS page_title, url AS page_url, '' AS meta_description,
-  'H1' AS tag, {_COLLAPSE.format(_DECODE.format("regexp_replace(x, '<[^>]*>', '', 'g')"))} AS heading FROM (SELECT *, unnest(h) AS x FROM m)""")
+  CASE WHEN x IS NOT NULL THEN 'H1' END AS tag, {_COLLAPSE.format(_DECODE.format("regexp_replace(x, '<[^>]*>', '', 'g')"))} AS heading FROM (SELECT *, unnest(h) AS x FROM m)""")
 def page_metadata(spark, sf):
-    meta = pages.page_metadata(_facts(spark, sf))
-    return meta.select("page_id", "page_title", "page_url", "meta_description", F.explode("headings").alias("h")).select(
+    # Every fourth page has no heading; it still has a row.
+    bare = F.replace(F.replace(F.col("html"), F.lit("<h1>"), F.lit("<p>")), F.lit("</h1>"), F.lit("</p>"))
+    html = F.when(F.col("page_id") % 4 == 1, bare).otherwise(F.col("html"))
+    meta = pages.page_metadata(pages.page_facts(views.table(spark, sf, "pages").withColumn("html", html)))
+    return meta.select("page_id", "page_title", "page_url", "meta_description", F.explode_outer("headings").alias("h")).select(
         "page_id", "page_title", "page_url", "meta_description", F.col("h.tag").alias("tag"), F.col("h.text").alias("heading"))
 
 
@@ -244,7 +248,7 @@ _BLOCKS = [
     ["<table><tr><td>Account Holder</td><td>Holder ", "{id}", "</td></tr><tr><td>Bank Name</td><td>Bank ", "{id}",
      "</td></tr></table><p>IFSC ABCD0", "{pad}", " acc 10000", "{pad}", "</p>"],
     ["<p>Payee Name: <b>Payee ", "{id}", "</b></p><p>pay user", "{id}", "@okbank today</p>"],
-    ["<span>Network</span><b>TRC20 ", "{id}", "</b><p>TAbcdefghijkmnopqrstuvwxyzA", "{pad}", "</p>"],
+    ["<span>Network</span><b>TRC20 ", "{id}", "</b><p>TAbcdefghijkmnopqrstuvwxyzAB", "{pad}", "</p>"],
     ["<div class=\"payment-method\">PhonePe</div><div class=\"payment-method\" data-name=\"Skrill ", "{id}",
      "\"></div><div class=\"payment-method\">Deposit</div><div class=\"payment-method\">PhonePe</div>"],
 ]
