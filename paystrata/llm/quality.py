@@ -26,9 +26,13 @@ GAP = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
 KEEP = 0.5
 ROUNDS = 25
-ACCURACY = (0.6, 0.99)
-#: Weight of a rule's starting accuracy, in documents, against what is counted.
-PRIOR_WEIGHT, PRIOR_ACCURACY = 10.0, 0.8
+#: Shares of bad votes, abstentions aside, that the estimation starts from and stays within. A bad
+#: text mostly breaks one rule of the nine, so a rule is silent on most of them.
+START = {"good": 0.01, "bad": 0.15}
+START_GOOD = 0.8
+BOUNDS = {"good": (0.001, 0.2), "bad": (0.02, 0.99)}
+#: Weight of the start, in documents, against what is counted.
+PRIOR_WEIGHT = 20.0
 #: Common words of the languages the corpus holds; a running text has some.
 STOP_WORDS = ("the of and to in is that it for was with as be by on le la les des et en un une que qui est dans "
               "der die das und ist von mit den zu auf ein eine el los las de y del por con se su").split()
@@ -109,29 +113,38 @@ def rules() -> dict[str, Column]:
 
 
 def posterior(model: dict[str, float]) -> Column:
-    """Probability of good, from the votes of a row."""
+    """Probability of good, from the votes of a row: each counts by how likely it is from a good and from a bad text."""
     odds = F.lit(math.log(model["good"] / (1 - model["good"])))
     for name in rules():
-        odds = odds + F.col(name) * math.log(model[name] / (1 - model[name]))
+        wrong, right = model[f"{name}_good"], model[f"{name}_bad"]  # a bad vote on a good text, on a bad one
+        odds = odds + F.when(F.col(name) == -1, math.log(wrong / right)).when(F.col(name) == 1, math.log((1 - wrong) / (1 - right))).otherwise(0.0)
     return 1 / (1 + F.exp(-odds))
 
 
 def estimate(votes: DataFrame, scratch: Scratch) -> dict[str, float]:
-    """Accuracy of each rule and the share of good documents, by expectation-maximisation over the vote patterns."""
+    """How often each rule votes bad on good and on bad texts, and the share of good ones, by
+    expectation-maximisation over the vote patterns."""
     names = list(rules())
     patterns = scratch.keep(votes.groupBy(*names).agg(F.count("*").alias("n")).coalesce(1), "votes")  # 3 ** len(names) rows at most
-    model = {"good": 0.8, **{n: PRIOR_ACCURACY for n in names}}
+    model = {"good": START_GOOD, **{f"{n}_{side}": p for n in names for side, p in START.items()}}
     for _ in range(ROUNDS):
         p = posterior(model)
-        right = [F.sum(F.when(F.col(n) == 1, F.col("n") * p).when(F.col(n) == -1, F.col("n") * (1 - p))).alias(f"r_{n}") for n in names]
-        cast = [F.sum(F.when(F.col(n) != 0, F.col("n"))).alias(f"c_{n}") for n in names]
-        row = patterns.agg(F.sum("n").alias("n"), F.sum(F.col("n") * p).alias("good"), *right, *cast).first()
+        sums = []
+        for n in names:
+            for side, weight in (("good", p), ("bad", 1 - p)):
+                sums += [F.sum(F.when(F.col(n) == -1, F.col("n") * weight)).alias(f"b_{n}_{side}"),
+                         F.sum(F.when(F.col(n) != 0, F.col("n") * weight)).alias(f"c_{n}_{side}")]
+        row = patterns.agg(F.sum("n").alias("n"), F.sum(F.col("n") * p).alias("good"), *sums).first()
         if not row["n"]:
             return model
-        fresh = {"good": min(0.99, max(0.01, row["good"] / row["n"]))}
+        fresh = {"good": min(0.99, max(0.5, row["good"] / row["n"]))}
         for n in names:
-            share = ((row[f"r_{n}"] or 0.0) + PRIOR_WEIGHT * PRIOR_ACCURACY) / ((row[f"c_{n}"] or 0) + PRIOR_WEIGHT)
-            fresh[n] = min(ACCURACY[1], max(ACCURACY[0], share))
+            for side, start in START.items():
+                key = f"{n}_{side}"
+                share = ((row[f"b_{key}"] or 0.0) + PRIOR_WEIGHT * start) / ((row[f"c_{key}"] or 0.0) + PRIOR_WEIGHT)
+                low, high = BOUNDS[side]
+                fresh[key] = min(high, max(low, share))
+            fresh[f"{n}_bad"] = max(fresh[f"{n}_bad"], 2 * fresh[f"{n}_good"])  # a rule speaks for its side
         moved = max(abs(fresh[k] - model[k]) for k in model)
         model = fresh
         if moved < 1e-4:

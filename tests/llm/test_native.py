@@ -54,14 +54,26 @@ def test_repeats_brute_force(spark, tmp_path):
 
 
 def test_estimate_recovers_accuracies(spark):
+    """Shares of bad votes on good and on bad texts, from votes alone."""
     rng, names = random.Random(2), list(quality.rules())
-    truth = {n: a for n, a in zip(names, (0.95, 0.9, 0.85, 0.8, 0.75, 0.7, 0.9, 0.8, 0.85))}
+    truth = {n: x for n, x in zip(names, ((0.01, 0.6), (0.02, 0.5), (0.05, 0.7), (0.01, 0.3), (0.1, 0.8), (0.02, 0.4), (0.01, 0.5), (0.03, 0.6), (0.02, 0.3)))}
     rows = []
-    for _ in range(6000):
-        good = rng.random() < 0.8
-        rows.append([0 if rng.random() < 0.2 else (1 if good else -1) * (1 if rng.random() < truth[n] else -1) for n in names])
+    for _ in range(8000):
+        bad = rng.random() < 0.2
+        rows.append([0 if rng.random() < 0.1 else -1 if rng.random() < truth[n][bad] else 1 for n in names])
     model = quality.estimate(spark.createDataFrame(rows, ", ".join(f"{n} int" for n in names)), Scratch(spark))
-    assert all(abs(model[n] - truth[n]) < 0.05 for n in names) and abs(model["good"] - 0.8) < 0.05
+    assert all(abs(model[f"{n}_good"] - truth[n][0]) < 0.03 and abs(model[f"{n}_bad"] - truth[n][1]) < 0.08 for n in names)
+    assert abs(model["good"] - 0.8) < 0.05
+
+
+def test_one_broken_rule_is_enough_where_good_texts_keep_it(spark, tmp_path):
+    rng = random.Random(4)
+    word = lambda: rng.choice(["alpha", "beta", "gamma", "delta", "the", "of", "and", "river", "stone", "light", "to", "in"]) + rng.choice(["", "s", "ing"])
+    good = [" ".join(word() for _ in range(80)) + "." for _ in range(300)]
+    noisy = [" ".join(word() + rng.choice(["###", "$$$", "&&&"]) for _ in range(80)) + "." for _ in range(30)]
+    spark.createDataFrame(list(enumerate(good + noisy)), "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    kept = {r.doc_id: r.kept for r in QUERIES["op8_quality"](spark, str(tmp_path)).collect()}
+    assert all(kept[i] for i in range(300)) and not any(kept[i] for i in range(300, 330))
 
 
 PATTERNS = [("assign", r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 8),
