@@ -13,8 +13,6 @@ from pyspark.sql import types as T
 
 from paystrata.functions.parse import _col
 from paystrata.operators.dedup import top_per_group
-from paystrata.operators.prefix import row_numbers
-from paystrata.session import materialize
 
 # Fixed values.
 DIMENSION = 384
@@ -156,49 +154,41 @@ def similarity_search(
 ) -> DataFrame:
     """(query_id, id, distance, rank): exact squared-L2 top ``k``, then the threshold.
 
-    ``index`` has (id, vector), ``queries`` has (query_id, vector). The index is
-    never shuffled: each task scans its rows against one block of queries and
-    emits its own best ``k`` per query, and only those are ranked globally. A block
-    is cut to ``block_bytes``; more queries mean more blocks, each one pass.
+    ``index`` has (id, vector), ``queries`` has (query_id, vector). Both sides are dealt by
+    hash into tiles of about ``block_bytes``; every cell of the grid of tiles is a task that
+    measures one tile against the other and emits its best ``k`` per query, and only those
+    are ranked globally. No vector passes through the driver, and no task holds more than
+    two tiles.
     """
-    spark = index.sparkSession
-    shape = queries.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
-    count, dim = shape[0], shape[1] or 1
+    index = index.select("id", "vector").filter(F.col("vector").isNotNull())
+    queries = queries.select("query_id", "vector").filter(F.col("vector").isNotNull())
+
+    def tiles(df: DataFrame) -> int:
+        shape = df.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+        return max(1, -(-shape[0] * (shape[1] or 1) * 8 // block_bytes))
+
+    rows, columns = tiles(index), tiles(queries)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = index.withColumn("__i", F.pmod(F.xxhash64("id"), F.lit(rows)).cast("int")).withColumn("__q", every(columns))
+    right = queries.withColumn("__q", F.pmod(F.xxhash64("query_id"), F.lit(columns)).cast("int")).withColumn("__i", every(rows))
     out_schema = T.StructType([
         T.StructField("query_id", queries.schema["query_id"].dataType),
         T.StructField("id", index.schema["id"].dataType), T.StructField("distance", T.DoubleType())])
-    per_block = max(1, block_bytes // (dim * 8))
-    blocks = -(-count // per_block)
-    if count == 0:
-        return spark.createDataFrame([], T.StructType(out_schema.fields + [T.StructField("rank", T.IntegerType())]))
-    # Numbering in query order gives blocks of one known size.
-    numbered = queries if blocks == 1 else materialize(row_numbers(queries, ["query_id"], "__n"), "queries")
-
-    def scan(part: DataFrame) -> DataFrame:
-        rows = part.select("query_id", "vector").toPandas()  # at most ``per_block`` rows
-        ids, matrix = rows["query_id"].tolist(), np.array(rows["vector"].tolist(), dtype="float64")
-        shared = spark.sparkContext.broadcast((ids, matrix))
-
-        def local_best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            names, q = shared.value
-            for batch in batches:
-                if len(batch) == 0:
-                    continue
-                vectors = np.array(batch["vector"].tolist(), dtype="float64")
-                keys = batch["id"].to_numpy()
-                order = np.argsort(np.argsort(keys, kind="stable"))
-                found = list(_nearest(vectors, order, q, k))
-                yield pd.DataFrame({
-                    "query_id": np.repeat(np.array(names), [len(n) for n, _ in found]),
-                    "id": keys[np.concatenate([n for n, _ in found])],
-                    "distance": np.concatenate([d for _, d in found])})
-
-        return index.select("id", "vector").filter(F.col("vector").isNotNull()).mapInPandas(local_best, out_schema)
-
-    parts = [scan(numbered if blocks == 1 else numbered.filter(
-        (F.col("__n") > b * per_block) & (F.col("__n") <= (b + 1) * per_block))) for b in range(blocks)]
-    best = top_per_group(reduce(DataFrame.unionByName, parts), ["query_id"],
-                         [F.col("distance"), F.col("id")], k)
+
+    def cell(held: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        if not len(held) or not len(asked):
+            return pd.DataFrame({"query_id": asked["query_id"][:0], "id": held["id"][:0], "distance": np.zeros(0)})
+        vectors, q = (np.array(x["vector"].tolist(), dtype="float64") for x in (held, asked))
+        keys = held["id"].to_numpy()
+        order = np.argsort(np.argsort(keys, kind="stable"))
+        found = list(_nearest(vectors, order, q, k))
+        return pd.DataFrame({
+            "query_id": np.repeat(asked["query_id"].to_numpy(), [len(n) for n, _ in found]),
+            "id": keys[np.concatenate([n for n, _ in found])],
+            "distance": np.concatenate([d for _, d in found])})
+
+    cells = left.groupBy("__i", "__q").cogroup(right.groupBy("__i", "__q")).applyInPandas(cell, out_schema)
+    best = top_per_group(cells, ["query_id"], [F.col("distance"), F.col("id")], k)
     return best.filter(F.col("distance") <= threshold)
 
 
