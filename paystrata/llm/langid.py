@@ -69,24 +69,39 @@ def centroids(v: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
     return c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
 
 
+def dense(sparse: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    out = np.zeros((len(sparse), BUCKETS), dtype=np.float32)
+    for row, (at, n) in zip(out, sparse):
+        row[at] = n
+    return out
+
+
 class Model:
-    """Centroids of all languages, weights of the buckets, and the lowest cosine accepted in each size class."""
+    """Centroids of all languages, weights of the buckets, and the lowest cosine accepted in each size class.
+
+    ``samples``: for each language the (buckets, counts) of its texts; one language at a time is made dense.
+    """
 
-    def __init__(self, samples: dict[str, np.ndarray]):
+    def __init__(self, samples: dict[str, list[tuple[np.ndarray, np.ndarray]]]):
         self.languages = sorted(samples)
-        every = np.concatenate([samples[x] for x in self.languages]) if samples else np.zeros((0, BUCKETS), dtype=np.float32)
-        self.idf = (np.log((1 + len(every)) / (1 + (every > 0).sum(0))) + 1).astype(np.float32)
-        groups = [centroids(vectors(samples[x], self.idf), CLUSTERS) for x in self.languages]
+        every = [x for name in self.languages for x in samples[name]]
+        found = np.zeros(BUCKETS)
+        for at, _ in every:
+            found[at] += 1
+        self.idf = (np.log((1 + len(every)) / (1 + found)) + 1).astype(np.float32)
+        groups = [centroids(vectors(dense(samples[x]), self.idf), CLUSTERS) for x in self.languages]
         self.first = np.cumsum([0, *(len(g) for g in groups)])[:-1]
         self.centroids = np.concatenate(groups).astype(np.float32) if groups else np.zeros((0, BUCKETS), dtype=np.float32)
-        self.lowest = np.zeros(64)
-        if groups:
-            size, (_, score) = size_class(every), self.nearest(every)
-            bound = 0.0
-            for b in range(64):
-                own = score[size == b]
-                bound = REJECT * float(np.quantile(own, 0.01)) if len(own) >= 20 else bound
-                self.lowest[b] = bound
+        self.lowest, size, score = np.zeros(64), [np.zeros(0, dtype=np.int64)], [np.zeros(0)]
+        for at in range(0, len(every), ROWS):
+            counts = dense(every[at:at + ROWS])
+            size.append(size_class(counts))
+            score.append(self.nearest(counts)[1])
+        size, score, bound = np.concatenate(size), np.concatenate(score), 0.0
+        for b in range(64):
+            own = score[size == b]
+            bound = REJECT * float(np.quantile(own, 0.01)) if len(own) >= 20 else bound
+            self.lowest[b] = bound
 
     def nearest(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         cosine = np.maximum.reduceat(vectors(counts, self.idf) @ self.centroids.T, self.first, axis=1)
@@ -106,8 +121,14 @@ def has_letter(text: bytes) -> bool:
 def fit(docs: DataFrame, learn: Column) -> Model:
     """Model of the rows where ``learn`` holds; a bounded number of them is read."""
     rows = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    first = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = rows.select("doc_id", "lang").withColumn("k", first).filter(F.col("k") <= SAMPLE).select("doc_id", "lang").distinct()
+    # The sample's bound in each language, as a hash that its documents do not exceed: one row a language.
+    place = F.row_number().over(W.partitionBy("lang").orderBy("h"))
+    hashes = rows.select("lang", F.xxhash64("doc_id").alias("h")).distinct().withColumn("k", place).filter(F.col("k") <= SAMPLE)
+    bounds = hashes.groupBy("lang").agg(F.max("h").alias("h")).orderBy("lang").collect()
+    if not bounds:
+        return Model({})
+    bound = F.element_at(F.create_map(*(F.lit(x) for r in bounds for x in (r.lang, r.h))), F.col("lang"))
+    chosen = rows.filter(F.xxhash64("doc_id") <= bound).select("doc_id", "lang", "text").dropDuplicates()
 
     def run(batches):
         for batch in steps(batches):
@@ -119,14 +140,11 @@ def fit(docs: DataFrame, learn: Column) -> Model:
                 yield pa.RecordBatch.from_arrays([pa.array([langs[i]]), column(batch, "doc_id").slice(i, 1), pa.array([at.astype("<i2").tobytes()], pa.binary()),
                                                   pa.array([c[at].astype("<f4").tobytes()], pa.binary())], names=["lang", "doc_id", "at", "n"])
 
-    sparse = (rows.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"], "left_semi")
-              .mapInArrow(run, "lang string, doc_id bigint, at binary, n binary").collect())  # at most SAMPLE rows a language
     samples: dict[str, list] = {}
-    for r in sorted(sparse, key=lambda r: (r.lang, r.doc_id, r.at, r.n)):
-        counts = np.zeros(BUCKETS, dtype=np.float32)
-        counts[np.frombuffer(r.at, "<i2")] = np.frombuffer(r.n, "<f4")
-        samples.setdefault(r.lang, []).append(counts)
-    return Model({k: np.array(v) for k, v in samples.items()})
+    sparse = chosen.mapInArrow(run, "lang string, doc_id bigint, at binary, n binary").collect()  # at most SAMPLE rows a language
+    for r in sorted(sparse, key=lambda r: (r.lang, r.doc_id is not None, r.doc_id, r.at, r.n)):
+        samples.setdefault(r.lang, []).append((np.frombuffer(r.at, "<i2"), np.frombuffer(r.n, "<f4")))
+    return Model(samples)
 
 
 def identify(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
