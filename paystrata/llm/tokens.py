@@ -26,7 +26,7 @@ from paystrata.llm.common import column, steps, worker_store
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 #: Words a worker remembers; beyond it the cache starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 
 #: White space of the library's pattern (Unicode White_Space), as fixed values.
 SPACES = "\t-\r \x85\xa0  -     　"
@@ -47,7 +47,8 @@ class Encoder:
 
         from tokenizers import Tokenizer, pre_tokenizers
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.whole = Tokenizer.from_file(path)
+        self.load = lambda: Tokenizer.from_file(path)
+        self._whole = None
         self.pieces = Tokenizer.from_file(path)
         self.pieces.normalizer, self.pieces.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
         size = self.pieces.get_vocab_size(with_added_tokens=True)
@@ -64,6 +65,13 @@ class Encoder:
         self.odd = re.compile(SEPARATORS).search
         self._forget()
 
+    @property
+    def whole(self):
+        """The tokenizer as it is, for words that are not cut here; most corpora need it, some tasks do not."""
+        if self._whole is None:
+            self._whole = self.load()
+        return self._whole
+
     def _forget(self) -> None:
         """Start the cache anew: a word's code points into ``first`` and ``size``, which point into ``flat``."""
         self.by_word: dict[str, int] = {"": 0}
