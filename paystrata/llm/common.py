@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from paystrata.session import scratch_path
 
 #: Bytes of text one vectorised step works on; bounds a task's memory whatever a batch holds.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
