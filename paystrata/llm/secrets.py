@@ -4,7 +4,7 @@ Three base kinds are found by pattern; character Markov models add a fourth, ``r
 runs of at least ``RUN`` key characters whose log-likelihood under a bigram model of
 random strings exceeds that under a model of ordinary identifiers. Both models are
 trained on labelled samples: the values the base patterns found anywhere (random), and
-the identifiers of the ``SAMPLE`` documents with the lowest hash (ordinary; the
+the identifiers of about ``SAMPLE`` documents, taken by a hash of their ids (ordinary; the
 documented bound). One pass over the texts writes all matches with their places; the
 rest works on those. A run that overlaps a base span gives no span of its own.
 
@@ -87,7 +87,9 @@ def bigrams(values: DataFrame) -> DataFrame:
 def train(found: DataFrame, docs: DataFrame) -> list[float] | None:
     """Log-likelihood ratio of each character after another: random strings against ordinary identifiers."""
     random = found.select(F.explode("base.value").alias("value"), F.lit("random").alias("label"))
-    sample = docs.filter(F.col("text").isNotNull()).select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    rows = docs.filter(F.col("text").isNotNull()).select("doc_id", "text")
+    share = SAMPLE / max(rows.count(), 1)  # by hash, so no task gathers the sample
+    sample = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int(min(1.0, share) * (1 << 30))))
     ordinary = (sample.select(F.explode(F.regexp_extract_all("text", F.lit(IDENTIFIER), F.lit(0))).alias("value"), F.lit("ordinary").alias("label"))
                 .filter(~F.col("value").rlike("[0-9]{3}|[0-9][A-Za-z]+[0-9]")))
     # At most two rows per pair of characters of the alphabet.
