@@ -28,6 +28,7 @@ from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,10 +42,11 @@ MEMBERS = CLASSES * PER_CLASS
 BUCKETS = 128
 WORDS = MEMBERS - BUCKETS - 1
 KNOWN = 150_000
-STREAMS, STEPS, ROUNDS = 256, 24, 2
+STREAMS, STEPS, ROUNDS = 512, 24, 2
 RATE, CLIP = 0.01, 5.0
-#: Bytes of text laid out into streams at a time.
-LAYOUT_BYTES = 12 << 20
+#: Bytes of text read, and words laid out into streams, at a time.
+READ_BYTES, LAYOUT_WORDS = 4 << 20, 6_000_000
+SUMS = ["row", "doc_id", "n_tokens", "n_known", "base", "share"]
 #: Stands for the end of a text in the counts; no word holds white space.
 END = "\n"
 LN10 = float(np.log(10))
@@ -52,12 +54,29 @@ LN10 = float(np.log(10))
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n) over all texts, their ends included."""
-    folded = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = docs.select(F.explode(F.split(folded, "[\\x20\\x09-\\x0D]+")).alias("word")).filter("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
+    folded = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", "abcdefghijklmnopqrstuvwxyz     ")
+    words = docs.select(F.explode(F.split(folded, " ")).alias("word")).filter("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
     ends = docs.agg(F.count("*").alias("n")).filter("n > 0").select(F.lit(END).alias("word"), "n")
     return words.unionByName(ends)
 
 
+def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
+    """The words from the least count on at which they are at most ``limit``: no task sends more than its share.
+
+    Counts are taken in steps of a sixteenth above 256, so that the table of steps stays small.
+    """
+    scale = F.floor(F.log2("n") * 16)
+    step = F.when(F.col("n") < 256, F.col("n")).otherwise(scale + 128)  # 128 = log2(256) * 16
+    steps_ = counts.groupBy(step.alias("s")).agg(F.count("*").alias("k"), F.min("n").alias("least")).orderBy(F.desc("s")).collect()
+    least, total = None, 0
+    for r in steps_:
+        total += r.k
+        if total > limit:
+            break
+        least = r.least
+    return counts.filter(F.col("n") >= least) if least is not None else counts.limit(0)
+
+
 def bucket(word: bytes) -> int:
     return zlib.crc32(word[:2]) % BUCKETS
 
@@ -68,7 +87,8 @@ class Vocabulary:
     def __init__(self, counts: DataFrame):
         total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
         self.tokens, self.distinct = total.n or 0, total.v
-        rows = counts.filter(F.col("word") != END).orderBy(F.desc("n"), "word").limit(KNOWN).collect()  # a parameter's worth of rows
+        rows = most_frequent(counts.filter(F.col("word") != END), KNOWN).collect()
+        rows.sort(key=lambda r: (-r.n, r.word))
         end = counts.filter(F.col("word") == END).first()
         self.end_count = end.n if end else 0
         self.words = [r.word.encode() for r in rows]
@@ -109,10 +129,6 @@ def initial(frequency: np.ndarray) -> dict[str, np.ndarray]:
             "class_bias": np.log(f.sum(1) / f.sum()).astype(np.float32), "member_bias": np.log(f / f.sum(1, keepdims=True)).astype(np.float32)}
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return np.float32(1) / (np.float32(1) + np.exp(-x))
-
-
 class Network:
     """Gated recurrent units over member ids; member ``MEMBERS`` stands before a text."""
 
@@ -125,57 +141,83 @@ class Network:
     def forward(self, before: np.ndarray, fresh: np.ndarray, h: np.ndarray):
         """States after each word; ``fresh`` marks the first word of a text, whose state starts from zero."""
         g, u, kept, states = self.p["gates"][before], self.p["state"], [], np.empty((*before.shape, HIDDEN), dtype=np.float32)
+        going = np.logical_not(fresh).astype(np.float32)[:, :, None]
+        one, two = np.float32(1), np.float32(2)
         for t in range(len(before)):
-            h = np.where(fresh[t][:, None], np.float32(0), h)
-            m = h @ u
-            a = sigmoid(g[t, :, :2 * HIDDEN] + m[:, :2 * HIDDEN])
+            h = h * going[t]
+            m, x = h @ u, g[t]
+            a = m[:, :2 * HIDDEN] + x[:, :2 * HIDDEN]
+            np.negative(a, out=a)
+            np.exp(a, out=a)
+            a += one
+            np.reciprocal(a, out=a)
             z, r = a[:, :HIDDEN], a[:, HIDDEN:]
-            n = np.float32(2) * sigmoid(np.float32(2) * (g[t, :, 2 * HIDDEN:] + r * m[:, 2 * HIDDEN:])) - np.float32(1)
+            n = r * m[:, 2 * HIDDEN:]
+            n += x[:, 2 * HIDDEN:]
+            n *= -two
+            np.exp(n, out=n)
+            n += one
+            np.reciprocal(n, out=n)
+            n *= two
+            n -= one
             kept.append((h, m[:, 2 * HIDDEN:], z, r, n))
-            h = n + z * (h - n)
+            h = h - n
+            h *= z
+            h += n
             states[t] = h
         return states, kept, h
 
     def output(self, states: np.ndarray, target: np.ndarray, learn: bool):
         """Log-probability of each target member and, to learn, the gradients of its negative sum."""
-        flat, kind, inside = states.reshape(-1, HIDDEN), target // PER_CLASS, target % PER_CLASS
-        rows = np.arange(len(kind))
-        logits = flat @ self.p["class"] + self.p["class_bias"]
-        logits -= logits.max(1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(1, keepdims=True)
-        logp = logits[rows, kind] - np.log(total[:, 0])
-        order = np.argsort(kind, kind="stable")
-        bounds = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+        kind = (target // PER_CLASS).astype(np.int16)
+        order = np.argsort(kind, kind="stable")  # words of a class side by side
+        flat, kind, inside = states.reshape(-1, HIDDEN)[order], kind[order], (target % PER_CLASS)[order]
+        bounds, rows = np.searchsorted(kind, np.arange(CLASSES + 1)), np.arange(len(kind))
+        e, logp = self._softmax(flat @ self.p["class"] + self.p["class_bias"], rows, kind, learn)
         grads, back = None, None
         if learn:
-            e /= total
-            e[rows, kind] -= 1
             back = e @ self.p["class"].T
             grads = {"class": flat.T @ e, "class_bias": e.sum(0), "member": np.zeros_like(self.p["member"]), "member_bias": np.zeros_like(self.p["member_bias"])}
         for c in range(CLASSES):
-            at = order[bounds[c]:bounds[c + 1]]
-            if not len(at):
+            low, high = bounds[c], bounds[c + 1]
+            if low == high:
                 continue
-            own, pick, s = np.arange(len(at)), inside[at], flat[at]
-            x = s @ self.p["member"][c] + self.p["member_bias"][c]
-            x -= x.max(1, keepdims=True)
-            e = np.exp(x)
-            total = e.sum(1, keepdims=True)
-            logp[at] += x[own, pick] - np.log(total[:, 0])
+            s = flat[low:high]
+            e, own = self._softmax(s @ self.p["member"][c] + self.p["member_bias"][c], rows[:high - low], inside[low:high], learn)
+            logp[low:high] += own
             if learn:
-                e /= total
-                e[own, pick] -= 1
                 grads["member"][c], grads["member_bias"][c] = s.T @ e, e.sum(0)
-                back[at] += e @ self.p["member"][c].T
-        return logp, grads, back
-
-    def learn(self, before, fresh, target, h):
-        """One window: gradients through its steps, one update; returns the state to carry on."""
+                back[low:high] += e @ self.p["member"][c].T
+        out = np.empty_like(logp)
+        out[order] = logp
+        if learn:
+            given = np.empty_like(back)
+            given[order] = back
+            back = given
+        return out, grads, back
+
+    @staticmethod
+    def _softmax(x: np.ndarray, rows: np.ndarray, pick: np.ndarray, learn: bool):
+        """Log-probability of the picked column of each row and, to learn, the gradient of its negative by the row."""
+        x -= x.max(1, keepdims=True)
+        picked = x[rows, pick]
+        np.exp(x, out=x)
+        total = x.sum(1, keepdims=True)
+        if learn:
+            x /= total
+            x[rows, pick] -= 1
+        return x, picked - np.log(total[:, 0])
+
+    def learn(self, before, fresh, target, h, real=None):
+        """One window: gradients through its steps, one update; returns the state to carry on.
+        ``real`` marks the words that count."""
+        real = np.ones(before.shape, dtype=bool) if real is None else real
         states, kept, h_end = self.forward(before, fresh, h)
-        _, grads, back = self.output(states, target.reshape(-1), True)
-        back = back.reshape(states.shape)
+        _, grads, own = self.output(states[real], target[real], True)
+        back = np.zeros_like(states)
+        back[real] = own
         u, dh, du = self.p["state"], np.zeros_like(h_end), np.zeros_like(self.p["state"])
+        going = np.logical_not(fresh).astype(h_end.dtype)[:, :, None]
         dg = np.empty((*before.shape, 3 * HIDDEN), dtype=np.float32)
         for t in range(len(before) - 1, -1, -1):
             h0, m, z, r, n = kept[t]
@@ -187,14 +229,14 @@ class Network:
             d[:, 2 * HIDDEN:] = dn
             dm = np.concatenate((d[:, :2 * HIDDEN], dn * r), 1)
             du += h0.T @ dm
-            dh = np.where(fresh[t][:, None], np.float32(0), dh * z + dm @ u.T)
-        flat, members = dg.reshape(-1, 3 * HIDDEN), before.reshape(-1)
+            dh = (dh * z + dm @ u.T) * going[t]
+        flat, members = dg.reshape(-1, 3 * HIDDEN), before.reshape(-1).astype(np.int16)
         order = np.argsort(members, kind="stable")
         starts = np.flatnonzero(np.diff(members[order], prepend=-1))
         grads["gates"] = np.zeros_like(self.p["gates"])
         grads["gates"][members[order][starts]] = np.add.reduceat(flat[order], starts, axis=0)
         grads["state"] = du
-        self.update(grads, 1.0 / len(members))
+        self.update(grads, 1.0 / max(int(real.sum()), 1))
         return h_end
 
     def update(self, grads: dict[str, np.ndarray], scale: float) -> None:
@@ -218,29 +260,32 @@ def streams(members: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
         length, s = heap[0]
         of[s].append(i)
         heapq.heapreplace(heap, (length + len(members[i]), s))
-    made = [(np.concatenate([members[i] for i in own]), np.repeat(own, [len(members[i]) for i in own])) for own in of if own]
+    made = [(np.concatenate([members[i] for i in own]), np.repeat(np.array(own, dtype=np.int32), [len(members[i]) for i in own])) for own in of if own]
     return sorted(made, key=lambda x: -len(x[0]))
 
 
 def windows(members: list[np.ndarray]):
-    """(inputs, first words, targets, texts, streams still running) of each window of steps; every entry is a real word."""
+    """(inputs, first words, targets, texts, streams still running) of each window of steps.
+
+    A stream that ends inside a window is filled up; the text of such an entry is -1.
+    """
     laid = streams(members)
     if not laid:
         return
     sizes = np.array([len(x) for x, _ in laid])
-    longest = int(sizes[0])
-    at = 0
-    while at < longest:
+    wide = -(-int(sizes[0]) // STEPS) * STEPS
+    every = np.zeros((wide + 1, len(laid)), dtype=np.int16)
+    text = np.full((wide + 1, len(laid)), -1, dtype=np.int32)
+    every[0] = MEMBERS
+    for k, (x, t) in enumerate(laid):
+        every[1:len(x) + 1, k], text[1:len(x) + 1, k] = x, t
+    fresh = text[1:] != text[:-1]
+    for at in range(0, wide, STEPS):
         n = int((sizes > at).sum())
-        to = min(at + STEPS, int(sizes[n - 1]))  # no stream ends inside a window
-        target = np.stack([x[at:to] for x, _ in laid[:n]], 1)
-        text = np.stack([t[at:to] for _, t in laid[:n]], 1)
-        before = np.stack([x[at - 1:to - 1] if at else np.concatenate(([MEMBERS], x[:to - 1])) for x, _ in laid[:n]], 1)
-        last = np.stack([t[at - 1:to - 1] if at else np.concatenate(([-1], t[:to - 1])) for _, t in laid[:n]], 1)
-        fresh = text != last
-        before = np.where(fresh, MEMBERS, before)
-        yield before, fresh, target, text, n
-        at = to
+        rows = slice(at, min(at + STEPS, int(sizes[0])))
+        begin = fresh[rows, :n]
+        after = slice(rows.start + 1, rows.stop + 1)
+        yield np.where(begin, MEMBERS, every[rows, :n]).astype(np.int64), begin, every[after, :n].astype(np.int64), text[after, :n], n
 
 
 class Reader:
@@ -253,7 +298,7 @@ class Reader:
     def read(self, text: bytes):
         words = text.lower().split()
         ids = np.fromiter(map(self.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-        members = np.empty(len(ids) + 1, dtype=np.int64)
+        members = np.empty(len(ids) + 1, dtype=np.int16)
         members[-1] = self.v.end
         members[:-1] = self.v.member[ids] if len(self.v.words) else 0
         rest = np.flatnonzero(ids < 0)
@@ -291,64 +336,83 @@ def unflat(values: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndar
     return out
 
 
-def train(docs: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
-    spark, params = docs.sparkSession, initial(vocabulary.frequency)
-    shared = spark.sparkContext.broadcast(vocabulary.plain())
+ENCODED = ("row bigint, doc_id bigint, n_tokens bigint, n_known bigint, base double, share double, others array<string>, members binary")
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Each text read once: its members, what the known words add to its scores, and its other words."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary.plain())
+
+    def run(batches):
+        reader, row, pack = Reader(shared.value), TaskContext.get().partitionId() << 40, zstandard.ZstdCompressor(level=1).compress
+        v = reader.v
+        known, end = np.log10(v.counts + 0.5), np.log10(v.end_count + 0.5)
+        for batch in steps(batches, limit=READ_BYTES):
+            read = [reader.read(t) for t in text_bytes(batch)]
+            offsets = np.cumsum([0, *(len(r[2]) for r in read)]).astype(np.int32)
+            others = pa.ListArray.from_arrays(pa.array(offsets), pa.array([w for r in read for w in r[2]], pa.binary()).cast(pa.string()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row + np.arange(len(read))), column(batch, "doc_id"), pa.array([len(r[1]) for r in read], pa.int64()),
+                 pa.array([len(r[0]) + (v.end_count > 0) for r in read], pa.int64()), pa.array([known[r[0]].sum() + end for r in read], pa.float64()),
+                 pa.array([v.share[r[0]].sum() - v.bucket_base[r[3]].sum() for r in read], pa.float64()), others,
+                 pa.array([pack(r[1].astype("<i2").tobytes()) for r in read], pa.binary())],
+                names=["row", "doc_id", "n_tokens", "n_known", "base", "share", "others", "members"])
+            row += len(read)
+
+    return docs.select("doc_id", "text").mapInArrow(run, ENCODED)
+
+
+def unpacked(batches):
+    """Batches with the member arrays of their texts, of about ``LAYOUT_WORDS`` words."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        ends = np.cumsum(column(batch, "n_tokens").to_numpy())
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + LAYOUT_WORDS, "right")))
+            part = batch.slice(at, to - at)
+            yield part, [np.frombuffer(unpack(x), dtype="<i2") for x in column(part, "members").to_pylist()]
+            at = to
+
+
+def train(encoded: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
+    params = initial(vocabulary.frequency)
     part = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(ROUNDS))
     for k in range(ROUNDS):
         start = {name: v.copy() for name, v in params.items()}
 
         def run(batches, start=start):
-            reader, network, seen = Reader(shared.value), Network({name: v.copy() for name, v in start.items()}), 0
-            for batch in steps(batches, limit=LAYOUT_BYTES):
-                members = [reader.read(t)[1] for t in text_bytes(batch)]
+            network, seen = Network({name: v.copy() for name, v in start.items()}), 0
+            for _, members in unpacked(batches):
                 h = np.zeros((min(STREAMS, len(members)), HIDDEN), dtype=np.float32)
-                for before, fresh, target, _, n in windows(members):
-                    h = network.learn(before, fresh, target, h[:n])
-                    seen += target.size
+                for before, fresh, target, text, n in windows(members):
+                    real = text >= 0
+                    h = network.learn(before, fresh, target, h[:n], real)
+                    seen += int(real.sum())
             if seen:
                 yield pa.RecordBatch.from_arrays([pa.array([float(seen)]), pa.array([flat(network.p).tobytes()], pa.binary())], names=["weight", "params"])
 
-        mean = average(docs.filter(part == k).select("text").mapInArrow(run, "weight double, params binary"))
+        mean = average(encoded.filter(part == k).select("n_tokens", "members").mapInArrow(run, "weight double, params binary"))
         if mean is not None:
             params = unflat(mean, params)
-    shared.unpersist()
     return params
 
 
-SCORED = "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, base double, score double, others array<string>"
-
-
-def score(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, params: dict[str, np.ndarray], scratch: Scratch) -> DataFrame:
-    """doc_id, n_tokens, n_known, base_score and score of every text; ``docs`` has doc_id and text."""
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary.plain(), params))
-
+def score(encoded: DataFrame, counts: DataFrame, vocabulary: Vocabulary, params: dict[str, np.ndarray]) -> DataFrame:
+    """doc_id, n_tokens, n_known, train_tokens, base_score and score of every text; ``encoded`` is a written table."""
     def run(batches):
-        plain, params = shared.value
-        reader, network, row = Reader(plain), Network(params), TaskContext.get().partitionId() << 40
-        v = reader.v
-        known = np.log10(v.counts + 0.5)
-        end = np.log10(v.end_count + 0.5)
-        for batch in steps(batches, limit=LAYOUT_BYTES):
-            texts = text_bytes(batch)
-            read = [reader.read(t) for t in texts]
-            total = np.zeros(len(texts))
-            h = np.zeros((min(STREAMS, len(texts)), HIDDEN), dtype=np.float32)
-            for before, fresh, target, text, n in windows([r[1] for r in read]):
+        network = Network(params)
+        for batch, members in unpacked(batches):
+            total = np.zeros(len(members))
+            h = np.zeros((min(STREAMS, len(members)), HIDDEN), dtype=np.float32)
+            for before, fresh, target, text, n in windows(members):
                 states, _, h = network.forward(before, fresh, h[:n])
-                np.add.at(total, text.reshape(-1), network.output(states, target.reshape(-1), False)[0].astype(np.float64))
-            total /= LN10
-            total += [v.share[r[0]].sum() - v.bucket_base[r[3]].sum() for r in read]
-            offsets = np.cumsum([0, *(len(r[2]) for r in read)]).astype(np.int32)
-            others = pa.ListArray.from_arrays(pa.array(offsets), pa.array([w for r in read for w in r[2]], pa.binary()).cast(pa.string()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(row + np.arange(len(texts))), column(batch, "doc_id"), pa.array([len(r[1]) for r in read], pa.int64()),
-                 pa.array([len(r[0]) + (v.end_count > 0) for r in read], pa.int64()), pa.array([known[r[0]].sum() + end for r in read], pa.float64()), pa.array(total), others],
-                names=["row", "doc_id", "n_tokens", "n_known", "base", "score", "others"])
-            row += len(texts)
+                real = text >= 0
+                total += np.bincount(text[real], network.output(states[real], target[real], False)[0], len(members))
+            yield pa.RecordBatch.from_arrays([*(column(batch, c) for c in SUMS), pa.array(total / LN10)], names=[*SUMS, "path"])
 
-    rows = scratch.keep(docs.select("doc_id", "text").mapInArrow(run, SCORED), "scored")
-    rare = rows.select("row", F.explode("others").alias("word")).groupBy("row", "word").agg(F.count("*").alias("k"))
+    rows = encoded.select(*SUMS, "members").mapInArrow(run, "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, base double, share double, path double")
+    rare = encoded.select("row", F.explode("others").alias("word")).groupBy("row", "word").agg(F.count("*").alias("k"))
     n = F.coalesce("n", F.lit(0))
     rest = (rare.join(counts, "word", "left").groupBy("row")
             .agg(F.sum(F.col("k") * F.log10(n + 0.5)).alias("more"), F.sum(F.when(n > 0, F.col("k")).otherwise(0)).alias("seen")))
@@ -356,7 +420,7 @@ def score(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, params: di
     base = F.col("base") + more - F.col("n_tokens") * float(np.log10(vocabulary.tokens + 0.5 * (vocabulary.distinct + 1)))
     return rows.join(rest, "row", "left").select(
         "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("seen", F.lit(0))).alias("n_known"), F.lit(vocabulary.tokens).cast("bigint").alias("train_tokens"),
-        base.alias("base_score"), (F.col("score") + more).alias("score"))
+        base.alias("base_score"), (F.col("path") + F.col("share") + more).alias("score"))
 
 
 @query("op3_lm_scores")
@@ -368,6 +432,7 @@ def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     learn = docs.filter(~held)
     counts = scratch.keep(word_counts(learn), "counts")
     vocabulary = Vocabulary(counts)
-    params = train(learn, vocabulary)
-    scored = score(docs, counts, vocabulary, params, scratch)
+    encoded = scratch.keep(encode(docs, vocabulary), "encoded")
+    params = train(encoded.filter(~held), vocabulary)
+    scored = score(encoded, counts, vocabulary, params)
     return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

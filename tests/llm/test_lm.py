@@ -63,7 +63,6 @@ def test_gradients_by_differences(monkeypatch):
     monkeypatch.setattr(network, "update", lambda grads, scale: taken.update(grads))
     network.learn(before, fresh, target, h)
     loss = lambda: -network.output(network.forward(before, fresh, h)[0].astype(np.float64), target.reshape(-1), False)[0].sum()
-    monkeypatch.setattr(lm, "sigmoid", lambda x: 1 / (1 + np.exp(-x)))
     monkeypatch.setattr(np, "float32", np.float64)
     for name, value in params.items():
         live = np.argwhere(np.abs(taken[name]) > 1e-3)
@@ -93,7 +92,8 @@ def test_windows_carry_the_state_through_whole_texts(monkeypatch):
     total, h = np.zeros(len(texts)), np.zeros((3, lm.HIDDEN), dtype=np.float32)
     for before, fresh, target, text, n in lm.windows(texts):
         states, _, h = network.forward(before, fresh, h[:n])
-        np.add.at(total, text.reshape(-1), network.output(states, target.reshape(-1), False)[0])
+        real = text >= 0  # a stream that ends inside a window is filled up
+        np.add.at(total, text[real], network.output(states[real], target[real], False)[0])
     for i, x in enumerate(texts):
         h, alone = np.zeros((1, lm.HIDDEN), dtype=np.float32), 0.0
         for k, w in enumerate(x):
