@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from paystrata.llm.common import Scratch
 
 
+EDGES_PER_PART = 500_000
+
+
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, comp) of every node of ``edges`` (a, b): comp is the least node it reaches.
 
@@ -16,18 +19,22 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """
     both = lambda e: e.select("a", "b").unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     edges = scratch.keep(edges.select("a", "b").filter("a <> b").distinct(), "edges")
-    labels = scratch.keep(both(edges).select(F.col("a").alias("node"), F.col("a").alias("comp")).distinct(), "labels")
+    # As many parts as the edges fill: many rounds over few rows cost more in tasks than in work.
+    parts = max(1, -(-edges.count() // EDGES_PER_PART))
+    keep = lambda df, label: scratch.keep(df.coalesce(parts), label)
+    labels = keep(both(edges).select(F.col("a").alias("node"), F.col("a").alias("comp")).distinct(), "labels")
     while not edges.isEmpty():
         hook = both(edges).groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("c"), F.least("a", "m").alias("p"))
-        hook = scratch.keep(hook, "hook")
+        first = keep(hook, "hook")
+        up = first.select(F.col("c").alias("p"), F.col("p").alias("q"))
+        hook = first
         for _ in range(2):
-            up = hook.select(F.col("c").alias("p"), F.col("p").alias("q"))
-            jumped = scratch.keep(hook.join(up, "p", "left").select("c", F.coalesce("q", "p").alias("p")), "hook")
-            scratch.drop(hook)
-            hook = jumped
-        moved = scratch.keep(labels.join(hook.withColumnRenamed("c", "comp"), "comp", "left").select("node", F.coalesce("p", "comp").alias("comp")), "labels")
+            hook = hook.join(up, "p", "left").select("c", F.coalesce("q", "p").alias("p"))
+        hook = keep(hook, "hook")
+        scratch.drop(first)
+        moved = keep(labels.join(hook.withColumnRenamed("c", "comp"), "comp", "left").select("node", F.coalesce("p", "comp").alias("comp")), "labels")
         to = lambda side: hook.select(F.col("c").alias(side), F.col("p").alias(f"n{side}"))
-        fewer = scratch.keep(edges.join(to("a"), "a").join(to("b"), "b").select(F.col("na").alias("a"), F.col("nb").alias("b"))
+        fewer = keep(edges.join(to("a"), "a").join(to("b"), "b").select(F.col("na").alias("a"), F.col("nb").alias("b"))
                              .filter("a <> b").distinct(), "edges")
         for old in (labels, edges, hook):
             scratch.drop(old)

@@ -41,7 +41,7 @@ CHUNKS, PER_CHUNK = 12, 5
 INDEXED, SYMBOLS = CHUNKS * PER_CHUNK, 128
 #: Symbols two signatures must share to be confirmed; five standard deviations below 0.8.
 AGREE = 80
-SMALL, ROUNDS = 48, 4
+SMALL, ROUNDS = 48, 2
 PERCENT = 80
 _U = np.uint64
 MULTIPLY = mix(np.arange(1, SYMBOLS + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
@@ -185,7 +185,7 @@ class Linker:
 
     def split(self, members: DataFrame) -> DataFrame:
         """Members of buckets that hold more than one component, with the bucket's size."""
-        rows = members.select("key", "node").join(self.labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
+        rows = members.join(self.labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         mixed = (rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n"))
                  .filter("low <> high").select("key", "n"))
         return self.scratch.keep(rows.join(mixed, "key"), "split")
@@ -239,29 +239,32 @@ class Linker:
 
     def run(self) -> DataFrame:
         self.test(self.members.select(F.col("centre").alias("a"), F.col("node").alias("b")), best=True)
-        rows = self.split(self.members)
+        rows = self.split(self.members.select("key", "node"))
         if rows.isEmpty():
             return self.labels
         weighed = self.linkable(rows)
-        members = self.scratch.keep(rows.select("key", "node").join(weighed, "node"), "members")
+        members = self.scratch.keep(rows.select("key", "node").join(weighed, "node").select("key", "node", "own"), "members")
         self.scratch.drop(rows)
         rows = self.split(members)
         small = rows.filter(F.col("n") <= SMALL)
-        self.test(small.alias("x").join(small.alias("y"), "key").filter("x.node < y.node and x.comp <> y.comp")
-                  .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
+        pairs = (small.alias("x").join(small.alias("y"), "key").filter("x.node < y.node and x.comp <> y.comp")
+                 .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
         for k in range(ROUNDS + 1):
-            self.scratch.drop(rows)
-            rows = self.split(members)
             large = rows.filter(F.col("n") > SMALL)
             if large.isEmpty():
+                if k == 0:
+                    self.test(pairs)
                 break
             if k == ROUNDS:
-                self.test(self.rest(large))
+                self.test(self.rest(large) if k else pairs.unionAll(self.rest(large)))
                 break
             first = F.struct("own", F.xxhash64("node")) if k == 0 else F.struct(F.xxhash64("node", F.lit(k)), "own")
-            centre = large.join(weighed, "node").groupBy("key").agg(F.min_by(F.struct("node", "comp"), first).alias("c"))
+            centre = large.groupBy("key").agg(F.min_by(F.struct("node", "comp"), first).alias("c"))
             centre = centre.select("key", F.col("c.node").alias("a"), F.col("c.comp").alias("ca"))
-            self.test(large.join(centre, "key").filter("comp <> ca").select("a", F.col("node").alias("b")))
+            met = large.join(centre, "key").filter("comp <> ca").select("a", F.col("node").alias("b"))
+            self.test(met if k else pairs.unionAll(met))
+            self.scratch.drop(rows)
+            rows = self.split(members)
         return self.labels
 
 
