@@ -1,19 +1,23 @@
 """Language-model scores: a gated recurrent network in numpy, trained where the data is.
 
 The output is factored: words are members of classes, and the network predicts first the
-class, then the member in it. The most frequent ``WORDS`` training words and the end of a
-text are members of their own; all others share ``BUCKETS`` members by their first two
-bytes, within which a word has its smoothed share of the training tokens. Output biases
-start at the members' frequencies, so training starts from the unigram model.
+class, then the member in it. Every word that occurs ``LEAST`` times in training, at least
+the ``WORDS`` most frequent, and the end of a text are members of their own, in about as
+many classes as a class has members, so the network grows with the training words; all
+rarer words share ``BUCKETS`` members by their first two bytes, within which a word has its
+smoothed share of the training tokens. Output biases start at the members' frequencies, so
+training starts from the unigram model.
 
 Training passes over all training documents once, in ``ROUNDS`` parts by hash. In each
 part every task trains a copy of the parameters on its own documents - truncated
 backpropagation over windows of ``STEPS`` words on ``STREAMS`` texts at a time, the state
-carried from window to window and reset at the start of a text - and the copies are
-averaged by the tokens they saw. Scoring carries the state through each whole text.
+carried from window to window and reset at the start of a text; an update costs what the
+window touched, not the size of the network. The copies are averaged class by class, by the
+tokens of the class they saw; a task sends only those. Scoring carries the state through
+each whole text.
 
-Counts are over all training documents. The ``KNOWN`` most frequent words travel to the
-tasks with their counts; the counts of any other word of a text come by a join. Words are
+Counts are over all training documents. The ``KNOWN`` most frequent words, and all members,
+travel to the tasks with their counts; the counts of any other word of a text come by a join. Words are
 runs of anything but ASCII white space, A to Z folded. A null text is its end alone;
 repeated rows are scored each time; an empty table gives no rows, and without training
 documents every word is unknown.
@@ -22,6 +26,7 @@ documents every word is unknown.
 from __future__ import annotations
 
 import heapq
+import math
 import zlib
 from itertools import repeat
 from types import SimpleNamespace
@@ -37,10 +42,13 @@ from paystrata.llm.common import Scratch, column, crc_of_id, documents, steps, t
 from paystrata.llm.registry import query
 
 HIDDEN = 16
+#: Classes and members of the smallest network.
 CLASSES, PER_CLASS = 16, 32
 MEMBERS = CLASSES * PER_CLASS
 BUCKETS = 128
 WORDS = MEMBERS - BUCKETS - 1
+#: Occurrences from which a word is learnt as itself.
+LEAST = 32
 KNOWN = 150_000
 STREAMS, STEPS, ROUNDS = 512, 24, 2
 RATE, CLIP = 0.01, 5.0
@@ -77,6 +85,14 @@ def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
     return counts.filter(F.col("n") >= least) if least is not None else counts.limit(0)
 
 
+def shape(members: int) -> tuple[int, int]:
+    """Classes, and members of each, that hold so many members."""
+    if members <= MEMBERS:
+        return CLASSES, PER_CLASS
+    classes = math.isqrt(members - 1) + 1
+    return classes, -(-members // classes)
+
+
 def bucket(word: bytes) -> int:
     return zlib.crc32(word[:2]) % BUCKETS
 
@@ -87,33 +103,35 @@ class Vocabulary:
     def __init__(self, counts: DataFrame):
         total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
         self.tokens, self.distinct = total.n or 0, total.v
-        rows = most_frequent(counts.filter(F.col("word") != END), KNOWN).collect()
+        words = counts.filter(F.col("word") != END)
+        self.members = math.prod(shape(max(WORDS, words.filter(F.col("n") >= LEAST).count()) + 1 + BUCKETS))
+        self.own = self.members - 1 - BUCKETS
+        rows = most_frequent(words, max(KNOWN, self.own)).collect()
         rows.sort(key=lambda r: (-r.n, r.word))
         end = counts.filter(F.col("word") == END).first()
         self.end_count = end.n if end else 0
         self.words = [r.word.encode() for r in rows]
         self.counts = np.array([r.n for r in rows], dtype=np.int64)
-        own = {r.word: i for i, r in enumerate(rows[:WORDS])}
+        own = min(self.own, len(rows))
+        buckets = np.array([bucket(w) for w in self.words], dtype=np.int64)
         rest = F.crc32(F.substring(F.col("word").cast("binary"), 1, 2)) % BUCKETS
-        top = counts.sparkSession.createDataFrame([(w,) for w in own], "word string")
-        shared = (counts.filter(F.col("word") != END).join(F.broadcast(top), "word", "left_anti")
-                  .groupBy(rest.alias("b")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect())
         mass, kinds = np.zeros(BUCKETS), np.zeros(BUCKETS)
-        for r in shared:
+        for r in words.groupBy(rest.alias("b")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
             mass[r.b], kinds[r.b] = r.n, r.v
+        mass -= np.bincount(buckets[:own], self.counts[:own], BUCKETS)
+        kinds -= np.bincount(buckets[:own], minlength=BUCKETS)
         self.bucket_base = np.log10(mass + 0.5 * (kinds + 1))
         # Members by frequency: own words and the end first, then the buckets, each in classes of equal size.
-        weight = np.concatenate((self.counts[:WORDS], np.zeros(WORDS - len(own)), [self.end_count]))
-        place = np.empty(WORDS + 1, dtype=np.int64)
-        place[np.argsort(-weight, kind="stable")] = np.arange(WORDS + 1)
-        self.end = int(place[WORDS])
+        weight = np.concatenate((self.counts[:own], np.zeros(self.own - own), [self.end_count]))
+        place = np.empty(self.own + 1, dtype=np.int64)
+        place[np.argsort(-weight, kind="stable")] = np.arange(self.own + 1)
+        self.end = int(place[self.own])
         bucket_place = np.empty(BUCKETS, dtype=np.int64)
-        bucket_place[np.argsort(-mass, kind="stable")] = WORDS + 1 + np.arange(BUCKETS)
+        bucket_place[np.argsort(-mass, kind="stable")] = self.own + 1 + np.arange(BUCKETS)
         self.bucket_member = bucket_place
-        self.member = np.array([place[i] if i < WORDS else bucket_place[bucket(w)] for i, w in enumerate(self.words)], dtype=np.int64)
-        self.share = np.where(np.arange(len(self.words)) < WORDS, 0.0, np.log10(self.counts + 0.5)
-                              - self.bucket_base[[bucket(w) for w in self.words]]) if self.words else np.zeros(0)
-        self.frequency = np.zeros(MEMBERS)
+        self.member = np.concatenate((place[:own], bucket_place[buckets[own:]]))
+        self.share = np.concatenate((np.zeros(own), np.log10(self.counts[own:] + 0.5) - self.bucket_base[buckets[own:]]))
+        self.frequency = np.zeros(self.members)
         self.frequency[place], self.frequency[bucket_place] = weight, mass
 
     def plain(self) -> dict:
@@ -123,20 +141,25 @@ class Vocabulary:
 
 def initial(frequency: np.ndarray) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(7)
-    f = (frequency + 0.5).reshape(CLASSES, PER_CLASS)
+    classes, size = shape(len(frequency))
+    f = (frequency + 0.5).reshape(classes, size)
     small = lambda *shape: (rng.standard_normal(shape) * 0.1).astype(np.float32)
-    return {"gates": small(MEMBERS + 1, 3 * HIDDEN), "state": small(HIDDEN, 3 * HIDDEN), "class": small(HIDDEN, CLASSES), "member": small(CLASSES, HIDDEN, PER_CLASS),
+    return {"gates": small(len(frequency) + 1, 3 * HIDDEN), "state": small(HIDDEN, 3 * HIDDEN), "class": small(HIDDEN, classes), "member": small(classes, HIDDEN, size),
             "class_bias": np.log(f.sum(1) / f.sum()).astype(np.float32), "member_bias": np.log(f / f.sum(1, keepdims=True)).astype(np.float32)}
 
 
 class Network:
-    """Gated recurrent units over member ids; member ``MEMBERS`` stands before a text."""
+    """Gated recurrent units over member ids; the id after the last member stands before a text."""
 
     def __init__(self, params: dict[str, np.ndarray]):
         self.p = params
         self.first = {k: np.zeros_like(v) for k, v in params.items()}
         self.second = {k: np.zeros_like(v) for k, v in params.items()}
         self.updates = 0
+        self.classes, _, self.size = params["member"].shape
+        #: Gradients of the parameters that have rows, zero but for the rows the last window touched.
+        self.rows = {k: np.zeros_like(params[k]) for k in ("gates", "member", "member_bias")}
+        self.touched = {k: np.zeros(0, dtype=np.int64) for k in self.rows}
 
     def forward(self, before: np.ndarray, fresh: np.ndarray, h: np.ndarray):
         """States after each word; ``fresh`` marks the first word of a text, whose state starts from zero."""
@@ -169,19 +192,18 @@ class Network:
 
     def output(self, states: np.ndarray, target: np.ndarray, learn: bool):
         """Log-probability of each target member and, to learn, the gradients of its negative sum."""
-        kind = (target // PER_CLASS).astype(np.int16)
+        kind = (target // self.size).astype(np.int16)
         order = np.argsort(kind, kind="stable")  # words of a class side by side
-        flat, kind, inside = states.reshape(-1, HIDDEN)[order], kind[order], (target % PER_CLASS)[order]
-        bounds, rows = np.searchsorted(kind, np.arange(CLASSES + 1)), np.arange(len(kind))
+        flat, kind, inside = states.reshape(-1, HIDDEN)[order], kind[order], (target % self.size)[order]
+        bounds, rows = np.searchsorted(kind, np.arange(self.classes + 1)), np.arange(len(kind))
         e, logp = self._softmax(flat @ self.p["class"] + self.p["class_bias"], rows, kind, learn)
         grads, back = None, None
         if learn:
             back = e @ self.p["class"].T
-            grads = {"class": flat.T @ e, "class_bias": e.sum(0), "member": np.zeros_like(self.p["member"]), "member_bias": np.zeros_like(self.p["member_bias"])}
-        for c in range(CLASSES):
+            grads = {"class": flat.T @ e, "class_bias": e.sum(0), **self.rows}
+            self.touched["member"] = self.touched["member_bias"] = np.flatnonzero(np.diff(bounds))
+        for c in np.flatnonzero(np.diff(bounds)):
             low, high = bounds[c], bounds[c + 1]
-            if low == high:
-                continue
             s = flat[low:high]
             e, own = self._softmax(s @ self.p["member"][c] + self.p["member_bias"][c], rows[:high - low], inside[low:high], learn)
             logp[low:high] += own
@@ -212,6 +234,8 @@ class Network:
         """One window: gradients through its steps, one update; returns the state to carry on.
         ``real`` marks the words that count."""
         real = np.ones(before.shape, dtype=bool) if real is None else real
+        for name, g in self.rows.items():
+            g[self.touched[name]] = 0
         states, kept, h_end = self.forward(before, fresh, h)
         _, grads, own = self.output(states[real], target[real], True)
         back = np.zeros_like(states)
@@ -230,26 +254,30 @@ class Network:
             dm = np.concatenate((d[:, :2 * HIDDEN], dn * r), 1)
             du += h0.T @ dm
             dh = (dh * z + dm @ u.T) * going[t]
-        flat, members = dg.reshape(-1, 3 * HIDDEN), before.reshape(-1).astype(np.int16)
+        flat, members = dg.reshape(-1, 3 * HIDDEN), before.reshape(-1).astype(np.int32)
         order = np.argsort(members, kind="stable")
         starts = np.flatnonzero(np.diff(members[order], prepend=-1))
-        grads["gates"] = np.zeros_like(self.p["gates"])
-        grads["gates"][members[order][starts]] = np.add.reduceat(flat[order], starts, axis=0)
+        self.touched["gates"] = members[order][starts]
+        grads["gates"][self.touched["gates"]] = np.add.reduceat(flat[order], starts, axis=0)
         grads["state"] = du
         self.update(grads, 1.0 / max(int(real.sum()), 1))
         return h_end
 
     def update(self, grads: dict[str, np.ndarray], scale: float) -> None:
+        """One step of Adam; rows that the window did not touch stay as they are."""
+        at = {name: self.touched.get(name, slice(None)) for name in grads}
+        grads = {name: g[at[name]] for name, g in grads.items()}
         norm = scale * float(np.sqrt(sum(float((g * g).sum()) for g in grads.values())))
         scale *= min(1.0, CLIP / max(norm, 1e-12))
         self.updates += 1
         k = self.updates
         for name, g in grads.items():
             g = g * np.float32(scale)
-            a, b = self.first[name], self.second[name]
+            a, b = self.first[name][at[name]], self.second[name][at[name]]
             a += np.float32(0.1) * (g - a)
             b += np.float32(0.001) * (g * g - b)
-            self.p[name] -= np.float32(RATE) * (a / np.float32(1 - 0.9 ** k)) / (np.sqrt(b / np.float32(1 - 0.999 ** k)) + np.float32(1e-8))
+            self.first[name][at[name]], self.second[name][at[name]] = a, b
+            self.p[name][at[name]] -= np.float32(RATE) * (a / np.float32(1 - 0.9 ** k)) / (np.sqrt(b / np.float32(1 - 0.999 ** k)) + np.float32(1e-8))
 
 
 def streams(members: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -264,19 +292,19 @@ def streams(members: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
     return sorted(made, key=lambda x: -len(x[0]))
 
 
-def windows(members: list[np.ndarray]):
+def windows(members: list[np.ndarray], start: int = MEMBERS):
     """(inputs, first words, targets, texts, streams still running) of each window of steps.
 
-    A stream that ends inside a window is filled up; the text of such an entry is -1.
+    ``start`` stands before a text. A stream that ends inside a window is filled up; the text of such an entry is -1.
     """
     laid = streams(members)
     if not laid:
         return
     sizes = np.array([len(x) for x, _ in laid])
     wide = -(-int(sizes[0]) // STEPS) * STEPS
-    every = np.zeros((wide + 1, len(laid)), dtype=np.int16)
+    every = np.zeros((wide + 1, len(laid)), dtype=np.int32)
     text = np.full((wide + 1, len(laid)), -1, dtype=np.int32)
-    every[0] = MEMBERS
+    every[0] = start
     for k, (x, t) in enumerate(laid):
         every[1:len(x) + 1, k], text[1:len(x) + 1, k] = x, t
     fresh = text[1:] != text[:-1]
@@ -285,7 +313,7 @@ def windows(members: list[np.ndarray]):
         rows = slice(at, min(at + STEPS, int(sizes[0])))
         begin = fresh[rows, :n]
         after = slice(rows.start + 1, rows.stop + 1)
-        yield np.where(begin, MEMBERS, every[rows, :n]).astype(np.int64), begin, every[after, :n].astype(np.int64), text[after, :n], n
+        yield np.where(begin, start, every[rows, :n]).astype(np.int64), begin, every[after, :n].astype(np.int64), text[after, :n], n
 
 
 class Reader:
@@ -298,7 +326,7 @@ class Reader:
     def read(self, text: bytes):
         words = text.lower().split()
         ids = np.fromiter(map(self.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-        members = np.empty(len(ids) + 1, dtype=np.int16)
+        members = np.empty(len(ids) + 1, dtype=np.int32)
         members[-1] = self.v.end
         members[:-1] = self.v.member[ids] if len(self.v.words) else 0
         rest = np.flatnonzero(ids < 0)
@@ -308,32 +336,43 @@ class Reader:
         return ids[ids >= 0], members, others, shared
 
 
-def average(copies: DataFrame) -> np.ndarray | None:
-    """Mean of the parameters weighted by tokens: summed in tasks, then a few sums in the driver."""
+def averages(copies: DataFrame, kind: str = "<f4") -> DataFrame:
+    """(part, weight, params): mean of the copies of each part, weighted and summed in double precision."""
     def run(batches):
-        total, weight = None, 0.0
+        totals, weights = {}, {}
         for batch in batches:
-            for w, raw in zip(column(batch, "weight").to_pylist(), column(batch, "params").to_pylist()):
-                part = np.frombuffer(raw, dtype="<f8") * (w if len(raw) else 0)
-                total, weight = part if total is None else total + part, weight + w
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([weight]), pa.array([(total / weight).astype("<f8").tobytes()], pa.binary())], names=["weight", "params"])
+            for k, w, raw in zip(*(column(batch, c).to_pylist() for c in ("part", "weight", "params"))):
+                values = np.frombuffer(raw, dtype=kind).astype(np.float64) * w
+                totals[k], weights[k] = (totals[k] + values, weights[k] + w) if k in totals else (values, w)
+        for k in totals:
+            mean = (totals[k] / weights[k]).astype(kind).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([weights[k]]), pa.array([mean], pa.binary())], names=["part", "weight", "params"])
+
+    return copies.select("part", "weight", "params").repartition("part").mapInArrow(run, "part int, weight double, params binary")
+
 
-    rows = copies.repartition(8).mapInArrow(run, "weight double, params binary").collect()
-    total = sum(r.weight for r in rows)
-    return sum(np.frombuffer(r.params, "<f8") * (r.weight / total) for r in rows) if total else None
+def average(copies: DataFrame) -> np.ndarray | None:
+    """Mean of copies that are one part, weighted."""
+    row = averages(copies.withColumn("part", F.lit(0)), "<f8").first()
+    return np.frombuffer(row.params, "<f8") if row else None
+
+
+def parts(params: dict[str, np.ndarray]) -> list[list[np.ndarray]]:
+    """Views of the parameters: those of each class and its members, and last what all words share."""
+    classes, _, size = params["member"].shape
+    own = [[params["member"][c], params["member_bias"][c], params["gates"][c * size:(c + 1) * size]] for c in range(classes)]
+    return [*own, [params["state"], params["class"], params["class_bias"], params["gates"][-1:]]]
 
 
-def flat(params: dict[str, np.ndarray]) -> np.ndarray:
-    return np.concatenate([params[k].reshape(-1) for k in sorted(params)]).astype("<f8")
+def flat(part: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([x.reshape(-1) for x in part])
 
 
-def unflat(values: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    out, at = {}, 0
-    for k in sorted(like):
-        n = like[k].size
-        out[k], at = values[at:at + n].reshape(like[k].shape).astype(np.float32), at + n
-    return out
+def put(part: list[np.ndarray], values: np.ndarray) -> None:
+    at = 0
+    for x in part:
+        x[...] = values[at:at + x.size].reshape(x.shape)
+        at += x.size
 
 
 ENCODED = ("row bigint, doc_id bigint, n_tokens bigint, n_known bigint, base double, share double, others array<string>, members binary")
@@ -355,7 +394,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 [pa.array(row + np.arange(len(read))), column(batch, "doc_id"), pa.array([len(r[1]) for r in read], pa.int64()),
                  pa.array([len(r[0]) + (v.end_count > 0) for r in read], pa.int64()), pa.array([known[r[0]].sum() + end for r in read], pa.float64()),
                  pa.array([v.share[r[0]].sum() - v.bucket_base[r[3]].sum() for r in read], pa.float64()), others,
-                 pa.array([pack(r[1].astype("<i2").tobytes()) for r in read], pa.binary())],
+                 pa.array([pack(r[1].astype("<i4").tobytes()) for r in read], pa.binary())],
                 names=["row", "doc_id", "n_tokens", "n_known", "base", "share", "others", "members"])
             row += len(read)
 
@@ -371,41 +410,48 @@ def unpacked(batches):
         while at < batch.num_rows:
             to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + LAYOUT_WORDS, "right")))
             part = batch.slice(at, to - at)
-            yield part, [np.frombuffer(unpack(x), dtype="<i2") for x in column(part, "members").to_pylist()]
+            yield part, [np.frombuffer(unpack(x), dtype="<i4") for x in column(part, "members").to_pylist()]
             at = to
 
 
 def train(encoded: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
     params = initial(vocabulary.frequency)
-    part = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(ROUNDS))
+    part, members_ = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(ROUNDS)), vocabulary.members
     for k in range(ROUNDS):
-        start = {name: v.copy() for name, v in params.items()}
+        shared = encoded.sparkSession.sparkContext.broadcast(params)
 
-        def run(batches, start=start):
-            network, seen = Network({name: v.copy() for name, v in start.items()}), 0
+        def run(batches, shared=shared):
+            network, seen = Network({name: v.copy() for name, v in shared.value.items()}), 0
             for _, members in unpacked(batches):
                 h = np.zeros((min(STREAMS, len(members)), HIDDEN), dtype=np.float32)
-                for before, fresh, target, text, n in windows(members):
+                for before, fresh, target, text, n in windows(members, members_):
                     real = text >= 0
                     h = network.learn(before, fresh, target, h[:n], real)
-                    seen += int(real.sum())
-            if seen:
-                yield pa.RecordBatch.from_arrays([pa.array([float(seen)]), pa.array([flat(network.p).tobytes()], pa.binary())], names=["weight", "params"])
-
-        mean = average(encoded.filter(part == k).select("n_tokens", "members").mapInArrow(run, "weight double, params binary"))
-        if mean is not None:
-            params = unflat(mean, params)
+                    seen = seen + np.bincount(target[real] // network.size, minlength=network.classes)
+            if np.any(seen):
+                for i, (own, weight) in enumerate(zip(parts(network.p), [*seen.tolist(), int(seen.sum())])):
+                    if weight:
+                        yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([float(weight)]), pa.array([flat(own).astype("<f4").tobytes()], pa.binary())],
+                                                         names=["part", "weight", "params"])
+
+        copies = encoded.filter(part == k).select("n_tokens", "members").mapInArrow(run, "part int, weight double, params binary")
+        params = {name: v.copy() for name, v in params.items()}
+        into = parts(params)
+        for r in averages(copies).collect():
+            put(into[r.part], np.frombuffer(r.params, "<f4"))
     return params
 
 
 def score(encoded: DataFrame, counts: DataFrame, vocabulary: Vocabulary, params: dict[str, np.ndarray]) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every text; ``encoded`` is a written table."""
+    shared, start = encoded.sparkSession.sparkContext.broadcast(params), vocabulary.members
+
     def run(batches):
-        network = Network(params)
+        network = Network(shared.value)
         for batch, members in unpacked(batches):
             total = np.zeros(len(members))
             h = np.zeros((min(STREAMS, len(members)), HIDDEN), dtype=np.float32)
-            for before, fresh, target, text, n in windows(members):
+            for before, fresh, target, text, n in windows(members, start):
                 states, _, h = network.forward(before, fresh, h[:n])
                 real = text >= 0
                 total += np.bincount(text[real], network.output(states[real], target[real], False)[0], len(members))

@@ -117,3 +117,41 @@ def test_words_of_a_bucket_share_its_probability(spark):
         shares[lm.bucket(w)] += 10 ** s
     for b, total in shares.items():  # with the half for unknown words of the bucket
         assert total + 0.5 / 10 ** v.bucket_base[b] == pytest.approx(1)
+
+
+def test_members_follow_the_training_words(spark, monkeypatch):
+    """Every word that occurs often enough is learnt as itself, however many there are."""
+    monkeypatch.setattr(lm, "LEAST", 20)
+    rng = np.random.default_rng(6)
+    after = rng.permutation(1500)
+    rows = []
+    for k in range(600):
+        w, text = k * 5 % 1500, []
+        for _ in range(100):
+            text.append(f"aa{w}")  # all in one bucket by their first bytes
+            w = after[w] if rng.random() < 0.95 else rng.integers(1500)
+        rows.append((k, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    scratch = Scratch(spark)
+    counts = scratch.keep(lm.word_counts(docs), "counts")
+    often = counts.filter(f"n >= {lm.LEAST}").count()
+    v = lm.Vocabulary(counts)
+    assert often > 1000 and v.members >= often and len(set(v.member[:often - 1].tolist())) == often - 1 and not v.share[:often - 1].any()
+    params = lm.initial(v.frequency)
+    classes, _, size = params["member"].shape
+    assert classes * size == v.members and abs(classes - size) <= 1
+    network = lm.Network(params)
+    states = np.repeat(rng.standard_normal((1, 1, lm.HIDDEN)).astype(np.float32), v.members, axis=0)
+    assert np.exp(network.output(states, np.arange(v.members), False)[0]).sum() == pytest.approx(1, abs=1e-4)
+    encoded = scratch.keep(lm.encode(docs, v), "encoded")
+    learnt = lm.score(encoded, counts, v, lm.train(encoded, v)).selectExpr("sum(score) AS s", "sum(base_score) AS b").first()
+    assert learnt.s > learnt.b
+
+
+def test_query_with_a_larger_network(spark, small, texts, monkeypatch):
+    monkeypatch.setattr(lm, "LEAST", 4)
+    monkeypatch.setattr(lm, "KNOWN", 700)
+    got = QUERIES["op3_lm_scores"](spark, small).collect()
+    check(got, list(texts.items()))
+    for held in (False, True):
+        assert sum(r.score for r in got if r.held_out == held) > sum(r.base_score for r in got if r.held_out == held)
