@@ -20,7 +20,8 @@ first - the exact way for the rest. So every link counts, whether or not it is l
 
 Null or empty texts and texts without words have an empty set and no links. A row with a
 null doc_id has no name a component could carry: it is returned alone. Repeated rows are
-equal sets; a doc_id with several texts has a component for each row's text. An empty table gives no rows.
+equal sets; a doc_id with several texts has a component for each row's text: sets are told apart by their
+hashes, and a component takes the least doc_id of its rows as its name. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -58,18 +59,25 @@ def distinct_sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarra
     return hashes[new], np.searchsorted(of[new], np.arange(len(texts) + 1))
 
 
+def set_hashes(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each set; those of empty sets are zero."""
+    full = np.flatnonzero(np.diff(bounds))
+    sets = np.zeros((2, len(bounds) - 1), dtype=_U)
+    if len(full):
+        for k in range(2):
+            sets[k, full] = np.add.reduceat(mix(hashes + _U(k + 1)), bounds[full])
+    return sets[0].view(np.int64), sets[1].view(np.int64)
+
+
 def signatures(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Signature symbols and two hashes of each set; rows of empty sets are zero."""
-    n = len(bounds) - 1
     full = np.flatnonzero(np.diff(bounds))
-    signs, sets = np.zeros((n, SYMBOLS), dtype="<u2"), np.zeros((2, n), dtype=_U)
+    signs = np.zeros((len(bounds) - 1, SYMBOLS), dtype="<u2")
     if len(full):
         at = bounds[full]
         for j in range(SYMBOLS):
             signs[full, j] = (mix(np.minimum.reduceat(hashes * MULTIPLY[j] + ADD[j], at)) & _U(0xFFFF)).astype("<u2")
-        for k in range(2):
-            sets[k, full] = np.add.reduceat(mix(hashes + _U(k + 1)), at)
-    return signs, sets[0].view(np.int64), sets[1].view(np.int64)
+    return signs, *set_hashes(hashes, bounds)
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
@@ -113,12 +121,16 @@ def agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint, same int")
 
 
-def packed_texts(docs: DataFrame) -> DataFrame:
+def packed_texts(docs: DataFrame, width: int) -> DataFrame:
     def run(batches):
         pack = zstandard.ZstdCompressor(level=1).compress
         for batch in steps(batches):
-            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array([pack(t) for t in text_bytes(batch)], pa.binary())], names=["node", "packed"])
-    return docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text").mapInArrow(run, "node bigint, packed binary")
+            texts = text_bytes(batch)
+            a, b = set_hashes(*distinct_sets(texts, width))
+            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(a), pa.array(b), pa.array([pack(t) for t in texts], pa.binary())],
+                                             names=["label", "h1", "h2", "packed"])
+    packed = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text").mapInArrow(run, "label bigint, h1 bigint, h2 bigint, packed binary")
+    return packed.select("label", F.xxhash64("h1", "h2").alias("node"), "packed")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -150,9 +162,9 @@ class Linker:
         shared = scratch.keep(keys.groupBy("key").agg(F.min("node").alias("centre"), F.count("*").alias("n")).filter("n > 1"), "buckets")
         self.members = scratch.keep(keys.join(shared, "key"), "members")
         scratch.drop(shared)
-        some = self.members.select("node").distinct()
-        texts = packed_texts(docs)
-        self.texts = scratch.keep(texts.join(some, "node", "left_semi").distinct(), "texts")
+        some = nodes.select("node", "label").join(self.members.select("node").distinct(), "node", "left_semi")
+        texts = packed_texts(docs, width).join(some, ["node", "label"], "left_semi").dropDuplicates(["node", "label"])
+        self.texts = scratch.keep(texts.select("node", "packed"), "texts")
         self.labels = self.links = self.tested = None
 
     def label(self, side: str) -> DataFrame:
@@ -274,10 +286,14 @@ def near_duplicates(docs: DataFrame, width: int, percent: int = PERCENT, scratch
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     rows = scratch.keep(sketches(docs, width), "sketches")
     named = rows.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    nodes = scratch.keep(named.groupBy("h1", "h2").agg(F.min("doc_id").alias("node"), F.first("sign").alias("sign")), "nodes")
+    nodes = scratch.keep(named.groupBy("h1", "h2").agg(F.min("doc_id").alias("label"), F.first("sign").alias("sign"))
+                         .withColumn("node", F.xxhash64("h1", "h2")), "nodes")
     linker = Linker(docs, nodes, scratch, width, percent)
     labels = linker.run()
-    of = nodes.join(labels, "node", "left").select("h1", "h2", F.coalesce("comp", "node").alias("comp"))
+    linked = nodes.join(labels, "node").select("node", "comp", "label")
+    names = linked.groupBy("comp").agg(F.min("label").alias("name"))
+    named = linked.join(names, "comp").select("node", "name")
+    of = nodes.join(named, "node", "left").select("h1", "h2", F.coalesce("name", "label").alias("comp"))
     out = rows.join(of, ["h1", "h2"], "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("comp")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
@@ -286,15 +302,17 @@ def near_duplicates(docs: DataFrame, width: int, percent: int = PERCENT, scratch
 def one_of_each(docs: DataFrame, width: int, scratch: Scratch, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` but one of each group of near copies: the one that gave the group its name.
 
-    Of repeated rows one stays; rows with a null doc_id all stay.
+    Where ids are repeated or null each row is judged by itself, null ids last; of repeated rows one stays.
     """
-    judged = scratch.keep(near_duplicates(docs, width, percent, scratch).select("doc_id", "kept"), "judged")
-    gone = judged.filter(~F.col("kept")).select("doc_id").distinct()
-    rest = docs.join(gone, "doc_id", "left_anti")
-    again = judged.filter("kept").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 AND doc_id IS NOT NULL").select("doc_id")
-    if again.isEmpty():
-        return rest
-    return rest.join(again, "doc_id", "left_anti").unionByName(rest.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]))
+    if docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 OR doc_id IS NULL").isEmpty():
+        judged = scratch.keep(near_duplicates(docs, width, percent, scratch).select("doc_id", "kept"), "judged")
+        return docs.join(judged.filter(~F.col("kept")).select("doc_id"), "doc_id", "left_anti")
+    rows = scratch.keep(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    judged = near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text"), width, percent, scratch)
+    judged = judged.select(F.col("doc_id").alias("__row"), "component_id").join(rows.select("__row", "doc_id"), "__row")
+    first = judged.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "__row")).alias("m"))
+    first = scratch.keep(first.select(F.col("m.__row").alias("__row")), "judged")
+    return rows.join(first, "__row", "left_semi").dropDuplicates(["doc_id", "text"]).drop("__row")
 
 
 SQL = """WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -103,3 +103,14 @@ def test_components_of_paths_and_stars(spark):
     edges = [*zip(order, order[1:]), *((5, k) for k in range(200, 230)), (1, 2), (2, 2), (3, 1)]
     got = {r.node: r.comp for r in components(spark.createDataFrame(edges, "a bigint, b bigint"), Scratch(spark)).collect()}
     assert got == {**{n: 100 for n in order}, 5: 5, **{k: 5 for k in range(200, 230)}, 1: 1, 2: 1, 3: 1}
+
+
+def test_two_texts_under_one_id_are_two_nodes(spark):
+    rng = random.Random(8)
+    a, b, c = ([f"{x}{i}" for i in range(60)] for x in "abc")
+    text = " ".join
+    docs = [(5, text(a)), (5, text(b)), (3, text(changed(rng, b, 1))), (None, text(c)), (None, text(c)), (9, text(changed(rng, a, 1))), (7, "")]
+    assert result(spark, docs) == brute(docs)
+    table = spark.createDataFrame(docs, "doc_id bigint, text string")
+    kept = sorted(map(tuple, neardup.one_of_each(table, 4, Scratch(spark)).collect()), key=str)
+    assert kept == sorted([docs[0], docs[2], docs[3], docs[6]], key=str)
