@@ -6,11 +6,12 @@ random strings exceeds that under a model of ordinary identifiers. Both models a
 trained on labelled samples: the values the base patterns found anywhere (random), and
 the identifiers of about ``SAMPLE`` documents, taken by a hash of their ids (ordinary; the
 documented bound). One pass over the texts writes all matches with their places; the
-rest works on those. A run that overlaps a base span gives no span of its own.
+rest works on those. A run is cut at the base spans it overlaps, and each remaining part of
+``RUN`` characters or more is judged by itself.
 
-Places are code points, ends exclusive. A null text is empty. Without any base match
-there is no model of random strings and no span is added. Repeated rows are scanned each
-time; an empty table gives no rows.
+Places are code points, ends exclusive. A null text is empty. Without any base match all
+characters are as likely in a random string. Repeated rows are scanned each time; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -67,14 +68,33 @@ def matches(text: Column, pattern: str, group: int, least: int, kind: int) -> Co
     return F.get(F.transform(F.array(found), some), F.lit(0))
 
 
+def outside(run: Column, base: Column) -> Column:
+    """The parts of a run before, between and after the base spans, sorted by start, that overlap it."""
+    cuts = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+    zero = F.struct(run["start"].alias("at"), F.array().cast(SPAN).alias("out"))
+
+    def part(start: Column, end: Column) -> Column:
+        value = F.substring(run["value"], start - run["start"] + 1, end - start)
+        return F.array(F.struct(start.alias("start"), run["kind"].alias("kind"), end.alias("end"), value.alias("value"))).cast(SPAN)
+
+    def longer(out: Column, start: Column, end: Column) -> Column:
+        return F.when(end - start >= RUN, F.concat(out, part(start, end))).otherwise(out)
+
+    def step(acc: Column, b: Column) -> Column:
+        return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), longer(acc["out"], acc["at"], b["start"]).alias("out"))
+
+    cut = F.aggregate(cuts, zero, step, lambda acc: longer(acc["out"], acc["at"], run["end"]))
+    return F.when(F.size(cuts) == 0, F.array(run).cast(SPAN)).otherwise(cut)
+
+
 def scanned(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` with ``base`` and ``runs``: base spans by place, and runs of key characters clear of them."""
+    """The columns ``keep`` with ``base`` and ``runs``: base spans by place, and the parts of runs of key characters clear of them."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     # A run shorter than the least length is dropped anyway; asking for it at once finds the same spans.
     patterns = [(p if k == "assign" else p.replace("[0-9a-f]+", "[0-9a-f]{32,}").replace("[A-Z0-9]+", "[A-Z0-9]{12,}"), g, n) for k, p, g, n in BASE]
     base = F.array_sort(F.concat(*(matches(F.col("__t"), p, g, n, i) for i, (p, g, n) in enumerate(patterns))))
     runs = matches(F.col("__t"), RUNS, 0, RUN, len(BASE))
-    clear = F.filter("runs", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
+    clear = F.flatten(F.transform("runs", lambda r: outside(r, F.col("base"))))
     return docs.select(*keep, text.alias("__t")).select(*keep, base.alias("base"), runs.alias("runs")).withColumn("runs", clear)
 
 
@@ -84,7 +104,7 @@ def bigrams(values: DataFrame) -> DataFrame:
     return values.filter(F.length("value") >= 2).select("label", pair.alias("pair")).groupBy("label", "pair").agg(F.count("*").alias("n"))
 
 
-def train(found: DataFrame, docs: DataFrame) -> list[float] | None:
+def train(found: DataFrame, docs: DataFrame) -> list[float]:
     """Log-likelihood ratio of each character after another: random strings against ordinary identifiers."""
     random = found.select(F.explode("base.value").alias("value"), F.lit("random").alias("label"))
     rows = docs.filter(F.col("text").isNotNull()).select("doc_id", "text")
@@ -95,8 +115,6 @@ def train(found: DataFrame, docs: DataFrame) -> list[float] | None:
     # At most two rows per pair of characters of the alphabet.
     within = F.col("pair").rlike(f"^[{ALPHABET[:-1]}-]{{2}}$")
     counts = {(r.label, r.pair): r.n for r in bigrams(random.unionByName(ordinary)).filter(within).collect()}
-    if not any(label == "random" for label, _ in counts):
-        return None
     size, out = len(ALPHABET), []
     totals = {(label, a): sum(counts.get((label, a + b), 0) for b in ALPHABET) for label in ("random", "ordinary") for a in ALPHABET}
     for a in ALPHABET:
@@ -122,10 +140,8 @@ def listed(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))))
 
 
-def added(ratios: list[float] | None) -> Column:
+def added(ratios: list[float]) -> Column:
     """Spans of the runs that the models call random."""
-    if ratios is None:
-        return F.array().cast(SPAN)
     table = F.split(F.lit(" ".join(map(repr, ratios))), " ").cast("array<double>")  # one folded literal
     return F.filter("runs", lambda r: likelihood_ratio(r["value"], table) >= F.greatest(F.lit(LEAST_SUM), LEAST_MEAN * F.length(r["value"])))
 
