@@ -5,7 +5,7 @@ estimated: the votes of all documents are counted by pattern (a table as large a
 number of vote patterns, whatever the corpus), and expectation-maximisation runs over
 that table until it settles. A document's posterior probability of being good follows
 from its votes and the accuracies; it is kept at ``KEEP`` or more. An accuracy stays
-within ``ACCURACY``, so a rule always speaks for the side it votes for.
+within ``BOUNDS``, so a rule always speaks for the side it votes for.
 
 Words are runs of anything but ASCII white space. A null text has none. An empty table
 gives no rows; repeated rows are judged each time.
@@ -137,7 +137,7 @@ def estimate(votes: DataFrame, scratch: Scratch) -> dict[str, float]:
         row = patterns.agg(F.sum("n").alias("n"), F.sum(F.col("n") * p).alias("good"), *sums).first()
         if not row["n"]:
             return model
-        fresh = {"good": min(0.99, max(0.5, row["good"] / row["n"]))}
+        fresh = {"good": (row["good"] + PRIOR_WEIGHT * START_GOOD) / (row["n"] + PRIOR_WEIGHT)}  # free within (0, 1)
         for n in names:
             for side, start in START.items():
                 key = f"{n}_{side}"

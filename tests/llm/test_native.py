@@ -169,3 +169,13 @@ def test_a_run_is_judged_beside_a_base_span(spark, tmp_path):
             at = texts[i].index(key)
             assert any(s <= at and at + len(key) <= e for s, e in spans[i]), texts[i]
         assert not any(spans[i] for i in range(len(keys), len(docs)))
+
+
+def test_estimate_with_a_bad_majority(spark):
+    rng, names = random.Random(7), list(quality.rules())
+    rows = []
+    for _ in range(8000):
+        bad = rng.random() < 0.8
+        rows.append([-1 if rng.random() < (0.6 if bad else 0.02) else 1 for _ in names])
+    model = quality.estimate(spark.createDataFrame(rows, ", ".join(f"{n} int" for n in names)), Scratch(spark))
+    assert abs(model["good"] - 0.2) < 0.05
