@@ -105,15 +105,18 @@ def segments(docs: DataFrame, length: int) -> DataFrame:
 class Suffixes:
     """Suffixes of a buffer, compared through prefix hashes."""
 
-    STEPS = (256, 128, 64, 32, 16, 8, 4, 2, 1)
-
     def __init__(self, data: np.ndarray):
         self.data, self.hash = data, ByteHash(data)
 
+    @staticmethod
+    def steps(limit: np.ndarray) -> list[int]:
+        """Powers of two, falling, whose sum reaches the largest limit."""
+        return [1 << k for k in reversed(range(int(np.max(limit, initial=0)).bit_length()))]
+
     def right(self, x: np.ndarray, y: np.ndarray, limit: np.ndarray) -> np.ndarray:
         """Common prefix of the suffixes at x and y, up to ``limit`` bytes."""
         n = np.zeros(np.broadcast(x, y).shape, dtype=np.int64)
-        for step in self.STEPS:
+        for step in self.steps(limit):
             fits = n + step <= limit
             s = np.where(fits, step, 0)
             n = n + np.where(fits & (self.hash.of(x + n, x + n + s) == self.hash.of(y + n, y + n + s)), step, 0)
@@ -122,7 +125,7 @@ class Suffixes:
     def left(self, x: np.ndarray, y: np.ndarray, limit: np.ndarray) -> np.ndarray:
         """Common suffix of what ends before x and before y."""
         n = np.zeros(np.broadcast(x, y).shape, dtype=np.int64)
-        for step in self.STEPS:
+        for step in self.steps(limit):
             fits = n + step <= limit
             s = np.where(fits, step, 0)
             n = n + np.where(fits & (self.hash.of(x - n - s, x - n) == self.hash.of(y - n - s, y - n)), step, 0)
@@ -358,6 +361,8 @@ def repeated_windows(docs: DataFrame, length: int, scratch: Scratch) -> DataFram
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = False) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the remaining bytes."""
+    if length < GRAM:
+        raise ValueError(f"length is {length}, but must be at least {GRAM}")
     scratch = Scratch(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     docs = docs.withColumn("th", F.xxhash64("text"))

@@ -108,3 +108,14 @@ def test_sliding_minimum():
     v = np.random.default_rng(2).integers(0, 1000, 300)
     for width in (1, 2, 3, 7, 64, 300):
         assert substrings.least(v, width).tolist() == [v[i:i + width].min() for i in range(301 - width)]
+
+
+def test_lengths_other_than_the_registered(spark):
+    rng = random.Random(11)
+    fresh = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    passages = [fresh(n) for n in (1000, 1003, 1400, 2100) for _ in range(3)]
+    rows = [(2 * i + k, fresh(300) + p + fresh(200)) for i, p in enumerate(passages) for k in (0, 1)]
+    got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), 1000).collect()
+    assert {r.doc_id: r.n_removed for r in got if r.n_removed < len(passages[r.doc_id // 2])} == {}
+    with pytest.raises(ValueError):
+        substrings.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), 63)
