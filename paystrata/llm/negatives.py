@@ -35,7 +35,7 @@ from paystrata.llm.registry import query
 from paystrata.operators.dedup import top_per_group
 
 #: Rotations a code is made of: more give a higher alignment and narrower intervals.
-ROTATIONS = 8
+ROTATIONS = 16
 #: Bits of a rotated anchor's component.
 PLANES = 8
 TILE_ROWS = 4096
@@ -126,8 +126,8 @@ class _Held:
         self.codes = _matrix(table.column("code"), len(table.column("code")[0].as_py()) // 8, np.uint64)[once]
         self.length, self.align, self.reach = (table.column(c).to_numpy()[once] for c in ("length", "align", "reach"))
 
-    def bounds(self, anchors: np.ndarray):
-        return bounds(anchors.astype(np.float64), self.codes, self.length, self.align, self.reach)
+    def bounds(self, anchors: np.ndarray, at=slice(None)):
+        return bounds(anchors.astype(np.float64), self.codes[at], self.length[at], self.align[at], self.reach[at])
 
     def best(self, rows: np.ndarray, scores: np.ndarray, k: int):
         order = np.lexsort((self.ids[rows], -scores))[:k]
@@ -177,16 +177,17 @@ def _positives_of_cell(k: int):
             rows = _Held(held)
             anchors = _matrix(asked.column("ints"), rows.dim).astype(np.int64)
             keys, ids, labels = (asked.column(c).to_numpy() for c in ("akey", "id", "label"))
-            for start in range(0, len(anchors), _AT_ONCE):
-                some = slice(start, start + _AT_ONCE)
-                lower, upper = rows.bounds(anchors[some])
-                for i, (low, high) in enumerate(zip(lower, upper), start):
-                    same = np.flatnonzero((rows.labels == labels[i]) & (rows.ids != ids[i]))
-                    near = same[high[same] >= _least_of_best(low[same], k)]
-                    found, scores = rows.best(near, rows.ints[near] @ anchors[i], k)
-                    out["akey"] += [keys[i]] * len(found)
-                    out["id"] += found.tolist()
-                    out["score"] += scores.tolist()
+            for label in np.unique(labels):
+                same, mine = np.flatnonzero(rows.labels == label), np.flatnonzero(labels == label)
+                for start in range(0, len(mine), _AT_ONCE):
+                    some = mine[start:start + _AT_ONCE]
+                    for i, low, high in zip(some, *rows.bounds(anchors[some], same)):
+                        rest = rows.ids[same] != ids[i]
+                        near = same[rest & (high >= _least_of_best(low[rest], k))]
+                        found, scores = rows.best(near, rows.ints[near] @ anchors[i], k)
+                        out["akey"] += [keys[i]] * len(found)
+                        out["id"] += found.tolist()
+                        out["score"] += scores.tolist()
         return pa.table({c: pa.array(v, pa.int64()) for c, v in out.items()})
     return cell
 
