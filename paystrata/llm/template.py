@@ -352,7 +352,7 @@ def extracted(pages: DataFrame, scratch: Scratch) -> DataFrame:
         .join(roots, "grp", "left").withColumn("root", F.coalesce("root", F.lit(0).cast("bigint"))), "candidates")
 
     # Valid ones keep one order in all pages and nest in the root's gaps.
-    by_host = hosts.select("host", "grp").join(candidates, "grp")
+    by_host = scratch.keep(hosts.select("host", "grp").join(candidates, "grp"), "by_host")
     valid = checked(pages.select("host", "html").join(by_host, "host").select("grp", "root", "given", "html"))
     valid = valid.groupBy(F.col("host").alias("grp"), "class").agg(F.min("least").alias("least"), F.max("most").alias("most"), F.every("fine").alias("fine"))
     valid = valid.filter(F.col("fine") & (F.col("least") == F.col("most"))).select("grp", "class")
