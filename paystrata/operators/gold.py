@@ -50,5 +50,41 @@ def gold_platform_metrics(silver: DataFrame) -> DataFrame:
     ).withColumn("risk_score", F.when(F.col("success_rate") < 0.5, 80.0).otherwise(20.0))
 
 
+# ------------------------------------------------------------ Gold kept by deltas
+
+#: Exact, so rows that are taken back leave nothing behind; what does not fit is kept apart.
+_EXACT = "decimal(30,8)"
+_SUMS = ["rows", "refs", "success", "amounts", "total", "others", "rest"]
+
+
+def gold_parts(silver: DataFrame) -> DataFrame:
+    """Sums by platform and method from which both Gold tables follow, and which add up."""
+    exact = F.col("amount").try_cast(_EXACT)
+    other = F.col("amount").isNotNull() & exact.isNull()
+    return silver.groupBy("platform_name", "method").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("ref_number").alias("refs"), F.count_if(F.col("status") == "SUCCESS").alias("success"),
+        F.count("amount").alias("amounts"), F.coalesce(F.sum(exact), F.lit(0)).cast("decimal(38,8)").alias("total"),
+        F.count_if(other).alias("others"), F.coalesce(F.sum(F.when(other, F.col("amount"))), F.lit(0.0)).alias("rest"))
+
+
+def add_parts(before: DataFrame, came: DataFrame, went: DataFrame) -> DataFrame:
+    """The parts after rows came and others went; groups without rows are gone."""
+    back = went.select("platform_name", "method", *[(-F.col(c)).cast(k).alias(c) for c, k in went.dtypes if c in _SUMS])
+    added = before.unionByName(came).unionByName(back).groupBy("platform_name", "method").agg(
+        *[F.sum(c).cast(dict(before.dtypes)[c]).alias(c) for c in _SUMS])
+    return added.filter("rows > 0").withColumn("rest", F.when(F.col("others") > 0, F.col("rest")).otherwise(0.0))
+
+
+def channels_from(parts: DataFrame) -> DataFrame:
+    volume = F.sum("total").cast("double") + F.sum("rest")
+    return parts.groupBy("method").agg(F.when(F.sum("amounts") > 0, volume).alias("volume"), F.sum("refs").alias("total_transactions"))
+
+
+def platforms_from(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("platform_name").agg(
+        F.sum("refs").alias("transaction_count"), (F.sum("success") / F.sum("rows")).alias("success_rate"),
+    ).withColumn("risk_score", F.when(F.col("success_rate") < 0.5, 80.0).otherwise(20.0))
+
+
 def high_risk(gold: DataFrame, limit: float = 50.0) -> DataFrame:
     return gold.filter(F.col("risk_score") > limit)

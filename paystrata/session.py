@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,6 +81,12 @@ def remove(spark: SparkSession, path: str) -> None:
     store.delete(target, True)
 
 
+def together(*actions: Callable[[], object]) -> list:
+    """Results of actions that run at the same time, each with jobs of its own; raises the first error."""
+    with ThreadPoolExecutor(len(actions)) as pool:
+        return [f.result() for f in [pool.submit(a) for a in actions]]
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
     """``materialize`` for the length of a block: what was kept is removed at its end.

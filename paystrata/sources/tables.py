@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paystrata.operators.dedup import dedup_first, latest_per_key
+from paystrata.sources.buckets import Buckets
 
 
 def _latest(updates: DataFrame, keys: list[str], order: list[str] | None) -> DataFrame:
@@ -115,4 +116,6 @@ def write_version(df: DataFrame, root: str, version: int) -> DataFrame:
 
 
 def read_version(spark: SparkSession, root: str, version: int) -> DataFrame:
-    return spark.read.parquet(f"{root}/v={version}")
+    """A version of a table, whether written whole or in buckets."""
+    stored = Buckets(spark, root, [])
+    return stored.read(version) if stored.exists(version) else spark.read.parquet(f"{root}/v={version}")
