@@ -76,6 +76,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return store.exists(target)
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    store, target = _file_system(spark, path)
+    return [f.getPath().getName() for f in store.listStatus(target)] if store.exists(target) else []
+
+
 def remove(spark: SparkSession, path: str) -> None:
     store, target = _file_system(spark, path)
     store.delete(target, True)

@@ -27,6 +27,7 @@ from paystrata.operators.prefix import late_flags
 from paystrata.operators.validate import (
     LATE, event_text, route, split_valid, validate_landing, validate_metadata, validate_transactions)
 from paystrata.sources.bronze import PARTITIONS, parse_payload, publish, with_partitions
+from paystrata.sources.layers import Layers
 from paystrata.sources.tables import read_version, write_version
 from paystrata.session import exists, materialize, scratch
 
@@ -204,53 +205,52 @@ def passthrough(events: DataFrame) -> DataFrame:
         "topic", F.col("payload").alias("value"))
 
 
-def _appended(spark: SparkSession, root: str, name: str, before: int, schema: str) -> DataFrame:
-    """Rows of a table that grows by one folder a batch, as it stood before a batch."""
-    if not exists(spark, f"{root}/{name}"):
-        return spark.createDataFrame([], schema)
-    rows = spark.read.schema(f"{schema}, batch bigint").parquet(f"{root}/{name}")
-    return rows.filter(F.col("batch") < before).drop("batch")
-
-
 FLUSHED = {
     "platforms": "id bigint, name string, url string", "payment_methods": "id bigint, name string, type string",
     "transactions": "ref_number string, user_id string, platform_id bigint, method_id bigint, amount double, "
                     "type string, status string, event_ts timestamp"}
 
 
+def flushed(spark: SparkSession, root: str) -> Layers:
+    """The star tables of the flush; transactions are looked up by their reference."""
+    return Layers(spark, root, FLUSHED, {"transactions": "ref_number"})
+
+
 def read_flushed(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A star table of the flush, all batches."""
-    return _appended(spark, root, name, 2 ** 62, FLUSHED[name])
+    return flushed(spark, root).read(name)
 
 
 def flush_batch(batch: DataFrame, batch_id: int, root: str, clean_topic: str = "payments.clean.transactions",
                 kafka: dict[str, str] | None = None) -> None:
     """Window flush: publish, resolve both dimensions, insert absent transactions.
 
-    Set-wise: a constant number of jobs per batch, whatever its size. A batch appends its
-    new rows under ``batch=N`` and rewrites nothing older; a replay overwrites its own
-    folders, as it reads only the batches before it.
+    Set-wise: a constant number of jobs per batch, whatever its size. A batch adds its new
+    rows as a run of each table and commits them with one manifest; a replay starts from the
+    manifest before and overwrites its own runs. References are looked up by filters and
+    slices, so a batch does not read the history of transactions.
     """
     spark = batch.sparkSession
+    store = flushed(spark, root)
     with scratch(spark) as keep:
         rows = keep(batch, "flush")
         if kafka:
             publish(rows, F.lit(clean_topic), kafka=kafka)
         else:
             rows.withColumn("topic", F.lit(clean_topic)).write.mode("overwrite").json(f"{root}/published/batch={batch_id}")
-        before = {name: _appended(spark, root, name, batch_id, schema) for name, schema in FLUSHED.items()}
+        runs = store.runs(batch_id)
+        before = {name: store.read(name, runs) for name in ("platforms", "payment_methods")}
         with_platform, platforms = resolve_dim(rows, before["platforms"], "platform_name", "platform_id",
                                                extra={"url": default_url("name")}, keep=keep)
         resolved, methods = resolve_dim(with_platform, before["payment_methods"], "method", "method_id",
                                         extra={"type": F.lit("UPI")}, keep=keep)
-        columns = before["transactions"].columns
+        columns = store.read("transactions", []).columns
         new = dedup_first(resolved.withColumn("user_id", F.lit(STREAM_USER)).select(*columns), ["ref_number"],
                           [F.col("event_ts"), F.col("amount")])
-        # The old side is filtered to the batch's keys by the join; only keys are read of it.
-        added = keep(new.join(before["transactions"].select("ref_number"), ["ref_number"], "left_anti").select(*columns), "added")
+        added = {"transactions": store.absent("transactions", new, runs, keep)}
         for name, table in (("platforms", platforms), ("payment_methods", methods)):
-            _save(table.join(before[name].select("id"), "id", "left_anti").select(*before[name].columns), root, name, batch_id)
-        _save(added, root, "transactions", batch_id)
+            added[name] = table.join(before[name].select("id"), "id", "left_anti").select(*before[name].columns)
+        store.commit(batch_id, added)
 
 
 def start_flush(clean: DataFrame, root: str, trigger: dict | None = None, **options) -> StreamingQuery:
