@@ -14,7 +14,7 @@ from paystrata.plans.registry import query
 from paystrata.session import materialize, scratch_path
 from paystrata.sources import bronze, tables
 from paystrata.streaming import clean as stream
-from paystrata.streaming import metrics
+from paystrata.streaming import guard, metrics
 
 
 def _round(df, **digits):
@@ -446,6 +446,39 @@ def stream_flush(spark, sf):
         F.count(F.lit(1)).alias("transactions"), F.round(F.sum("amount"), 2).alias("volume"))
 
 
+@query("poison_pills", with_ctes(EV, """
+, last AS (SELECT max(event_id) AS id FROM ev)
+SELECT 'clean' AS sink, platform_name AS key, count(*) AS n, round(sum(amount), 2) AS total FROM ev, last WHERE event_id <> id GROUP BY ALL
+UNION ALL SELECT 'topics', CASE platform_name WHEN 'view' THEN 'transactions' WHEN 'click' THEN 'payments' WHEN 'error' THEN 'complaints'
+  WHEN 'purchase' THEN 'reviews' ELSE 'news' END, count(*), 0 FROM ev, last WHERE event_id <> id GROUP BY ALL
+UNION ALL SELECT 'dlq', 'CAST_INVALID_INPUT', 1, 0""".replace("\n, last", ", last", 1)))
+def poison_pills(spark, sf):
+    """A strict stream with one payload that raises: it alone ends in the dead letters."""
+    root, schemas = scratch_path(spark, "guarded"), {"clean": "platform_name string, amount double", "topics": "topic string"}
+    events = views.events(spark, sf)
+    last = events.agg(F.max("event_id")).first()[0]
+    raw = views.raw_events(spark, sf).select("event_id", "arr", "topic").join(events.select("event_id", "platform_name", "amount"), "event_id")
+    body = F.to_json(F.struct("platform_name", F.when(F.col("event_id") == last, "12,5").otherwise(F.col("amount").cast("string")).alias("amount")))
+    numbered = prefix.row_numbers(raw.select("topic", body.alias("value"), "arr", "event_id"), ["arr", "event_id"], "offset")
+    kept = materialize(numbered.select("topic", "value", F.lit(0).alias("partition"), "offset"), "feed")
+    half = kept.agg(F.max("offset")).first()[0] // 2
+
+    def strict(df):
+        parsed = bronze.parse_payload(df)
+        return {"clean": parsed.select("platform_name", F.col("amount").cast("double").alias("amount")),
+                "topics": parsed.select(F.element_at(F.split("topic", "[.]"), -1).alias("topic"))}
+
+    for part in (kept.filter(F.col("offset") <= half), kept.filter(F.col("offset") > half)):
+        part.write.mode("append").json(f"{root}/in")
+        guard.start_guarded(_events(spark, root), root, schemas, strict, stream.ORIGIN, attempts=2, wait=0.1).awaitTermination()
+    read = lambda name: guard.read_guarded(spark, root, schemas, name)
+    zero, one = F.lit(0.0), F.count(F.lit(1)).alias("n")
+    return (read("clean").groupBy("platform_name").agg(one, F.round(F.sum("amount"), 2).alias("total")).select(
+                F.lit("clean").alias("sink"), F.col("platform_name").alias("key"), "n", "total")
+            .unionAll(read("topics").groupBy("topic").agg(one).select(F.lit("topics"), "topic", "n", zero))
+            .unionAll(read("dlq").groupBy(F.regexp_extract("error", r"\[([A-Z_]+)", 1).alias("e")).agg(one).select(F.lit("dlq"), "e", "n", zero)))
+
+
 @query("bronze_stream", with_ctes(raw_ev("clean"), f"""
 SELECT coalesce(e.ref_number, '') AS ref_number, e.platform_name, lower(e.platform_name) AS platform, count(*) AS landed
 FROM raw_ev e JOIN ({_LANDING_SQL}) l USING (event_id) WHERE l.error IS NULL GROUP BY ALL"""))
