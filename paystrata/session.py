@@ -93,6 +93,19 @@ def together(*actions: Callable[[], object]) -> list:
         return [f.result() for f in [pool.submit(a) for a in actions]]
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the length of a block, such as the start of a query."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
     """``materialize`` for the length of a block: what was kept is removed at its end.

@@ -14,11 +14,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from paystrata.functions.parse import default_url, first_truthy, parse_ts, to_amount
 from paystrata.operators.dedup import dedup_first
@@ -29,7 +27,7 @@ from paystrata.operators.validate import (
 from paystrata.sources.bronze import PARTITIONS, parse_payload, publish, with_partitions
 from paystrata.sources.layers import Layers
 from paystrata.sources.tables import read_version, write_version
-from paystrata.session import exists, materialize, scratch
+from paystrata.session import exists, materialize, scratch, settings
 
 # Fixed values.
 ORIGIN = "stream-cleaning-stage"
@@ -124,33 +122,41 @@ def read_on_time(spark: SparkSession, root: str) -> DataFrame:
     return spark.readStream.schema(CLEAN_SCHEMA).parquet(f"{root}/on_time")
 
 
+class FirstSight(StatefulProcessor):
+    """The first row of a key in arrival order; its sight is remembered for ``ttl_ms`` of
+    processing time, and later sights do not prolong it."""
+
+    def __init__(self, order: list[str], ttl_ms: int):
+        self.order, self.ttl_ms = order, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "here boolean", self.ttl_ms)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        if self.seen.exists():
+            return
+        self.seen.update((True,))
+        # Nulls first, as Spark orders them.
+        yield min(rows, key=lambda r: [(r[c] is not None, r[c]) for c in self.order])
+
+    def close(self) -> None:
+        pass
+
+
+#: State in RocksDB: it may outgrow the executors' memory, and expired keys go by compaction.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def stream_dedup(clean: DataFrame, keys: list[str], order: list[str], ttl_seconds: int = DEDUP_SECONDS) -> DataFrame:
     """First row of each key in arrival order, forgotten ``ttl_seconds`` of
     processing time after its first sight; later sights do not prolong it.
 
     A trigger may bundle several upstream batches, so the earliest row is chosen
     here too. Upstream folds each batch to one row per key, so a group is as small
-    as the number of bundled batches.
+    as the number of bundled batches. Needs ``STATE_STORE`` as the state store.
     """
-    columns = clean.columns
-    ttl_ms = int(ttl_seconds * 1000)
-
-    def first_sight(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        now = state.getCurrentProcessingTimeMs()
-        if state.exists and now - state.get[0] < ttl_ms:
-            # A call without a timeout would clear it: set what is left of it.
-            state.setTimeoutDuration(max(1, ttl_ms - (now - state.get[0])))
-            return
-        rows = pd.concat(list(frames), ignore_index=True)
-        state.update((now,))
-        state.setTimeoutDuration(ttl_ms)
-        yield rows.sort_values(order, kind="stable").head(1)[columns]
-
-    return clean.groupBy(*keys).applyInPandasWithState(
-        first_sight, clean.schema, "first_seen_ms bigint", "append", "ProcessingTimeTimeout")
+    return clean.groupBy(*keys).transformWithState(
+        FirstSight(order, max(1, int(ttl_seconds * 1000))), clean.schema, "Append", "ProcessingTime")
 
 
 def stream_dedup_any(clean: DataFrame, keys: list[str], ttl_seconds: int = DEDUP_SECONDS) -> DataFrame:
@@ -167,17 +173,12 @@ def stream_dedup_any(clean: DataFrame, keys: list[str], ttl_seconds: int = DEDUP
 
 def start_dedup(clean: DataFrame, root: str, ttl_seconds: int = DEDUP_SECONDS,
                 trigger: dict | None = None) -> StreamingQuery:
-    spark = clean.sparkSession
+    first = stream_dedup(clean, ["ref_number"], ["batch", *ARRIVAL], ttl_seconds)
     # Processing-time state asks for empty batches without end, which keeps an
     # availableNow run from finishing; expired keys are evicted with the next data.
-    setting = "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "false")
-    first = stream_dedup(clean, ["ref_number"], ["batch", *ARRIVAL], ttl_seconds)
-    try:
+    with settings(clean.sparkSession, {"spark.sql.streaming.noDataMicroBatches.enabled": "false",
+                                       "spark.sql.streaming.stateStore.providerClass": STATE_STORE}):
         return _start_dedup(first, root, trigger)
-    finally:
-        spark.conf.set(setting, before)
 
 
 def _start_dedup(first: DataFrame, root: str, trigger: dict | None) -> StreamingQuery:
