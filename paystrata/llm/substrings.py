@@ -293,24 +293,49 @@ def kinds(rows: DataFrame, weight) -> DataFrame:
             .select("key", ((F.col("min_d1") == F.col("max_d1")) & (F.col("min_d2") == F.col("max_d2"))).alias("same")))
 
 
+
+
+def in_one(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row a key: its ``spans`` in order, those that meet or overlap as one.
+
+    A key is a string of bounded length, so what is gathered for it is bounded too; what is
+    joined with its copies afterwards is one row a copy.
+    """
+    def merge(done, span):
+        last = F.element_at(done, -1)
+        longer = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(last["from"].alias("from"), F.greatest(last["to"], span["to"]).alias("to"))))
+        return F.when((F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["to"] + 1 >= span["from"]), longer).otherwise(F.concat(done, F.array(span)))
+
+    spans = F.sort_array(F.flatten(F.collect_list("spans")))
+    grouped = rows.groupBy(*keys).agg(spans.alias("spans"))
+    return grouped.withColumn("spans", F.aggregate("spans", F.slice("spans", 1, 0), merge))
+
+
+def moved(spans: str, by: str):
+    """The spans of a part as spans of what it starts in."""
+    return F.transform(spans, lambda x: F.struct((F.col(by) + x["from"]).cast("bigint").alias("from"), (F.col(by) + x["to"]).cast("bigint").alias("to")))
+
+
 def settled(items: DataFrame, length: int, scratch: Scratch, level: int = 0) -> DataFrame:
-    """Runs of repeated windows of distinct items whose keys are shared; ``items`` is a written table."""
+    """(key, d1, d2, spans): repeated windows of distinct items whose keys are shared; ``items`` is a written table."""
+    place = ["key", "d1", "d2"]
     sizes = items.groupBy("key").agg(F.count("*").alias("m"))
     large = scratch.keep(sizes.filter(F.col("m") > GROUP).select("key"), "large") if level < len(WIDTHS) else None
     if large is None or large.isEmpty():
-        return scratch.keep(compared(items, length), "runs")
-    small = scratch.keep(compared(items.join(large, "key", "left_anti"), length), "runs")
+        return scratch.keep(in_one(compared(items, length).select(*place, F.array(F.struct(F.col("from").cast("bigint").alias("from"), F.col("to").cast("bigint").alias("to"))).alias("spans")), place), "runs")
+    small = scratch.keep(compared(items.join(large, "key", "left_anti"), length).select(*place, F.array(F.struct(F.col("from").cast("bigint").alias("from"), F.col("to").cast("bigint").alias("to"))).alias("spans")), "runs")
     rows = scratch.keep(narrowed(items.join(large, "key", "left_semi"), WIDTHS[level], length), "narrowed")
     kind = scratch.keep(kinds(rows, F.sum("n")), "kinds")
     hits = rows.join(kind, "key")
-    whole = hits.filter("same").select("okey", "o1", "o2", F.col("start").alias("from"), (F.col("start") + F.col("count") - 1).alias("to"))
+    whole = hits.filter("same").select("okey", "o1", "o2", F.array(F.struct(F.col("start").cast("bigint").alias("from"), (F.col("start") + F.col("count") - 1).cast("bigint").alias("to"))).alias("spans"))
     mixed = hits.filter("NOT same")
     below = mixed.groupBy("key", "d1", "d2").agg(F.sum("n").alias("n"), *(F.first(c).alias(c) for c in ("anchor", "count", "bytes")))
     below = scratch.keep(below, "items")
     inner = settled(below, length, scratch, level + 1)
     part = (mixed.select("okey", "o1", "o2", "start", "key", "d1", "d2").join(inner, ["key", "d1", "d2"])
-            .select("okey", "o1", "o2", (F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to")).alias("to")))
-    return small.unionByName(whole.unionByName(part).withColumnsRenamed({"okey": "key", "o1": "d1", "o2": "d2"}))
+            .select("okey", "o1", "o2", moved("spans", "start").alias("spans")))
+    found = small.unionByName(whole.unionByName(part).withColumnsRenamed({"okey": "key", "o1": "d1", "o2": "d2"}))
+    return scratch.keep(in_one(found, place), "runs")
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -345,7 +370,7 @@ def repeated_windows(docs: DataFrame, length: int, scratch: Scratch) -> DataFram
     scratch.drop(found)
     scratch.drop(kind)
     place = ["doc_id", "th"]
-    whole = hits.filter("same").select(*place, F.col("start").alias("from"), (F.col("start") + F.col("count") - 1).alias("to"))
+    whole = hits.filter("same").select(*place, F.array(F.struct(F.col("start").cast("bigint").alias("from"), (F.col("start") + F.col("count") - 1).cast("bigint").alias("to"))).alias("spans"))
     mixed = hits.filter("NOT same")
     one = F.min(F.struct("th", "doc_id", "start", "count", "anchor")).alias("r")
     distinct = mixed.groupBy("key", "d1", "d2").agg(F.count("*").alias("n"), one)
@@ -355,8 +380,8 @@ def repeated_windows(docs: DataFrame, length: int, scratch: Scratch) -> DataFram
     items = scratch.keep(cut_out(joined, length).dropDuplicates(["key", "d1", "d2"]), "items")
     runs = settled(items, length, scratch)
     part = (mixed.select(*place, "start", "key", "d1", "d2").join(runs, ["key", "d1", "d2"])
-            .select(*place, (F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to")).alias("to")))
-    return scratch.keep(whole.unionByName(part).groupBy(*place).agg(F.collect_list(F.struct("from", "to")).alias("runs")), "runs")
+            .select(*place, moved("spans", "start").alias("spans")))
+    return scratch.keep(whole.unionByName(part).groupBy(*place).agg(F.flatten(F.collect_list("spans")).alias("runs")), "runs")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = False) -> DataFrame:
