@@ -25,8 +25,10 @@ from paystrata.llm.common import column, steps, worker_store
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
-#: Words a worker remembers; beyond it the cache starts anew.
-CACHE_WORDS = 300_000
+#: Words a worker remembers; beyond it those that were not met again are forgotten.
+CACHE_WORDS = 500_000
+#: Pieces of words a worker remembers; beyond it they start anew.
+CACHE_PIECES = 400_000
 
 #: White space of the library's pattern (Unicode White_Space), as fixed values.
 SPACES = "\t-\r \x85\xa0  -     　"
@@ -63,7 +65,11 @@ class Encoder:
         self.cut = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+").findall
         self.split = re.compile(f"[^{SPACES}]+").findall
         self.odd = re.compile(SEPARATORS).search
-        self._forget()
+        #: A word's code points into ``first`` and ``size``, which point into ``flat``; ``met`` is the step it was last in.
+        self.by_word: dict[str, int] = {"": 0}
+        self.by_piece: dict[str, tuple[int, ...]] = {}
+        self.flat, self.first, self.size = np.empty(0, dtype=np.int32), np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
+        self.met, self.again, self.step = np.zeros(1, dtype=np.int32), np.zeros(1, dtype=bool), 0
 
     @property
     def whole(self):
@@ -72,16 +78,31 @@ class Encoder:
             self._whole = self.load()
         return self._whole
 
-    def _forget(self) -> None:
-        """Start the cache anew: a word's code points into ``first`` and ``size``, which point into ``flat``."""
-        self.by_word: dict[str, int] = {"": 0}
-        self.by_piece: dict[str, tuple[int, ...]] = {}
-        self.flat, self.first, self.size = np.empty(0, dtype=np.int32), np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
+    def _forget(self, room: int) -> None:
+        """Make room: words of this step stay, then those met in two steps or more, the latest first."""
+        order = np.lexsort((self.met, self.again, self.met == self.step))
+        keep = np.zeros(len(self.met), dtype=bool)
+        keep[order[max(0, len(order) - max(CACHE_WORDS // 2, int((self.met == self.step).sum()), CACHE_WORDS - room)):]] = True
+        keep &= self.again | (self.met == self.step)
+        keep[0] = True
+        code = np.cumsum(keep) - 1
+        self.by_word = {w: int(code[c]) for w, c in self.by_word.items() if keep[c]}
+        size = self.size[keep]
+        starts = np.cumsum(size) - size
+        self.flat = self.flat[np.arange(int(size.sum())) + np.repeat(self.first[keep] - starts, size)]
+        self.first, self.size, self.met, self.again = starts, size, self.met[keep], self.again[keep]
+        if len(self.by_piece) > CACHE_PIECES:
+            self.by_piece.clear()
 
     def _learn(self, words: list[str]) -> None:
         cut, whole = {}, []
         for w in words:
-            if self.plain(w) and not self.special(w):
+            # Most words are ASCII letters, perhaps with a mark: their pieces need no pattern.
+            if w.isascii() and w.isalpha():
+                cut[w] = (w.lower(),)
+            elif w.isascii() and w[:-1].isalpha() and w[-1] in ".,;:!?":
+                cut[w] = (w[:-1].lower(), w[-1])
+            elif self.plain(w) and not ("<" in w and self.special(w)):
                 cut[w] = self.cut(w.lower())
             else:
                 whole.append(w)
@@ -108,6 +129,8 @@ class Encoder:
         self.first = np.concatenate((self.first, len(self.flat) + np.cumsum(size) - size))
         self.size = np.concatenate((self.size, size))
         self.flat = np.concatenate((self.flat, flat))
+        self.met = np.concatenate((self.met, np.full(len(size), self.step, dtype=np.int32)))
+        self.again = np.concatenate((self.again, np.zeros(len(size), dtype=bool)))
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         texts = pc.fill_null(texts, "")
@@ -121,12 +144,14 @@ class Encoder:
         counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         coded = lists.flatten().dictionary_encode()
         words, index = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+        self.step += 1
         codes = list(map(self.by_word.get, words))
-        if None in codes:
+        known = np.array([c for c in codes if c is not None], dtype=np.int64)
+        self.again[known], self.met[known] = True, self.step
+        if len(known) < len(codes):
             missing = [w for w, c in zip(words, codes) if c is None]
             if len(self.by_word) + len(missing) > CACHE_WORDS:
-                self._forget()
-                missing = [w for w in words if w]
+                self._forget(len(missing))
             self._learn(missing)
             codes = list(map(self.by_word.__getitem__, words))
         code = np.array(codes, dtype=np.int64)[index]
@@ -162,8 +187,8 @@ TOKEN_TABLE = "doc_id bigint, n_ids bigint, ids binary"
 ENCODE_BYTES = 12 << 20
 
 
-def pack_ids(ids: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(ids.astype("<u2" if not len(ids) or ids.max() < 1 << 16 else "<u4").tobytes())
+def pack_ids(ids: np.ndarray, pack=None) -> bytes:
+    return (pack or zstandard.ZstdCompressor(level=1).compress)(ids.astype("<u2" if not len(ids) or ids.max() < 1 << 16 else "<u4").tobytes())
 
 
 def unpack_ids(packed: bytes, n: int) -> np.ndarray:
@@ -176,10 +201,11 @@ def token_table(docs: DataFrame, tokenizer: str | None = None, end: int = END_ID
     path = tokenizer or tokenizer_path()
 
     def run(batches):
+        pack = zstandard.ZstdCompressor(level=1).compress
         for batch in steps(batches, limit=ENCODE_BYTES):
             ids, lengths = encoder(path).ids(column(batch, "text"))
             ids, lengths = with_end(ids, lengths, end)
-            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(lengths), pa.array([pack_ids(x) for x in slices(ids, lengths)], type=pa.binary())],
+            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(lengths), pa.array([pack_ids(x, pack) for x in slices(ids, lengths)], type=pa.binary())],
                                              names=["doc_id", "n_ids", "ids"])
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, TOKEN_TABLE)
