@@ -27,6 +27,9 @@ from paystrata.session import scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 SHINGLE_WORDS = 5
+#: Bytes of a batch between Spark and Python: the stages carry whole texts, and a task holds a
+#: batch on both sides.
+BATCH_BYTES = 16 << 20
 _before: list[Scratch] = []
 
 
@@ -34,6 +37,7 @@ def fresh(spark: SparkSession) -> Scratch:
     """Intermediate tables of the stage that starts now; those of the stage before go."""
     while _before:
         _before.pop().drop_all()
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     _before.append(Scratch(spark))
     return _before[-1]
 
