@@ -34,6 +34,8 @@ BLOCK_IDS = 1 << 17
 CHECKPOINT = 256
 #: Ids a file holds on average; sets how many range partitions are written.
 FILE_IDS = 4_000_000
+#: Ids counted at a time.
+COUNTED_IDS = 1 << 20
 BLOCKS = ("file int, block int, n_ids bigint, doc_ids array<bigint>, doc_sizes array<bigint>, "
           "checkpoints array<bigint>, bits binary")
 
@@ -42,12 +44,24 @@ def count_ids(tokens: DataFrame) -> DataFrame:
     """Rows (id, n) over all documents; each task adds up its own ids first."""
     def run(batches):
         total = np.zeros(0, dtype=np.int64)
+        held, size = [], 0
+
+        def add():
+            # Many texts at a time: counting costs as much as the largest id, however short a text is.
+            nonlocal total, held, size
+            part = np.bincount(np.concatenate(held)) if held else total[:0]
+            if len(part) > len(total):
+                total = np.concatenate((total, np.zeros(len(part) - len(total), dtype=np.int64)))
+            total[:len(part)] += part
+            held, size = [], 0
+
         for batch in batches:
-            for packed, n in zip(column(batch, "ids").to_pylist(), column(batch, "n_ids").to_pylist()):
-                part = np.bincount(unpack_ids(packed, n))
-                if len(part) > len(total):
-                    total = np.concatenate((total, np.zeros(len(part) - len(total), dtype=np.int64)))
-                total[:len(part)] += part
+            for packed, n in zip(column(batch, "ids"), column(batch, "n_ids").to_pylist()):
+                held.append(unpack_ids(packed.as_py(), n))
+                size += n
+                if size >= COUNTED_IDS:
+                    add()
+        add()
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], names=["id", "n"])
 

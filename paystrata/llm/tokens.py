@@ -192,7 +192,10 @@ def pack_ids(ids: np.ndarray, pack=None) -> bytes:
 
 
 def unpack_ids(packed: bytes, n: int) -> np.ndarray:
-    raw = zstandard.ZstdDecompressor().decompress(packed)
+    store = worker_store("unpack")
+    if "one" not in store:  # a context costs more than most texts
+        store["one"] = zstandard.ZstdDecompressor()
+    raw = store["one"].decompress(packed)
     return np.frombuffer(raw, dtype="<u2" if len(raw) == 2 * n else "<u4")
 
 
