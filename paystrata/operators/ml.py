@@ -8,13 +8,13 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Model
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paystrata.functions.classify import category
 from paystrata.functions.parse import _col, flag_if
+from paystrata.operators import clusters
 from paystrata.operators.dedup import top_per_group
 
 # Model parameters.
@@ -81,17 +81,10 @@ def report_averages(report: DataFrame) -> DataFrame:
 
 
 def train_kmeans(df: DataFrame, k: int = CLUSTERS, restarts: int = RESTARTS, seed: int = SEED,
-                 columns: list[str] | None = None) -> tuple[KMeansModel, float]:
-    """Best of ``restarts`` seeds by inertia. The feature column is kept across the
-    restarts (spilling to disk), as every iteration reads it."""
-    points = VectorAssembler(inputCols=columns or CLUSTER_FEATURES, outputCol="features").transform(df) \
-        .select("features").persist()
-    try:
-        models = [KMeans(k=k, seed=seed + r).fit(points) for r in range(restarts)]
-        best = min(models, key=lambda m: m.summary.trainingCost)
-        return best, best.summary.trainingCost
-    finally:
-        points.unpersist()
+                 columns: list[str] | None = None) -> tuple[clusters.Clusters, float]:
+    """Best of ``restarts`` seeds by inertia; all of them are fitted by the same passes."""
+    best = clusters.fit(df, columns or CLUSTER_FEATURES, k, restarts, seed)
+    return best, best.inertia
 
 
 # ------------------------------------------------------------ isolation forest

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from paystrata.operators import gold, ground, ml, vector
+from paystrata.operators import clusters, gold, ground, ml, vector
 from paystrata.operators.validate import require_not_null
 from paystrata.plans import views
 from paystrata.plans.oracle import TX, TX_TEXT, with_ctes
@@ -255,8 +255,7 @@ def anomaly_features(spark, sf):
 def _clusters(spark, sf):
     silver = _silver(spark, sf)
     model, inertia = ml.train_kmeans(silver)
-    assigned = model.transform(ml.VectorAssembler(inputCols=ml.CLUSTER_FEATURES, outputCol="features").transform(silver))
-    return assigned.groupBy("prediction").agg(
+    return model.transform(silver).groupBy("prediction").agg(
         F.count(F.lit(1)).alias("members"), F.round(F.avg("amount"), 2).alias("mean_amount")).withColumn(
         "inertia", F.lit(inertia))
 
@@ -273,6 +272,46 @@ def cluster_members(spark, sf):
     return _clusters(spark, sf).agg(F.sum("members").alias("members"), F.count(F.lit(1)).alias("clusters"), (F.min("inertia") > 0).alias("positive"))
 
 
+_RUNS, _STEPS, _CENTRES = 4, 6, 3
+
+
+def _share(run: int, number: int) -> float:
+    return (2 * number + 0.5 + run / _RUNS) / (2 * _CENTRES)
+
+
+def _lloyd_sql() -> str:
+    """The same iterations, written out: assign every row in every run, average, repeat."""
+    starts = ", ".join(f"({r}, {j}, {_share(r, j)!r}::DOUBLE)" for r in range(_RUNS) for j in range(_CENTRES))
+    parts = [f"""p AS MATERIALIZED (SELECT ref_number, amount AS a, CAST(coalesce(length(raw_text), 0) AS DOUBLE) AS t FROM txt),
+b AS (SELECT min(a) AS lo, max(a) AS hi FROM p),
+c0 AS MATERIALIZED (SELECT run, number, lo + (hi - lo) * share AS a, 0.0::DOUBLE AS t FROM (VALUES {starts}) s(run, number, share), b)"""]
+    for i in range(_STEPS + 1):
+        parts.append(f"""m{i} AS MATERIALIZED (SELECT run, number, p.a, p.t, (p.a - c.a) * (p.a - c.a) + (p.t - c.t) * (p.t - c.t) AS gap FROM p, c{i} c
+  QUALIFY row_number() OVER (PARTITION BY run, ref_number ORDER BY gap, number) = 1)""")
+        if i < _STEPS:
+            parts.append(f"""c{i + 1} AS MATERIALIZED (SELECT c.run, c.number, coalesce(x.a, c.a) AS a, coalesce(x.t, c.t) AS t FROM c{i} c
+  LEFT JOIN (SELECT run, number, avg(a) AS a, avg(t) AS t FROM m{i} GROUP BY ALL) x USING (run, number))""")
+    return TX_TEXT + ", " + ",\n".join(parts) + f""",
+best AS (SELECT run, sum(gap) AS inertia FROM m{_STEPS} GROUP BY run ORDER BY inertia, run LIMIT 1)"""
+
+
+@query("kmeans_given_starts", with_ctes(_lloyd_sql(), f"""
+SELECT CAST(number AS INTEGER) AS prediction, count(*) AS members, round(any_value(c.a), 3) AS centre_amount, round(any_value(c.t), 3) AS centre_length,
+  round(any_value(inertia) / 1e9, 3) AS inertia
+FROM best JOIN m{_STEPS} m USING (run) JOIN c{_STEPS} c USING (run, number) GROUP BY number"""))
+def kmeans_given_starts(spark, sf):
+    """Centres, members and inertia of the best of four runs, whose starts are spread over the amounts."""
+    silver = _silver(spark, sf).select("amount", "text_length")
+    low, high = silver.agg(F.min("amount"), F.max("amount")).first()
+    starts = [[(low + (high - low) * _share(r, j), 0.0) for j in range(_CENTRES)] for r in range(_RUNS)]
+    best = clusters.fit(silver, ml.CLUSTER_FEATURES, _CENTRES, _RUNS, ml.SEED, starts, _STEPS, 0.0)
+    centres = spark.createDataFrame(
+        [(j, round(float(a), 3), round(float(t), 3)) for j, (a, t) in enumerate(best.centres)],
+        "prediction int, centre_amount double, centre_length double")
+    return best.transform(silver).groupBy("prediction").agg(F.count(F.lit(1)).alias("members")).join(
+        centres, "prediction").withColumn("inertia", F.round(F.lit(best.inertia / 1e9), 3))
+
+
 @query("encoder_facts", """
 WITH s AS (SELECT list_sum(list_transform(string_split(text, ''), lambda c: ord(c)::BIGINT)) % 65535 AS seed FROM documents)
 SELECT count(*) AS records, 384 AS dimension, count(DISTINCT seed) AS vectors, true AS unit FROM s""")
