@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from paystrata.functions import classify, pages, parse
-from paystrata.operators import quality, report, validate
+from paystrata.operators import quality, report, terms, validate
 from paystrata.plans import views
 from paystrata.plans.oracle import PAGE_TEXT, classify_sql, with_ctes
 from paystrata.plans.registry import query
@@ -147,6 +147,36 @@ def match_terms(spark, sf):
         "doc_id", "term", F.array_contains("__exact", F.col("term")).alias("exact"))
 
 
+_DICTIONARY = r"""WITH w AS (SELECT list_filter(regexp_split_to_array(text, '[ \n]+'), lambda x: x <> '') AS w FROM benchmark),
+t AS (SELECT unnest(w) AS term FROM w
+  UNION SELECT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w)"""
+
+
+def _dictionary(spark, sf):
+    """Words and two-word phrases of the benchmark: thousands of terms."""
+    words = views.table(spark, sf, "benchmark").select(F.filter(F.split("text", "[ \\n]+"), lambda x: x != "").alias("w"))
+    pairs = F.transform(F.arrays_zip(F.slice("w", 1, F.size("w") - 1).alias("a"), F.slice("w", 2, F.size("w")).alias("b")),
+                        lambda p: F.concat_ws(" ", p["a"], p["b"]))
+    return words.filter(F.size("w") > 0).select(F.explode(F.concat("w", pairs)).alias("term"))
+
+
+@query("terms_in_texts", _DICTIONARY + """
+SELECT doc_id, term, CAST(strpos(text, term) AS BIGINT) AS first,
+  CAST((length(text) - length(replace(text, term, ''))) // length(term) AS BIGINT) AS hits
+FROM documents JOIN t ON contains(text, term)""")
+def terms_in_texts(spark, sf):
+    return terms.find_terms(_documents(spark, sf), "text", _dictionary(spark, sf), "term", ["doc_id"])
+
+
+@query("terms_by_reach", _DICTIONARY + """
+SELECT term, count(DISTINCT doc_id) AS documents, CAST(sum((length(text) - length(replace(lower(text), lower(term), ''))) // length(term)) AS BIGINT) AS hits
+FROM documents JOIN t ON contains(lower(text), lower(term)) GROUP BY term""")
+def terms_by_reach(spark, sf):
+    """Terms in any case, by how many documents they reach."""
+    found = terms.find_terms(_documents(spark, sf), "text", _dictionary(spark, sf), "term", ["doc_id"], ci=True)
+    return found.groupBy("term").agg(F.count_distinct("doc_id").alias("documents"), F.sum("hits").alias("hits"))
+
+
 # Payment terms of the cashier pages.
 KNOWN_TERMS = ["iCash.One", "QR Mobile", "Crypto", "Crypto to", "UPI", "Fiat", "Crypto to FIAT", "QR Mobile Payments"]
 COMMON_WORDS = ["the", "The", "und", "est"]
