@@ -29,7 +29,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 SHINGLE_WORDS = 5
 #: Bytes of a batch between Spark and Python: the stages carry whole texts, and a task holds a
 #: batch on both sides.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 _before: list[Scratch] = []
 
 
