@@ -5,9 +5,9 @@ A text is lower-cased, everything in it but letters becomes space, and its byte
 sqrt(count) * idf, normalised. Each language gets ``CLUSTERS`` centroids from spherical
 k-means over a bounded sample of its labelled documents: ``SAMPLE`` a language, the
 documented bound, taken by lowest hash. A text goes to the language of the centroid with
-the highest cosine; ``score`` is that cosine. A text is rejected when it is ``und`` or
-when its cosine is below ``REJECT`` times the sample's first percentile among texts of
-about its length.
+the highest cosine; ``score`` is that cosine. A text is rejected when it has no letter
+or when its cosine is below ``REJECT`` times the sample's first percentile among texts of
+about its length; without labelled documents, only when it has no letter.
 
 A text that is null or has no letter is ``und`` with score 0, as is every text when there
 is no labelled document. Equal cosines go to the first language in order of name.
@@ -153,7 +153,9 @@ def identify(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
         for batch in steps(batches):
             texts = lowered(batch)
             names, scores, rejected = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), dtype=bool)
-            known = [i for i, t in enumerate(texts) if has_letter(t)] if model.languages else []
+            known = [i for i, t in enumerate(texts) if has_letter(t)]
+            if not model.languages:
+                rejected[known], known = False, []
             for at in range(0, len(known), ROWS):
                 rows = known[at:at + ROWS]
                 counts = trigram_counts([texts[i] for i in rows])
