@@ -188,3 +188,28 @@ def lookup(df: DataFrame, predicate: Column | None = None, key: str = "id", skip
     """One page of the matching rows in key order (all lookups by id, name or reference)."""
     rows = df.filter(predicate) if predicate is not None else df
     return rows.orderBy(key).offset(skip).limit(limit)
+
+
+def page_after(
+    df: DataFrame, keys: list[str], after: tuple | None = None, limit: int = 100, predicate: Column | None = None,
+) -> DataFrame:
+    """The page behind the row whose keys are ``after``, in ascending key order; the first page without it.
+
+    A deep page costs what the first one does: the keys are compared in the scan, and every task
+    keeps ``limit`` rows, where an offset keeps all that it skips. ``keys`` must tell rows apart,
+    or rows equal to the last one of a page are passed over; a null key comes first.
+    """
+    if after is not None:
+        behind = F.lit(False)
+        for key, value in reversed(list(zip(keys, after, strict=True))):
+            more = F.col(key).isNotNull() if value is None else F.col(key) > F.lit(value)
+            behind = more | (F.col(key).eqNullSafe(F.lit(value)) & behind)
+        df = df.filter(behind)
+    rows = df.filter(predicate) if predicate is not None else df
+    return rows.orderBy(*keys).limit(limit)
+
+
+def last_key(page: DataFrame, keys: list[str]) -> tuple | None:
+    """Where the next page starts; none behind an empty page. One row comes to the driver."""
+    row = page.orderBy(*[F.desc_nulls_last(k) for k in keys]).select(*keys).limit(1).first()
+    return tuple(row) if row else None

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from paystrata.functions.parse import _col
 from paystrata.operators.dedup import top_per_group
+from paystrata.operators.nearest import BLOCK_BYTES, Cells
 
 # Fixed values.
 DIMENSION = 384
@@ -28,8 +29,6 @@ LAYER_FAQ = [
     ("faq_5", "FAQ", "Isolation Forest ML model is configured with a 3% contamination factor to detect extreme "
                      "transaction amount anomalies."),
 ]
-# Largest query block that is sent to every executor.
-BLOCK_BYTES = 32 * 1024 * 1024
 
 
 def _seeds(texts: pd.Series) -> pd.Series:
@@ -122,74 +121,18 @@ def index_stats(index: DataFrame) -> DataFrame:
     ).withColumn("healthy", F.col("total_vectors") > 0)
 
 
-_TILE = 256
-
-
-def _nearest(block: np.ndarray, order: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Per query: positions and squared distances of the best ``k`` rows of a block,
-    ties by ``order`` (so a block of equal copies still yields ``k`` rows).
-
-    The matrix product ranks roughly; every row within rounding distance of the
-    k-th is measured again by subtraction, so the result is exact. Queries go in
-    tiles, which bounds the product to a few megabytes.
-    """
-    norms = np.einsum("ij,ij->i", block, block)
-    slack = 1e-9 * (1.0 + norms.max())
-    for start in range(0, len(queries), _TILE):
-        tile = queries[start:start + _TILE]
-        rough = norms[None, :] - 2.0 * tile @ block.T
-        for query, row in zip(tile, rough):
-            near = np.arange(len(block))
-            if len(block) > k:
-                near = np.flatnonzero(row <= np.partition(row, k - 1)[k - 1] + slack)
-            gap = block[near] - query
-            exact = (gap * gap).sum(axis=1)
-            best = np.lexsort((order[near], exact))[:k]
-            yield near[best], exact[best]
-
-
 def similarity_search(
     index: DataFrame, queries: DataFrame, k: int = 3, threshold: float = DEFAULT_THRESHOLD,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """(query_id, id, distance, rank): exact squared-L2 top ``k``, then the threshold.
 
-    ``index`` has (id, vector), ``queries`` has (query_id, vector). Both sides are dealt by
-    hash into tiles of about ``block_bytes``; every cell of the grid of tiles is a task that
-    measures one tile against the other and emits its best ``k`` per query, and only those
-    are ranked globally. No vector passes through the driver, and no task holds more than
-    two tiles.
+    ``index`` has (id, vector), ``queries`` has (query_id, vector). Both are written once;
+    cells that no answer can be in are left out (``nearest``). No vector but a bounded sample
+    passes through the driver, and no task holds more than two tiles of ``block_bytes``.
     """
-    index = index.select("id", "vector").filter(F.col("vector").isNotNull())
-    queries = queries.select("query_id", "vector").filter(F.col("vector").isNotNull())
-
-    def tiles(df: DataFrame) -> int:
-        shape = df.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
-        return max(1, -(-shape[0] * (shape[1] or 1) * 8 // block_bytes))
-
-    rows, columns = tiles(index), tiles(queries)
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = index.withColumn("__i", F.pmod(F.xxhash64("id"), F.lit(rows)).cast("int")).withColumn("__q", every(columns))
-    right = queries.withColumn("__q", F.pmod(F.xxhash64("query_id"), F.lit(columns)).cast("int")).withColumn("__i", every(rows))
-    out_schema = T.StructType([
-        T.StructField("query_id", queries.schema["query_id"].dataType),
-        T.StructField("id", index.schema["id"].dataType), T.StructField("distance", T.DoubleType())])
-
-    def cell(held: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if not len(held) or not len(asked):
-            return pd.DataFrame({"query_id": asked["query_id"][:0], "id": held["id"][:0], "distance": np.zeros(0)})
-        vectors, q = (np.array(x["vector"].tolist(), dtype="float64") for x in (held, asked))
-        keys = held["id"].to_numpy()
-        order = np.argsort(np.argsort(keys, kind="stable"))
-        found = list(_nearest(vectors, order, q, k))
-        return pd.DataFrame({
-            "query_id": np.repeat(asked["query_id"].to_numpy(), [len(n) for n, _ in found]),
-            "id": keys[np.concatenate([n for n, _ in found])],
-            "distance": np.concatenate([d for _, d in found])})
-
-    cells = left.groupBy("__i", "__q").cogroup(right.groupBy("__i", "__q")).applyInPandas(cell, out_schema)
-    best = top_per_group(cells, ["query_id"], [F.col("distance"), F.col("id")], k)
-    return best.filter(F.col("distance") <= threshold)
+    hits = Cells(index, block_bytes).search(queries, k, threshold)[0]
+    return hits.select("query_id", F.col("id").cast(index.schema["id"].dataType), "distance", F.col("rank").cast("int"))
 
 
 def retrieve_context(index: DataFrame, queries: DataFrame, k: int = 3,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from paystrata.operators import clusters, gold, ground, ml, vector
+from paystrata.operators import clusters, gold, ground, ml, nearest, vector
 from paystrata.operators.validate import require_not_null
 from paystrata.plans import views
 from paystrata.plans.oracle import TX, TX_TEXT, with_ctes
@@ -29,6 +29,17 @@ def similarity_search(spark, sf):
     return hits.withColumn("distance", F.round("distance", 6))
 
 
+@query("search_accounts", """
+SELECT q.vec_id AS query_id, (SELECT count(*) FROM embeddings) AS accounted, 1::BIGINT AS hits FROM embeddings q""")
+def search_accounts(spark, sf):
+    """Each vector asks for the nearest: rows that were measured or left out by a bound make up the index."""
+    e = views.table(spark, sf, "embeddings")
+    cells = nearest.Cells(e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector")))
+    hits, visits = cells.search(e.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector")), 1, 1.5)
+    found = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("hits"))
+    return cells.skipped(visits).select("query_id", (F.col("measured") + F.col("left_out")).alias("accounted")).join(found, "query_id", "left")
+
+
 @query("index_stats", """
 SELECT count(*) AS total_vectors, CAST(max(len(embedding)) AS INTEGER) AS dimension, count(*) > 0 AS healthy FROM embeddings""")
 def index_stats(spark, sf):

@@ -166,6 +166,15 @@ def lookup_anomalies(spark, sf):
                           F.col("is_anomalous"), "id", 50, 200).drop("is_anomalous")
 
 
+@query("lookup_next_page", with_ctes(STAR, """
+SELECT id, ref_number, amount FROM facts WHERE is_anomalous ORDER BY id LIMIT 200 OFFSET 50"""))
+def lookup_next_page(spark, sf):
+    """The page behind the first fifty, found by its last key."""
+    facts = views.facts(spark, sf).select("id", "ref_number", "amount", "is_anomalous")
+    first = serving.page_after(facts, ["id"], None, 50, F.col("is_anomalous"))
+    return serving.page_after(facts, ["id"], serving.last_key(first, ["id"]), 200, F.col("is_anomalous")).drop("is_anomalous")
+
+
 @query("rule_anomaly", with_ctes(TX, "SELECT ref_number, amount > 45000 AS flagged FROM tx"))
 def rule_anomaly(spark, sf):
     from paystrata.functions.parse import rule_anomaly as rule

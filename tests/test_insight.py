@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from paystrata.operators import gold, ground, ml, report, vector
+from paystrata.operators import gold, ground, ml, nearest, report, serving, vector
 
 
 def frame(spark, name, rows):
@@ -31,6 +31,31 @@ def test_search_matches_brute_force(spark, block_bytes):
     assert {(r["query_id"], r["id"], r["rank"]) for r in got.collect()} == brute(index, queries, 4, 3.0)
 
 
+def test_bounds_leave_out_most_of_clustered_vectors(spark):
+    """Nothing is lost: hits equal brute force, and measured and left-out rows make up the index."""
+    rng = np.random.RandomState(2)
+    places = rng.randn(12, 8) * 10
+    index = [(f"i{n:04d}", places[n % 12] + 0.1 * rng.randn(8)) for n in range(600)]
+    index += [(f"copy{n:03d}", index[0][1]) for n in range(300)]  # a third of the rows are one vector
+    queries = [(f"q{n}", places[n % 12] + 0.1 * rng.randn(8)) for n in range(24)] + [("between", places[:2].mean(0)), ("same", index[0][1])]
+    cells = nearest.Cells(frame(spark, "id", index).unionByName(spark.createDataFrame([("none", None)], "id string, vector array<float>")), 4000)
+    hits, visits = cells.search(frame(spark, "query_id", queries), 5, 1e9)
+    assert {(r["query_id"], r["id"], r["rank"]) for r in hits.collect()} == brute(index, queries, 5, 1e9)
+    facts = {r["query_id"]: r for r in cells.skipped(visits).collect()}
+    assert set(facts) == {q for q, _ in queries}
+    assert all(r["measured"] + r["left_out"] == 900 for r in facts.values())
+    assert sum(r["left_out"] for r in facts.values()) > 0.5 * 900 * len(queries)
+
+
+def test_fewer_rows_than_asked_for_and_repeats(spark):
+    index = [("a", [0.0, 0.0]), ("b", [100.0, 0.0]), ("c", [0.0, 100.0])]
+    queries = [("q", [1.0, 1.0])]
+    got = vector.similarity_search(frame(spark, "id", index), frame(spark, "query_id", queries), 5, 1e9).collect()
+    assert {(r["query_id"], r["id"], r["rank"]) for r in got} == brute(index, queries, 5, 1e9)
+    twice = vector.similarity_search(frame(spark, "id", index + index[:1]), frame(spark, "query_id", queries), 2, 1e9).collect()
+    assert [(r["id"], r["rank"]) for r in sorted(twice, key=lambda r: r["rank"])] == [("a", 1), ("a", 2)]
+
+
 def test_threshold_is_cut_after_top_k(spark):
     index = frame(spark, "id", [("faq_test_1", [0.1] * 384), ("far", [5.0] * 384)])
     query = frame(spark, "query_id", [("q", [0.1] * 384)])
@@ -191,3 +216,17 @@ def test_worker_functions_travel_by_value(tmp_path):
     out = subprocess.run([sys.executable, "-c", code], input=cloudpickle.dumps(vector._seeds), cwd=tmp_path,
                          capture_output=True, timeout=60)
     assert out.stdout.strip() == b"294", out.stderr
+
+
+def test_pages_by_key_equal_pages_by_offset(spark):
+    """All pages in turn, with null and repeated first keys."""
+    rows = [(None if n % 7 == 0 else n % 5, n) for n in range(53)]
+    df, keys = spark.createDataFrame(rows, "a int, b int").repartition(5), ["a", "b"]
+    wanted, after, got = [tuple(r) for r in df.orderBy("a", "b").collect()], None, []
+    while True:
+        page = serving.page_after(df, keys, after, 10, F.col("b") != 11)
+        after = serving.last_key(page, keys)
+        if after is None:
+            break
+        got += [tuple(r) for r in page.collect()]
+    assert got == [r for r in wanted if r[1] != 11]

@@ -44,7 +44,7 @@ def test_filters_reach_the_scan(spark, small):
 
 
 def test_top_k_is_not_a_global_sort(spark, small):
-    for name in ("recent_activity", "top_methods", "lookup_anomalies"):
+    for name in ("recent_activity", "top_methods", "lookup_anomalies", "lookup_next_page"):
         assert "TakeOrderedAndProject" in plan_of(QUERIES[name](spark, small))
 
 
