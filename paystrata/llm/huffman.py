@@ -26,14 +26,16 @@ from pyspark.sql import functions as F
 
 from paystrata.llm.common import Scratch, column, documents
 from paystrata.llm.registry import query
-from paystrata.llm.tokens import token_table, unpack_ids
-from paystrata.session import scratch_path
+from paystrata.llm.tokens import ENCODE_BYTES, token_table, unpack_ids
+from paystrata.session import scratch_path, settings
 
 MAX_BITS = 18
 BLOCK_IDS = 1 << 17
 CHECKPOINT = 256
 #: Ids a file holds on average; sets how many range partitions are written.
 FILE_IDS = 4_000_000
+#: Bytes of a batch of texts between Spark and Python.
+BATCH_BYTES = ENCODE_BYTES - (1 << 20)
 #: Ids counted at a time.
 COUNTED_IDS = 1 << 20
 BLOCKS = ("file int, block int, n_ids bigint, doc_ids array<bigint>, doc_sizes array<bigint>, "
@@ -228,7 +230,9 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = True) -> D
 def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Start, size and checksum of every document's ids, read back from the files written."""
     scratch, path = Scratch(spark), scratch_path(spark, "token-files")
-    tokens = scratch.keep(token_table(documents(spark, sf_dir)), "tokens")
+    # A batch is encoded in one step: larger ones would lie in both processes beside it.
+    with settings(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}):
+        tokens = scratch.keep(token_table(documents(spark, sf_dir)), "tokens")
     write_token_files(tokens, path)
     scratch.drop(tokens)
     return read_token_files(spark, path, with_ids=False)

@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paystrata.llm.common import column, steps, worker_store
+from paystrata.llm.common import column, give_back, steps, worker_store
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
@@ -142,8 +142,12 @@ class Encoder:
         else:
             lists = pc.utf8_split_whitespace(texts)
         counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-        coded = lists.flatten().dictionary_encode()
+        del texts, lower
+        coded = lists.flatten()
+        del lists
+        coded = coded.dictionary_encode()
         words, index = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+        del coded
         self.step += 1
         codes = list(map(self.by_word.get, words))
         known = np.array([c for c in codes if c is not None], dtype=np.int64)
@@ -154,11 +158,17 @@ class Encoder:
                 self._forget(len(missing))
             self._learn(missing)
             codes = list(map(self.by_word.__getitem__, words))
-        code = np.array(codes, dtype=np.int64)[index]
+        del words
+        code = np.array(codes, dtype=np.int32)[index]
+        del codes, index
         sizes = self.size[code]
         before = np.concatenate(([0], np.cumsum(sizes)))
-        out = self.flat[np.arange(before[-1]) + np.repeat(self.first[code] - before[:-1], sizes)]
-        return out, np.diff(before[np.concatenate(([0], np.cumsum(counts)))])
+        # Places in 32 bits where they fit, which all but a single text of gigabytes do.
+        kind = np.int32 if max(int(before[-1]), len(self.flat)) < 1 << 31 else np.int64
+        place = np.repeat((self.first[code] - before[:-1]).astype(kind), sizes)
+        del code, sizes
+        place += np.arange(before[-1], dtype=kind)
+        return self.flat[place], np.diff(before[np.concatenate(([0], np.cumsum(counts)))])
 
 
 def encoder(path: str) -> Encoder:
@@ -208,6 +218,7 @@ def token_table(docs: DataFrame, tokenizer: str | None = None, end: int = END_ID
         for batch in steps(batches, limit=ENCODE_BYTES):
             ids, lengths = encoder(path).ids(column(batch, "text"))
             ids, lengths = with_end(ids, lengths, end)
+            give_back()
             yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(lengths), pa.array([pack_ids(x, pack) for x in slices(ids, lengths)], type=pa.binary())],
                                              names=["doc_id", "n_ids", "ids"])
 

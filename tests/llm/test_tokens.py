@@ -80,3 +80,13 @@ def test_files_return_the_ids(spark, edge, tmp_path, reference):
     huffman.write_token_files(token_table(edge), str(tmp_path / "f"))
     got = huffman.read_token_files(spark, str(tmp_path / "f")).collect()
     assert {(r.doc_id, tuple(np.frombuffer(r.ids, "<u4").tolist())) for r in got} == {(r.doc_id, tuple(reference(r.text))) for r in edge.collect()}
+
+
+def test_texts_come_to_the_encoder_in_batches_of_a_step(spark, small, monkeypatch):
+    key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before = spark.conf.get(key)
+    keep = huffman.Scratch.keep
+    monkeypatch.setattr(huffman.Scratch, "keep", lambda self, df, label: (seen.append((label, int(spark.conf.get(key)))), keep(self, df, label))[1])
+    QUERIES["op10_token_files"](spark, small)
+    assert seen == [("tokens", huffman.BATCH_BYTES)] and huffman.BATCH_BYTES < huffman.ENCODE_BYTES
+    assert spark.conf.get(key) == before
