@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paystrata.llm.common import column, give_back, steps, worker_store
+from paystrata.llm.common import column, give_back, large_store, steps, worker_store
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
@@ -173,7 +173,7 @@ class Encoder:
 
 def encoder(path: str) -> Encoder:
     """The worker's encoder for this vocabulary file."""
-    store = worker_store("encoders")
+    store = large_store("encoders")
     if path not in store:
         store[path] = Encoder(path)
     return store[path]

@@ -82,6 +82,20 @@ def test_files_return_the_ids(spark, edge, tmp_path, reference):
     assert {(r.doc_id, tuple(np.frombuffer(r.ids, "<u4").tolist())) for r in got} == {(r.doc_id, tuple(reference(r.text))) for r in edge.collect()}
 
 
+def test_a_worker_lets_the_encoder_go_when_it_shingles():
+    import weakref
+
+    from paystrata.llm.common import ByteHash
+    from paystrata.llm.tokens import encoder
+    path = tokenizer_path()
+    held = weakref.ref(encoder(path))
+    assert encoder(path) is held()
+    ByteHash(np.frombuffer(b"some words", dtype=np.uint8))
+    assert held() is None
+    ids, lengths = encoder(path).ids(pa.array(["one two", "one"]))
+    assert lengths.tolist() == [len(ids) - lengths[1], lengths[1]]
+
+
 def test_texts_come_to_the_encoder_in_batches_of_a_step(spark, small, monkeypatch):
     key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
     before = spark.conf.get(key)
