@@ -7,6 +7,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,8 +44,11 @@ def text_seed(c: Column | str) -> Column:
     return F.pandas_udf(_seeds, "bigint")(_col(c))
 
 
-def unit_normals(seed: int, dim: int = DIMENSION) -> np.ndarray:
-    vector = np.random.RandomState(seed).randn(dim)
+def unit_normals(seed: int, dim: int = DIMENSION, generator: np.random.RandomState | None = None) -> np.ndarray:
+    """``generator`` is seeded anew; making one costs twenty times what a draw does."""
+    generator = generator or np.random.RandomState()
+    generator.seed(seed)
+    vector = generator.randn(dim)
     norm = np.linalg.norm(vector)
     return (vector / norm if norm > 0 else vector).astype("float32")
 
@@ -56,12 +60,20 @@ def encode(c: Column | str, dim: int = DIMENSION,
     if model is not None:
         return F.pandas_udf(model, T.ArrayType(T.FloatType()))(_col(c))
 
-    def from_text(texts: pd.Series) -> pd.Series:
-        seeds = _seeds(texts)
-        drawn = {s: unit_normals(int(s), dim) for s in seeds.unique()}
-        return seeds.map(drawn)
+    def from_text(texts: pa.Array) -> pa.Array:
+        # Lists are made from one buffer: a Python list per row costs many times what drawing does.
+        seeds, of = np.unique(_seeds(pd.Series(texts.to_pylist(), dtype="object")).to_numpy(), return_inverse=True)
+        generator = np.random.RandomState()
+        drawn = np.array([unit_normals(int(s), dim, generator) for s in seeds], dtype="float32").reshape(-1, dim)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(of) + 1) * dim, pa.int32()), pa.array(drawn[of].ravel()))
 
-    return F.pandas_udf(from_text, T.ArrayType(T.FloatType()))(_col(c))
+    return F.arrow_udf(from_text, T.ArrayType(T.FloatType()))(_col(c))
+
+
+def spread(records: DataFrame) -> DataFrame:
+    """The same rows dealt evenly over all cores: encoding makes many times the bytes by which Spark sized the partitions."""
+    spark = records.sparkSession
+    return records.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def encode_records(records: DataFrame, text: str = "content", dim: int = DIMENSION) -> DataFrame:

@@ -67,7 +67,7 @@ def retrieve_context(spark, sf):
     asked = views.table(spark, sf, "conversations").filter(F.col("role") == "user").select(
         F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("query_id"),
         vector.encode("text").alias("vector"))
-    return vector.retrieve_context(vector.encode_records(records), asked).select(
+    return vector.retrieve_context(vector.encode_records(vector.spread(records)), asked).select(
         "query_id", "id", "rank", "distance", "source")
 
 
