@@ -1,18 +1,20 @@
 """Language-model scores: a gated recurrent network in numpy, trained where the data is.
 
 The output is factored: words are members of classes, and the network predicts first the
-class, then the member in it. Every word that occurs ``LEAST`` times in training, at least
-the ``WORDS`` most frequent, and the end of a text are members of their own, in about as
-many classes as a class has members, so the network grows with the training words; all
-rarer words share ``BUCKETS`` members by their first two bytes, within which a word has its
+class, then the member in it; above ``ONE_GROUP`` members classes belong to groups, which
+are predicted before. Every word that occurs ``LEAST`` times in training, at least the
+``WORDS`` most frequent, and the end of a text are members of their own, in about as many
+classes (and groups) as a class has members, so the network grows with the training words
+and what a word costs with their square (cube) root; all rarer words share ``BUCKETS`` members by their first two bytes, within which a word has its
 smoothed share of the training tokens. Output biases start at the members' frequencies, so
 training starts from the unigram model.
 
 Training passes over all training documents once, in ``ROUNDS`` parts by hash. In each
-part every task trains a copy of the parameters on its own documents - truncated
+part every core trains a copy of the parameters on its own documents - truncated
 backpropagation over windows of ``STEPS`` words on ``STREAMS`` texts at a time, the state
 carried from window to window and reset at the start of a text; an update costs what the
-window touched, not the size of the network. The copies are averaged class by class, by the
+window touched, not the size of the network. The words of a node meet its weights in pieces of
+a few lengths, so that no step loops over nodes in Python. The copies are averaged class by class, by the
 tokens of the class they saw; a task sends only those. Scoring carries the state through
 each whole text.
 
@@ -46,6 +48,8 @@ HIDDEN = 16
 CLASSES, PER_CLASS = 16, 32
 MEMBERS = CLASSES * PER_CLASS
 BUCKETS = 128
+#: Members up to which the classes are one group.
+ONE_GROUP = 4096
 WORDS = MEMBERS - BUCKETS - 1
 #: Occurrences from which a word is learnt as itself.
 LEAST = 32
@@ -54,6 +58,8 @@ STREAMS, STEPS, ROUNDS = 512, 24, 2
 RATE, CLIP = 0.01, 5.0
 #: Bytes of text read, and words laid out into streams, at a time.
 READ_BYTES, LAYOUT_WORDS = 4 << 20, 6_000_000
+#: Words that meet a node's weights at a time, and numbers of an update: what is worked on stays in the cache.
+PIECES, UPDATE = (2, 6, 16, 48, 128), 1 << 16
 SUMS = ["row", "doc_id", "n_tokens", "n_known", "base", "share"]
 #: Stands for the end of a text in the counts; no word holds white space.
 END = "\n"
@@ -85,12 +91,17 @@ def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
     return counts.filter(F.col("n") >= least) if least is not None else counts.limit(0)
 
 
-def shape(members: int) -> tuple[int, int]:
-    """Classes, and members of each, that hold so many members."""
+def shape(members: int) -> tuple[int, int, int]:
+    """Groups, classes of each and members of each class, that hold so many members."""
     if members <= MEMBERS:
-        return CLASSES, PER_CLASS
-    classes = math.isqrt(members - 1) + 1
-    return classes, -(-members // classes)
+        return 1, CLASSES, PER_CLASS
+    if members <= ONE_GROUP:
+        classes = math.isqrt(members - 1) + 1
+        return 1, classes, -(-members // classes)
+    side = round(members ** (1 / 3)) - 1
+    while side ** 3 < members:
+        side += 1
+    return side, side, side
 
 
 def bucket(word: bytes) -> int:
@@ -141,25 +152,55 @@ class Vocabulary:
 
 def initial(frequency: np.ndarray) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(7)
-    classes, size = shape(len(frequency))
-    f = (frequency + 0.5).reshape(classes, size)
+    groups, classes, size = shape(len(frequency))
+    f = (frequency + 0.5).reshape(groups, classes, size)
     small = lambda *shape: (rng.standard_normal(shape) * 0.1).astype(np.float32)
-    return {"gates": small(len(frequency) + 1, 3 * HIDDEN), "state": small(HIDDEN, 3 * HIDDEN), "class": small(HIDDEN, classes), "member": small(classes, HIDDEN, size),
-            "class_bias": np.log(f.sum(1) / f.sum()).astype(np.float32), "member_bias": np.log(f / f.sum(1, keepdims=True)).astype(np.float32)}
+    share = lambda f: np.log(f / f.sum(-1, keepdims=True)).astype(np.float32)
+    params = {"gates": small(len(frequency) + 1, 3 * HIDDEN), "state": small(HIDDEN, 3 * HIDDEN), "class": small(groups, HIDDEN, classes),
+              "member": small(groups * classes, HIDDEN, size), "class_bias": share(f.sum(2)), "member_bias": share(f).reshape(-1, size)}
+    if groups > 1:
+        params |= {"group": small(1, HIDDEN, groups), "group_bias": share(f.sum((1, 2)))[None]}
+    return params
+
+
+def pieces(counts: np.ndarray):
+    """(node, words, which are real) of the pieces of one length each; the words of a node stand side by side, in order of the nodes.
+
+    A piece that a node does not fill points behind the last word.
+    """
+    ends = np.cumsum(counts)
+    full, rest = np.divmod(counts, PIECES[-1])
+    shorter = 0
+    for length in PIECES:
+        many = ((rest > shorter) & (rest <= length)).astype(np.int64)
+        if length == PIECES[-1]:
+            many += full
+        node = np.repeat(np.arange(len(counts)), many)
+        if len(node):
+            nth = np.arange(len(node)) - np.repeat(np.cumsum(many) - many, many)
+            # Pieces of the last length come first, the rest of a node behind them.
+            first = ends[node] - counts[node] + (nth if length == PIECES[-1] else full[node]) * PIECES[-1]
+            at = first[:, None] + np.arange(length)
+            real = at < ends[node][:, None]
+            yield node, np.where(real, at, ends[-1]), real
+        shorter = length
 
 
 class Network:
     """Gated recurrent units over member ids; the id after the last member stands before a text."""
 
-    def __init__(self, params: dict[str, np.ndarray]):
+    def __init__(self, params: dict[str, np.ndarray], learns: bool = True):
         self.p = params
-        self.first = {k: np.zeros_like(v) for k, v in params.items()}
-        self.second = {k: np.zeros_like(v) for k, v in params.items()}
         self.updates = 0
         self.classes, _, self.size = params["member"].shape
-        #: Gradients of the parameters that have rows, zero but for the rows the last window touched.
-        self.rows = {k: np.zeros_like(params[k]) for k in ("gates", "member", "member_bias")}
-        self.touched = {k: np.zeros(0, dtype=np.int64) for k in self.rows}
+        self.per_group = params["class"].shape[2]
+        self.levels = [x for x in ("group", "class", "member") if x in params]
+        if learns:
+            self.first = {k: np.zeros_like(v) for k, v in params.items()}
+            self.second = {k: np.zeros_like(v) for k, v in params.items()}
+            #: Gradients of the parameters that have rows; only the rows the last window touched count.
+            self.rows = {k: np.zeros_like(params[k]) for x in self.levels for k in (x, f"{x}_bias")} | {"gates": np.zeros_like(params["gates"])}
+            self.touched = {k: np.zeros(0, dtype=np.int64) for k in self.rows}
 
     def forward(self, before: np.ndarray, fresh: np.ndarray, h: np.ndarray):
         """States after each word; ``fresh`` marks the first word of a text, whose state starts from zero."""
@@ -192,50 +233,65 @@ class Network:
 
     def output(self, states: np.ndarray, target: np.ndarray, learn: bool):
         """Log-probability of each target member and, to learn, the gradients of its negative sum."""
-        kind = (target // self.size).astype(np.int16)
-        order = np.argsort(kind, kind="stable")  # words of a class side by side
-        flat, kind, inside = states.reshape(-1, HIDDEN)[order], kind[order], (target % self.size)[order]
-        bounds, rows = np.searchsorted(kind, np.arange(self.classes + 1)), np.arange(len(kind))
-        e, logp = self._softmax(flat @ self.p["class"] + self.p["class_bias"], rows, kind, learn)
-        grads, back = None, None
+        states, kind = states.reshape(-1, HIDDEN), (target // self.size).astype(np.int32)
+        n, order = len(kind), np.argsort(kind.astype(np.int16) if self.classes < 1 << 15 else kind, kind="stable")  # words of a class side by side
+        flat = np.zeros((n + 1, HIDDEN), dtype=states.dtype)  # the row behind the last fills up pieces
+        flat[:n] = states[order]
+        kind, inside = kind[order], (target % self.size)[order]
+        group = kind // self.per_group
+        logp, back, grads = np.zeros(n + 1, dtype=states.dtype), np.zeros_like(flat) if learn else None, {}
+        for level, node, pick in (("group", np.zeros_like(group), group), ("class", group, kind - group * self.per_group), ("member", kind, inside)):
+            if level in self.p:
+                self._level(level, flat, node, pick, logp, back)
+                grads |= {k: self.rows[k] for k in (level, f"{level}_bias")} if learn else {}
+        out = np.empty_like(logp[:n])
+        out[order] = logp[:n]
         if learn:
-            back = e @ self.p["class"].T
-            grads = {"class": flat.T @ e, "class_bias": e.sum(0), **self.rows}
-            self.touched["member"] = self.touched["member_bias"] = np.flatnonzero(np.diff(bounds))
-        for c in np.flatnonzero(np.diff(bounds)):
-            low, high = bounds[c], bounds[c + 1]
-            s = flat[low:high]
-            e, own = self._softmax(s @ self.p["member"][c] + self.p["member_bias"][c], rows[:high - low], inside[low:high], learn)
-            logp[low:high] += own
-            if learn:
-                grads["member"][c], grads["member_bias"][c] = s.T @ e, e.sum(0)
-                back[low:high] += e @ self.p["member"][c].T
-        out = np.empty_like(logp)
-        out[order] = logp
-        if learn:
-            given = np.empty_like(back)
-            given[order] = back
+            given = np.empty_like(back[:n])
+            given[order] = back[:n]
             back = given
-        return out, grads, back
-
-    @staticmethod
-    def _softmax(x: np.ndarray, rows: np.ndarray, pick: np.ndarray, learn: bool):
-        """Log-probability of the picked column of each row and, to learn, the gradient of its negative by the row."""
-        x -= x.max(1, keepdims=True)
-        picked = x[rows, pick]
-        np.exp(x, out=x)
-        total = x.sum(1, keepdims=True)
+        return out, grads or None, back
+
+    def _level(self, level: str, flat: np.ndarray, node: np.ndarray, pick: np.ndarray, logp: np.ndarray, back: np.ndarray | None) -> None:
+        """Adds the log-probability of the pick of each word among its node's choices and, to learn, the gradients of its negative."""
+        weights, bias = self.p[level], self.p[f"{level}_bias"]
+        width, learn = weights.shape[2], back is not None
+        counts = np.bincount(node, minlength=len(weights))
+        pick, ones = np.append(pick, 0), np.ones(width, dtype=flat.dtype)
+        if learn:
+            touched = np.flatnonzero(counts)
+            slot = np.zeros(len(weights), dtype=np.int64)
+            slot[touched] = np.arange(len(touched))
+            grad, grad_bias = np.zeros((len(touched), HIDDEN, width), dtype=flat.dtype), np.zeros((len(touched), width), dtype=flat.dtype)
+        for nodes, at, real in pieces(counts):
+            s, w = flat[at], weights[nodes]
+            x = s @ w
+            x += bias[nodes][:, None, :]
+            if not (x.max() < 60 and x.min() > -60):  # else exponentials and their sum are safe as they are
+                x -= x.max(2, keepdims=True)
+            chosen = np.arange(at.size) * width + pick[at].ravel()
+            picked = x.reshape(-1)[chosen]
+            np.exp(x, out=x)
+            total = x.reshape(-1, width) @ ones
+            logp[at] += (picked - np.log(total)).reshape(at.shape)
+            if learn:
+                x *= (real / total.reshape(at.shape))[:, :, None].astype(x.dtype)
+                x.reshape(-1)[chosen] -= real.ravel()
+                back[at] += x @ w.swapaxes(1, 2)
+                g, g_bias = s.swapaxes(1, 2) @ x, x.sum(1)
+                first = np.flatnonzero(np.diff(nodes, prepend=-1))
+                if len(first) < len(nodes):
+                    nodes, g, g_bias = nodes[first], np.add.reduceat(g, first, axis=0), np.add.reduceat(g_bias, first, axis=0)
+                grad[slot[nodes]] += g
+                grad_bias[slot[nodes]] += g_bias
         if learn:
-            x /= total
-            x[rows, pick] -= 1
-        return x, picked - np.log(total[:, 0])
+            self.touched[level] = self.touched[f"{level}_bias"] = touched
+            self.rows[level][touched], self.rows[f"{level}_bias"][touched] = grad, grad_bias
 
     def learn(self, before, fresh, target, h, real=None):
         """One window: gradients through its steps, one update; returns the state to carry on.
         ``real`` marks the words that count."""
         real = np.ones(before.shape, dtype=bool) if real is None else real
-        for name, g in self.rows.items():
-            g[self.touched[name]] = 0
         states, kept, h_end = self.forward(before, fresh, h)
         _, grads, own = self.output(states[real], target[real], True)
         back = np.zeros_like(states)
@@ -258,6 +314,7 @@ class Network:
         order = np.argsort(members, kind="stable")
         starts = np.flatnonzero(np.diff(members[order], prepend=-1))
         self.touched["gates"] = members[order][starts]
+        grads["gates"] = self.rows["gates"]
         grads["gates"][self.touched["gates"]] = np.add.reduceat(flat[order], starts, axis=0)
         grads["state"] = du
         self.update(grads, 1.0 / max(int(real.sum()), 1))
@@ -265,19 +322,34 @@ class Network:
 
     def update(self, grads: dict[str, np.ndarray], scale: float) -> None:
         """One step of Adam; rows that the window did not touch stay as they are."""
-        at = {name: self.touched.get(name, slice(None)) for name in grads}
-        grads = {name: g[at[name]] for name, g in grads.items()}
-        norm = scale * float(np.sqrt(sum(float((g * g).sum()) for g in grads.values())))
+        blocks = []
+        for name, g in grads.items():
+            rows = self.touched.get(name, np.arange(len(g)))
+            step = max(1, UPDATE // max(1, g[0].size))
+            blocks += [(name, rows[at:at + step]) for at in range(0, len(rows), step)]
+        norm = scale * math.sqrt(sum(float(np.vdot(g, g)) for g in (grads[name][at] for name, at in blocks)))
         scale *= min(1.0, CLIP / max(norm, 1e-12))
         self.updates += 1
         k = self.updates
-        for name, g in grads.items():
-            g = g * np.float32(scale)
-            a, b = self.first[name][at[name]], self.second[name][at[name]]
-            a += np.float32(0.1) * (g - a)
-            b += np.float32(0.001) * (g * g - b)
-            self.first[name][at[name]], self.second[name][at[name]] = a, b
-            self.p[name][at[name]] -= np.float32(RATE) * (a / np.float32(1 - 0.9 ** k)) / (np.sqrt(b / np.float32(1 - 0.999 ** k)) + np.float32(1e-8))
+        for name, at in blocks:
+            g, a, b = grads[name][at], self.first[name][at], self.second[name][at]
+            g *= np.float32(scale)
+            t = g - a
+            t *= np.float32(0.1)
+            a += t
+            self.first[name][at] = a
+            g *= g
+            g -= b
+            g *= np.float32(0.001)
+            b += g
+            self.second[name][at] = b
+            b /= np.float32(1 - 0.999 ** k)
+            np.sqrt(b, out=b)
+            b += np.float32(1e-8)
+            a /= np.float32(1 - 0.9 ** k)
+            a *= np.float32(RATE)
+            a /= b
+            self.p[name][at] -= a
 
 
 def streams(members: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -361,7 +433,7 @@ def parts(params: dict[str, np.ndarray]) -> list[list[np.ndarray]]:
     """Views of the parameters: those of each class and its members, and last what all words share."""
     classes, _, size = params["member"].shape
     own = [[params["member"][c], params["member_bias"][c], params["gates"][c * size:(c + 1) * size]] for c in range(classes)]
-    return [*own, [params["state"], params["class"], params["class_bias"], params["gates"][-1:]]]
+    return [*own, [params[k] for k in ("state", "class", "class_bias", "group", "group_bias") if k in params] + [params["gates"][-1:]]]
 
 
 def flat(part: list[np.ndarray]) -> np.ndarray:
@@ -416,6 +488,8 @@ def unpacked(batches):
 
 def train(encoded: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
     params = initial(vocabulary.frequency)
+    # As many copies as cores: what they send does not grow with the texts.
+    cores = encoded.sparkSession.sparkContext.defaultParallelism
     part, members_ = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(ROUNDS)), vocabulary.members
     for k in range(ROUNDS):
         shared = encoded.sparkSession.sparkContext.broadcast(params)
@@ -434,7 +508,7 @@ def train(encoded: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
                         yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([float(weight)]), pa.array([flat(own).astype("<f4").tobytes()], pa.binary())],
                                                          names=["part", "weight", "params"])
 
-        copies = encoded.filter(part == k).select("n_tokens", "members").mapInArrow(run, "part int, weight double, params binary")
+        copies = encoded.filter(part == k).select("n_tokens", "members").coalesce(cores).mapInArrow(run, "part int, weight double, params binary")
         params = {name: v.copy() for name, v in params.items()}
         into = parts(params)
         for r in averages(copies).collect():
@@ -447,7 +521,7 @@ def score(encoded: DataFrame, counts: DataFrame, vocabulary: Vocabulary, params:
     shared, start = encoded.sparkSession.sparkContext.broadcast(params), vocabulary.members
 
     def run(batches):
-        network = Network(shared.value)
+        network = Network(shared.value, learns=False)
         for batch, members in unpacked(batches):
             total = np.zeros(len(members))
             h = np.zeros((min(STREAMS, len(members)), HIDDEN), dtype=np.float32)
