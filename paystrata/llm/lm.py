@@ -5,8 +5,9 @@ class, then the member in it; above ``ONE_GROUP`` members classes belong to grou
 are predicted before. Every word that occurs ``LEAST`` times in training, at least the
 ``WORDS`` most frequent, and the end of a text are members of their own, in about as many
 classes (and groups) as a class has members, so the network grows with the training words
-and what a word costs with their square (cube) root; all rarer words share ``BUCKETS`` members by their first two bytes, within which a word has its
-smoothed share of the training tokens. Output biases start at the members' frequencies, so
+and what a word costs with their square (cube) root; all rarer words share ``BUCKETS``
+members by their first two bytes, within which a word has its smoothed share of the training
+tokens. Output biases start at the members' frequencies, so
 training starts from the unigram model.
 
 Training passes over all training documents once, in ``ROUNDS`` parts by hash. In each
@@ -14,9 +15,9 @@ part every core trains a copy of the parameters on its own documents - truncated
 backpropagation over windows of ``STEPS`` words on ``STREAMS`` texts at a time, the state
 carried from window to window and reset at the start of a text; an update costs what the
 window touched, not the size of the network. The words of a node meet its weights in pieces of
-a few lengths, so that no step loops over nodes in Python. The copies are averaged class by class, by the
-tokens of the class they saw; a task sends only those. Scoring carries the state through
-each whole text.
+a few lengths, so that no step loops over nodes in Python. The copies are averaged class by
+class, by the tokens of the class they saw; a task sends only those. Scoring carries the state
+through each whole text.
 
 Counts are over all training documents. The ``KNOWN`` most frequent words, and all members,
 travel to the tasks with their counts; the counts of any other word of a text come by a join. Words are
@@ -57,7 +58,7 @@ KNOWN = 150_000
 STREAMS, STEPS, ROUNDS = 512, 24, 2
 RATE, CLIP = 0.01, 5.0
 #: Bytes of text read, and words laid out into streams, at a time.
-READ_BYTES, LAYOUT_WORDS = 4 << 20, 6_000_000
+READ_BYTES, LAYOUT_WORDS = 4 << 20, 2_500_000
 #: Words that meet a node's weights at a time, and numbers of an update: what is worked on stays in the cache.
 PIECES, UPDATE = (2, 6, 16, 48, 128), 1 << 16
 SUMS = ["row", "doc_id", "n_tokens", "n_known", "base", "share"]
